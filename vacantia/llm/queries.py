@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from vacantia.llm import quality_rules
+from vacantia.llm import bpe, decontamination, quality_rules
 
-QUERIES = {"op10_quality_rules": quality_rules.op10_quality_rules}
-ORACLES = {"op10_quality_rules": quality_rules.ORACLE_SQL}
+QUERIES = {
+    "op6_bpe": bpe.op6_bpe,
+    "op7_decontamination": decontamination.op7_decontamination,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
+}
+ORACLES = {"op7_decontamination": decontamination.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL}
