@@ -43,6 +43,7 @@ def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
 NOT_SPACE = ~byte_table((0x20, 0x20), (0x09, 0x0D))
 #: Bytes of words of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` once A-Z are a-z.
 ALNUM_OR_HIGH = byte_table((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
+ASCII_OR_HIGH_LETTERS = byte_table((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, decontamination, quality_rules
+from vacantia.llm import bpe, chat_format, decontamination, quality_model, quality_rules, secret_scan, token_files
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op3_quality_model": quality_model.op3_quality_model,
+    "op5_token_files": token_files.op5_token_files,
     "op6_bpe": bpe.op6_bpe,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op9_chat_format": chat_format.op9_chat_format,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
-ORACLES = {"op7_decontamination": decontamination.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL}
+ORACLES = {
+    "op7_decontamination": decontamination.ORACLE_SQL,
+    "op9_chat_format": chat_format.ORACLE_SQL,
+    "op10_quality_rules": quality_rules.ORACLE_SQL,
+}
