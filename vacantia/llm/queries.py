@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, chat_format, decontamination, quality_model, quality_rules, secret_scan, token_files
+from vacantia.llm import bpe, chat_format, decontamination, ngram_join, quality_model, quality_rules, secret_scan, token_files
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_token_files": token_files.op5_token_files,
     "op6_bpe": bpe.op6_bpe,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
