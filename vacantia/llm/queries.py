@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, chat_format, decontamination, ngram_join, quality_model, quality_rules, secret_scan, token_files
+from vacantia.llm import bpe, chat_format, decontamination, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_warc": warc.op2_warc,
     "op3_quality_model": quality_model.op3_quality_model,
     "op5_token_files": token_files.op5_token_files,
     "op6_bpe": bpe.op6_bpe,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
+    "op2_warc": warc.ORACLE_SQL,
     "op7_decontamination": decontamination.ORACLE_SQL,
     "op9_chat_format": chat_format.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
