@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, chat_format, decontamination, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
+from vacantia.llm import bpe, chat_format, decontamination, line_dedup, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_warc": warc.op2_warc,
     "op3_quality_model": quality_model.op3_quality_model,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_bpe": bpe.op6_bpe,
     "op7_decontamination": decontamination.op7_decontamination,
