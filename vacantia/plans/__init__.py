@@ -1,0 +1,6 @@
+"""Plans over the driver's tables: the postings frame and the registered queries."""
+
+
+def load() -> None:
+    """Registers the queries of all modules."""
+    from vacantia.plans import metric_queries  # noqa: F401
