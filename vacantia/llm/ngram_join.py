@@ -9,15 +9,18 @@ the fewest signatures). Parts that are empty say nothing and are left out, which
 parts are empty than must be equal; a set with more empty parts adds one signature for that.
 
 Stages, each a written table where it is used again:
-1. documents -> (n_shingles, digest of the set, bits); equal sets make one class, its smallest id stands for it.
-2. classes -> signatures, packed by hash range inside each task, shuffled as blocks of bytes, and sorted in
-   the receiving task; signatures that several classes share give groups of classes.
-3. a group's members are compared in tiles of at most ``TILE`` by ``TILE``: a bound on the intersection
-   from 256-bit sketches (exact as a bound) drops most pairs, and pairs already known to be in one
-   component are skipped in the second pass.
-4. pairs that remain are verified with the whole sets, and components grow by label propagation with
-   pointer jumping. First pass: neighbours and the hub of each group; second pass: all pairs across
-   components. No link is lost, and copies cost as much as one text.
+1. documents -> size, digest and bit sketch of the set; equal sets make one class, whose smallest id stands
+   for it.
+2. signatures of all sets under their class's digest, packed by hash range inside each task (a class once),
+   shuffled as blocks of bytes, and sorted in the receiving task; signatures that several classes share give
+   groups of classes.
+3. First pass: each group in runs of ``RUN`` members with the group's first one. Sketches of at least two
+   bits a member give an exact upper bound of every intersection; of the pairs that may link, a spanning
+   forest is verified on the whole sets, taken from the texts again, and components grow by label
+   propagation with pointer jumping.
+4. Second pass: groups that still span several components, in tiles of at most ``TILE`` by ``TILE``
+   members: all pairs across components that may link are compared in the tile's task. No link is lost,
+   copies cost as much as one text, and no step emits a group's pairs.
 
 Cases: a null or empty text, or one without words, has an empty set, links with nothing and is its own
 component; fewer than n words make one shingle of the whole sequence; ties and repeated rows (same id)
@@ -40,9 +43,8 @@ SHINGLE = 5
 #: The threshold as a fraction: 100 * |A and B| >= 75 * |A or B|.
 NUM, DEN = 3, 4
 TILE = 1024
-SKETCH = 256
-#: Rows of the signature shuffle: ranges of hashes. More ranges make smaller groups of bytes.
-RANGES_PER_GB = 256
+RUN = 16
+LAST = 2**63 - 1
 EMPTY = T.U64(0x5BD1E9955BD1E995)
 
 
@@ -75,12 +77,25 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _sketches(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which of SKETCH bits have a member, as 64-bit words."""
-    rows = len(offsets) - 1
-    bits = np.zeros((rows, SKETCH), bool)
-    bits[np.repeat(np.arange(rows), np.diff(offsets)), (T.mix(h ^ T.U64(77)) >> T.U64(56)).astype(np.int64)] = True
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+def _sketches(h: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """A bitmap of each row's members: a power of two of bits, at least two a member."""
+    size = np.diff(offsets)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    begin = np.cumsum(bits) - bits
+    row = np.repeat(np.arange(len(size)), size)
+    at = np.zeros(int(bits.sum()), bool)
+    at[begin[row] + (T.mix(h ^ T.U64(77)) & (bits[row] - 1).astype(T.U64)).astype(np.int64)] = True
+    packed = np.packbits(at, bitorder="little")
+    return [packed[a // 8 : (a + b) // 8].tobytes() for a, b in zip(begin.tolist(), bits.tolist())]
+
+
+def _same_width(sketches: list[bytes]) -> np.ndarray:
+    """Sketches folded to the narrowest one's width; a bit of a folded sketch still has a member."""
+    width = min(map(len, sketches))
+    out = np.empty((len(sketches), width // 8), np.uint64)
+    for k, x in enumerate(sketches):
+        out[k] = np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, width // 8), axis=0)
+    return out
 
 
 def band_of(size: np.ndarray) -> np.ndarray:
@@ -144,31 +159,38 @@ def _link(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return DEN * inter >= NUM * (a + b - inter)
 
 
-def _classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, digest) of each document."""
+def _sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, a, b, sketch) of each document; a and b are digests of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch):
                 h, offsets = shingles(piece.column("text"))
-                a, b = _sums(T.mix(h), offsets), _sums(T.mix(h ^ T.U64(99)), offsets)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(np.diff(offsets)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["doc_id", "n", "a", "b"])
+                a, b = _digests(h, offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id"), pa.array(np.diff(offsets)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(_sketches(h, offsets), pa.binary())], names=["doc_id", "n", "a", "b", "sketch"]
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, sketch binary")
+
 
-    return docs.mapInArrow(run, "doc_id long, n long, a long, b long")
+def _digests(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return T.mix(_sums(T.mix(h), offsets) ^ np.diff(offsets).astype(T.U64)), _sums(T.mix(h ^ T.U64(99)), offsets)
 
 
 def _shared(docs: DataFrame, ranges: int) -> DataFrame:
-    """(members: sorted ids) of the signatures that several documents of ``docs`` share."""
+    """(members: sorted digests) of the signatures that several classes share."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
+        met = np.zeros(0, np.uint64)  # classes that this task has sent, of the latest million
 
         def flush() -> pa.RecordBatch:
             s, d = (np.concatenate(x) for x in zip(*kept))
             bucket = (s >> T.U64(32)) * T.U64(ranges) >> T.U64(32)
-            order = np.lexsort((d, bucket))
-            s, d, bucket = s[order], d[order], bucket[order]
+            order = np.argsort(bucket, kind="stable")
+            s, d, bucket = (s[order] & T.U64(2**32 - 1)).astype(np.uint32), d[order], bucket[order]
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             ends = np.append(cut[1:], len(s))
             return pa.RecordBatch.from_arrays(
@@ -178,88 +200,158 @@ def _shared(docs: DataFrame, ranges: int) -> DataFrame:
 
         for batch in batches:
             for piece in T.pieces(batch):
-                s, row = signatures(*shingles(piece.column("text")))
-                kept.append((s, piece.column("doc_id").to_numpy()[row]))
+                h, offsets = shingles(piece.column("text"))
+                digest, _ = _digests(h, offsets)
+                # a class once, whatever its copies
+                _, one = np.unique(digest, return_index=True)
+                one = np.sort(one[~np.isin(digest[one], met)])
+                met = np.concatenate([met, digest[one]])[-1_000_000:]
+                size = np.diff(offsets)[one]
+                s, row = signatures(h[T.ranges(offsets[one], size)], np.append(0, np.cumsum(size)))
+                kept.append((s, digest[one][row]))
                 n += len(s)
-                if n > 2_000_000:
+                if n > 1_000_000:
                     yield flush()
                     kept, n = [], 0
         if n:
             yield flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        s = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint64)
-        d = np.frombuffer(b"".join(table.column("d").to_pylist()), np.int64)
-        order = np.argsort(s)
+        s = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint32)
+        d = np.frombuffer(b"".join(table.column("d").to_pylist()), np.uint64)
+        order = np.lexsort((d, s))
         s, d = s[order], d[order]
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
+        s, d = s[new], d[new]
         cut = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         size = np.diff(np.append(cut, len(s)))
         many = np.flatnonzero(size > 1)
         cut, size = cut[many], size[many]
-        flat = d[T.ranges(cut, size)]
-        group = np.repeat(np.arange(len(cut)), size)
-        order = np.lexsort((flat, group))
-        flat, ends = flat[order], np.append(0, np.cumsum(size))
+        flat, ends = d[T.ranges(cut, size)], np.append(0, np.cumsum(size))
         # groups with the same members are one
-        digest = _sums(T.mix(flat.view(np.uint64)), ends) ^ size.astype(T.U64)
+        digest = _sums(T.mix(flat), ends) ^ size.astype(T.U64)
         _, one = np.unique(digest, return_index=True)
         size, begin = size[one], ends[one]
-        return pa.table({"members": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat[T.ranges(begin, size)])), "digest": pa.array(digest[one].view(np.int64))})
+        return pa.table({"members": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat[T.ranges(begin, size)].view(np.int64))), "digest": pa.array(digest[one].view(np.int64))})
 
-    packed = docs.mapInArrow(pack, "bucket long, s binary, d binary")
+    packed = docs.select("text").mapInArrow(pack, "bucket long, s binary, d binary")
     return packed.groupBy("bucket").applyInArrow(meet, "members array<long>, digest long")
 
 
-def _tiles(groups: DataFrame) -> DataFrame:
-    """(tile, side, doc): the members of each group in blocks; a tile holds two blocks, or one against itself."""
-    blocks = F.ceil(F.size("members") / TILE).cast("int")
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.transform(F.sequence(i, blocks - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    tiles = groups.select("digest", "members", F.explode(pairs).alias("t"))
-    part = lambda k: F.slice("members", F.col(f"t.{k}") * TILE + 1, F.lit(TILE))
-    sides = F.array(F.struct(F.lit(0).alias("side"), part("i").alias("docs")), F.struct(F.lit(1).alias("side"), F.when(F.col("t.i") < F.col("t.j"), part("j")).otherwise(F.array().cast("array<bigint>")).alias("docs")))
-    rows = tiles.select(F.xxhash64("digest", "t.i", "t.j").alias("tile"), F.explode(sides).alias("s"))
-    return rows.select("tile", "s.side", F.explode("s.docs").alias("doc_id"))
+class _Forest:
+    def __init__(self, labels: np.ndarray):
+        _, self.of = np.unique(labels, return_inverse=True)
+        self.parent = np.arange(len(labels))
+
+    def root(self, i: int) -> int:
+        x = self.of[i]
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.root(i), self.root(j)
+        self.parent[b] = a
+        return a != b
 
 
-def _compare(members: DataFrame) -> DataFrame:
-    """Linked pairs (a, b) inside each tile, verified on the whole sets, as a spanning forest.
+def _may_link(i: int, others: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The others whose intersection with i is not bounded below what a link needs."""
+    n, m = size[i], size[others]
+    most = np.minimum(n - np.bitwise_count(sketch[i] & ~sketch[others]).sum(1).astype(np.int64), m - np.bitwise_count(~sketch[i] & sketch[others]).sum(1).astype(np.int64))
+    return others[_link(most, n, m)]
 
-    members: tile, side, doc_id, label (its component so far), sketch and set."""
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the pairs in each run (tile, doc, n, sketch) that may link."""
 
     def run(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        ids, label = table.column("doc_id").to_numpy(), table.column("label").to_numpy().copy()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        names, comp = np.unique(label, return_inverse=True)
-        parent = np.arange(len(names))
+        ids, size = table.column("doc").to_numpy(), table.column("n").to_numpy()
+        sketch = _same_width(table.column("sketch").to_pylist())
+        forest, found = _Forest(ids), []
+        for i in range(len(ids)):
+            for j in _may_link(i, np.arange(i + 1, len(ids)), size, sketch):
+                if forest.join(i, j):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": a, "b": b})
+
+    return rows.groupBy("tile").applyInArrow(run, "a long, b long").distinct()
+
 
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
+def _whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, h): the shingles of the wanted documents, from their texts."""
 
-        both = (side == 1).any()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in T.pieces(batch):
+                h, offsets = shingles(piece.column("text"))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array([h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], names=["doc", "h"])
+
+    rows = texts.join(wanted.select(F.col("doc").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    return T.written(rows.mapInArrow(run, "doc long, h binary").groupBy("doc").agg(F.min("h").alias("h")), "whole")
+
+
+def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs that link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                keep.append(bool(_link(np.intersect1d(x, y, assume_unique=True).size, len(x), len(y))))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(whole.select(F.col("doc").alias("a"), F.col("h").alias("x")), "a").join(whole.select(F.col("doc").alias("b"), F.col("h").alias("y")), "b")
+    return T.written(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows (digest, pos, size, ...) as (tile, side, ...): blocks of TILE members, each pair of blocks one tile."""
+    block = F.floor(F.col("pos") / TILE).cast("int")
+    blocks = F.ceil(F.col("size") / TILE).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    tile = F.xxhash64("digest", F.least("block", "other"), F.greatest("block", "other"))
+    return rows.withColumn("tile", tile).withColumn("side", (F.col("block") > F.col("other")).cast("int"))
+
+
+def _open_members(tiles: DataFrame) -> DataFrame:
+    """(tile, side, doc, label) of the members that may link across components in their tile."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, size, label = (table.column(c).to_numpy() for c in ("side", "n", "label"))
+        sketch = _same_width(table.column("sketch").to_pylist())
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        keep = np.zeros(len(side), bool)
+        for i in left:
+            found = _may_link(i, right[label[right] != label[i]], size, sketch)
+            keep[found] = True
+            keep[i] |= len(found) > 0
+        return table.select(["tile", "side", "doc", "label"]).filter(pa.array(keep))
+
+    return tiles.groupBy("tile").applyInArrow(run, "tile long, side int, doc long, label long")
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """The links across components among each tile's members (tile, side, doc, label, h), as a forest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, ids, label = (table.column(c).to_numpy() for c in ("side", "doc", "label"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        sketch = _same_width(_sketches(np.concatenate(sets), np.append(0, np.cumsum(size))))
         left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if both else left
-        found = []
-        for at, i in enumerate(left):
-            other = right if both else right[at + 1 :]
-            other = other[comp[other] != comp[i]]
-            if not len(other):
-                continue
-            n, m = size[i], size[other]
-            # |A and B| is at most |A| less the bits of A that B has not, and likewise for B
-            most = np.minimum(n - np.bitwise_count(sketch[i] & ~sketch[other]).sum(1).astype(np.int64), m - np.bitwise_count(~sketch[i] & sketch[other]).sum(1).astype(np.int64))
-            for j in other[_link(most, n, m)]:
-                if find(comp[i]) == find(comp[j]):
-                    continue
-                inter = np.intersect1d(sets[i], sets[j], assume_unique=True).size
-                if _link(np.int64(inter), n, size[j]):
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        forest, found = _Forest(label), []
+        for i in left:
+            for j in _may_link(i, right[label[right] != label[i]], size, sketch):
+                if forest.root(i) != forest.root(j) and _link(np.intersect1d(sets[i], sets[j], assume_unique=True).size, size[i], size[j]):
+                    forest.join(i, j)
                     found.append((ids[i], ids[j]))
-                    parent[find(comp[j])] = find(comp[i])
         a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": a, "b": b})
 
@@ -289,55 +381,40 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
     spark = docs.sparkSession
     T.importable(spark)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("doc_id"), F.col(text_col).alias("text"))
-    sets = T.written(_classes(texts), "sets")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text_col).alias("text"))
+    sets = T.written(_sets(texts), "sets")
     key = ["n", "a", "b"]
-    classes = T.written(sets.groupBy(*key).agg(F.min("doc_id").alias("class"), F.count("*").alias("rows")), "classes")
-    # a set that others equal is compared once, as the row with the smallest id
-    doubles = sets.join(classes.where("rows > 1 AND n > 0"), key).where("doc_id <> class").select("doc_id").distinct()
-    first = texts.join(doubles.hint("shuffle_hash"), "doc_id", "left_anti") if not doubles.isEmpty() else texts
+    classes = T.written(sets.groupBy(*key).agg(F.min("doc_id").alias("doc")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    ranges = max(64, min(1 << 20, total // 400_000))
-    groups = _shared(first, int(ranges)).dropDuplicates(["digest"])
-    groups = T.written(groups, "groups")
-
-    members = groups.select(F.explode("members").alias("doc_id")).distinct()
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in T.pieces(batch):
-                h, offsets = shingles(piece.column("text"))
-                sketch = _sketches(h, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array([s.tobytes() for s in sketch], pa.binary()), pa.array([h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], names=["doc_id", "sketch", "h"]
-                )
-
-    wanted = texts.join(members.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    wide = T.written(wanted.mapInArrow(features, "doc_id long, sketch binary, h binary"), "features")
-
-    def links_of(tiles: DataFrame, labels: DataFrame | None) -> DataFrame:
-        if labels is None:
-            rows = tiles.join(wide, "doc_id").withColumn("label", F.col("doc_id"))
-        else:
-            rows = tiles.join(wide, "doc_id").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        return T.written(_compare(rows.select("tile", "side", "doc_id", "label", "sketch", "h")), "links")
-
-    # first pass: every group in runs of neighbours, each run with the group's first member
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("members") - 1) / 16).cast("int")), lambda k: F.struct(k.alias("k"), F.array_union(F.slice("members", 1, 1), F.slice("members", k * 16 + 1, F.lit(16))).alias("docs")))
-    near = groups.select("digest", F.explode(runs).alias("r")).select(F.xxhash64("digest", "r.k").alias("tile"), F.lit(0).alias("side"), F.explode("r.docs").alias("doc_id"))
-    links = links_of(near, None)
+    ranges = int(max(64, min(1 << 20, total // 400_000)))
+    groups = T.written(_shared(texts, ranges).dropDuplicates(["digest"]), "groups")
+
+    # members with their class's document, size and sketch
+    sketches = sets.join(classes.select("a", "b", F.col("doc").alias("doc_id")), ["a", "b", "doc_id"]).select("a", F.col("doc_id").alias("doc"), "n", "sketch").dropDuplicates(["a"])
+    members = groups.select("digest", F.size("members").alias("size"), F.posexplode("members").alias("pos", "a")).join(sketches, "a").drop("a")
+    members = T.written(members, "members")
+    runs = F.when(F.col("pos") == 0, F.sequence(F.lit(0), F.floor((F.col("size") - 1) / RUN).cast("int"))).otherwise(F.array(F.floor(F.col("pos") / RUN).cast("int")))
+    tiles = members.withColumn("run", F.explode(runs)).select(F.xxhash64("digest", "run").alias("tile"), "doc", "n", "sketch")
+    pairs = T.written(_candidates(tiles), "pairs")
+    whole = _whole_sets(texts, pairs.select(F.col("a").alias("doc")).union(pairs.select("b")))
+    links = _verified(pairs, whole)
     labels = components(links)
-    # second pass: groups that still span several components, all pairs across them
-    spread = groups.where(F.size("members") > 16).select("digest", F.explode("members").alias("doc_id")).join(labels, "doc_id", "left")
-    open_ = spread.groupBy("digest").agg(F.min(F.coalesce("label", "doc_id")).alias("low"), F.max(F.coalesce("label", "doc_id")).alias("high")).where("low < high")
-    rest = T.written(groups.join(open_.select("digest"), "digest"), "rest")
+
+    # groups that still span several components
+    known = members.join(labels.select(F.col("doc_id").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    spread = known.groupBy("digest").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("size").alias("size")).where("low < high")
+    # of a group of one run, the pairs that may link are settled unless one of them failed
+    failed = pairs.join(links, ["a", "b"], "left_anti")
+    doubtful = members.join(failed.select(F.col("a").alias("doc")).union(failed.select("b")).distinct(), "doc", "left_semi").select("digest").distinct()
+    again = spread.where(F.col("size") > RUN).select("digest").union(spread.select("digest").join(doubtful, "digest")).distinct()
+    rest = T.written(_open_members(_tiles(known.join(again, "digest"))), "open")
     if not rest.isEmpty():
-        more = links_of(_tiles(rest), labels)
+        more = T.written(_across(rest.join(_whole_sets(texts, rest), "doc")), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
-    own = classes.join(labels.withColumnRenamed("doc_id", "class"), "class", "left").select(*key, F.coalesce("label", "class").alias("component"))
-    out = sets.join(own, key).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
-    null = lambda c: F.nullif(F.col(c), F.lit(2**63 - 1)).alias(c)
+    own = classes.join(labels.withColumnRenamed("doc_id", "doc"), "doc", "left").select(*key, F.coalesce("label", "doc").alias("component"))
+    out = sets.drop("sketch").join(own, key).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    null = lambda c: F.nullif(F.col(c), F.lit(LAST)).alias(c)
     return out.select(null("doc_id"), "n_shingles", null("component_id"))
 
 
