@@ -10,10 +10,13 @@ that line itself kept or not. Lines without words always stay.
 2. Lines with equal sets are one class, kept as its first line; the others go.
 3. Each class is entered under the words of its prefix, n - ceil(t n) + 1 of them. Entries are packed by
    hash range inside each task and meet in one task per range, sorted by word and size: the length filter
-   is a window of that order, the positional filter bounds the words still to come, and a 64-bit sketch
-   bounds the intersection once more. For each later line the ``BEST`` likeliest earlier ones go on.
-4. Candidates are verified on the whole sets, taken from the texts again. Lines that are still open and
-   had more than ``BEST`` candidates are searched once more for all of theirs, ``BLOCK`` lines at a time.
+   is a window of that order, the positional filter bounds the words still to come, and the bits in which
+   two lines' parities differ bound the symmetric difference from below. For each later line the ``BEST``
+   likeliest earlier ones go on (``DOUBTFUL`` where none is likely).
+4. Candidates are verified on the whole sets, taken from the texts again: lines that are in no candidate
+   pair are told by a bitmap of fixed size, or by a join where the pairs are too many for it. Lines that are
+   still open and had more candidates are searched once more for all of theirs, ``BLOCK`` lines
+   at a time.
 
 Cases: null and empty texts have one empty line, which stays; repeated words count once; ties in the order
 (rows with one doc_id) never remove each other, and such rows share the decisions of their id; a null id
@@ -33,13 +36,47 @@ from vacantia.llm import _text as T
 
 NUM, DEN = 3, 4
 RARITY_BITS = 21
-BEST = 4
+BEST = 16
+DOUBTFUL = 256
 BLOCK = 100_000
 LAST = 2**63 - 1
 _BINS = 4096
-
-#: A class on its way: its first line, size and sketch; its prefix words follow apart.
-CLASS = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("p", "<i4"), ("sketch", "<u8")])
+#: Bits of the bitmap of lines to verify, and how many lines it serves.
+FILTER_BITS = 24
+FILTER_LINES = 1 << 22
+
+#: Lines of more words have 192 parities, others 64 (and zeros, which compress away).
+LONG = 80
+PARITIES = ("p0", "p1", "p2")
+#: A line's set: digest, parities, place and size. Its prefix words follow apart, as 6 bytes each.
+CLASS = np.dtype([("a", "<u8"), ("b", "<u4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4")])
+#: A prefix word of a class.
+ENTRY = np.dtype([("token", "<u4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("pos", "<u4")])
+
+
+def pack(rows: np.ndarray) -> bytes:
+    """Records in order of documents as byte planes of each column, of which those of zeros compress away."""
+    out = []
+    for c in rows.dtype.names:
+        x = rows[c]
+        if c == "doc":
+            x = np.diff(x, prepend=np.int64(0))
+        out.append(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes())
+    return b"".join(out)
+
+
+def unpack(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    sizes = [len(b) // kind.itemsize for b in blobs]
+    rows, at = np.zeros(sum(sizes), kind), 0
+    for blob, n in zip(blobs, sizes):
+        skip = 0
+        for c in kind.names:
+            wide = kind[c].itemsize
+            x = np.ascontiguousarray(np.frombuffer(blob, np.uint8, n * wide, skip).reshape(wide, n).T).view(kind[c])[:, 0]
+            rows[c][at : at + n] = np.cumsum(x) if c == "doc" else x
+            skip += n * wide
+        at += n
+    return rows
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -70,10 +107,22 @@ def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarr
     return key[new], line[new]
 
 
-def _sketch(key: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    out = np.zeros((lines, 64), bool)
-    out[line, (T.mix(key ^ T.U64(3)) >> T.U64(58)).astype(np.int64)] = True
-    return np.packbits(out, axis=1, bitorder="little").view(np.uint64)[:, 0] if lines else np.zeros(0, np.uint64)
+def _parities(key: np.ndarray, line: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Parities of each line's words: where two lines' differ, at least so many words are in one of them only."""
+    out = np.zeros((len(n), 192), np.uint8)
+    np.add.at(out.reshape(-1), line * 192 + (T.mix(key ^ T.U64(3)) % T.U64(192)).astype(np.int64), 1)
+    words = np.packbits(out & 1, axis=1, bitorder="little").view(np.uint64).reshape(len(n), 3)
+    short = n <= LONG
+    words[short, 0] ^= words[short, 1] ^ words[short, 2]
+    words[short, 1:] = 0
+    return words
+
+
+def _apart(p: list[np.ndarray], long: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Parities that differ; a long line's are folded beside a short one's."""
+    x = [w[i] ^ w[j] for w in p]
+    both = long[i] == long[j]
+    return np.where(both, sum(np.bitwise_count(w).astype(np.int64) for w in x), np.bitwise_count(x[0] ^ x[1] ^ x[2]).astype(np.int64))
 
 
 def word_rarity(docs: DataFrame) -> np.ndarray:
@@ -103,19 +152,6 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _packed(bucket: np.ndarray, fixed: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> tuple[list, list, list]:
-    """Records and their variable parts, by bucket."""
-    order = np.argsort(bucket, kind="stable")
-    begin = np.cumsum(sizes) - sizes
-    bucket, fixed, sizes, begin = bucket[order], fixed[order], sizes[order], begin[order]
-    flat = flat[T.ranges(begin, sizes)]
-    ends = np.cumsum(sizes)
-    cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    stop = np.append(cut[1:], len(bucket))
-    lows = ends[cut] - sizes[cut]
-    return bucket[cut].tolist(), [fixed[a:b].tobytes() for a, b in zip(cut, stop)], [flat[low : ends[b - 1]].tobytes() for low, b in zip(lows, stop)]
-
-
 def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
     """(bucket, fixed, prefix): the lines with words, packed by the hash of their sets."""
 
@@ -124,9 +160,17 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             fixed, flat = (np.concatenate(x) for x in zip(*kept))
+            size = prefix_length(fixed["n"].astype(np.int64))
             bucket = ((fixed["a"] >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
-            b, f, p = _packed(bucket, fixed, fixed["p"].astype(np.int64), flat)
-            return pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(f, pa.binary()), pa.array(p, pa.binary())], names=["bucket", "fixed", "prefix"])
+            order = np.lexsort((fixed["doc"], bucket))
+            begin = np.cumsum(size) - size
+            bucket, fixed, size = bucket[order], fixed[order], size[order]
+            flat = flat[T.ranges(begin[order], size)]
+            ends = np.append(0, np.cumsum(size))
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            stop = np.append(cut[1:], len(bucket))
+            words = [np.ascontiguousarray(flat[ends[a] : ends[b]]).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for a, b in zip(cut, stop)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array([pack(fixed[a:b]) for a, b in zip(cut, stop)], pa.binary()), pa.array(words, pa.binary())], names=["bucket", "fixed", "prefix"])
 
         for batch in batches:
             for piece in T.pieces(batch):
@@ -138,17 +182,19 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
                 sums = np.zeros((2, len(key) + 1), T.U64)
                 np.cumsum(T.mix(key), out=sums[0, 1:])
                 np.cumsum(T.mix(key ^ T.U64(99)), out=sums[1, 1:])
-                sketch = _sketch(key, line, lines)
+                parity = _parities(key, line, n_of)
                 at = np.flatnonzero(n_of)
                 fixed = np.zeros(len(at), CLASS)
                 row = np.searchsorted(first, at, "right") - 1
-                fixed["a"], fixed["b"] = (s[begin[at] + n_of[at]] - s[begin[at]] for s in sums)
-                fixed["a"] = T.mix(fixed["a"] ^ n_of[at].astype(T.U64))
+                a, b = (s[begin[at] + n_of[at]] - s[begin[at]] for s in sums)
+                fixed["a"], fixed["b"] = T.mix(a ^ n_of[at].astype(T.U64)), T.mix(b) >> T.U64(32)
                 fixed["doc"], fixed["line"] = piece.column("doc_id").to_numpy()[row], at - first[row]
-                fixed["n"], fixed["p"], fixed["sketch"] = n_of[at], prefix_length(n_of[at]), sketch[at]
-                kept.append((fixed, key[T.ranges(begin[at], fixed["p"].astype(np.int64))]))
+                fixed["n"] = n_of[at]
+                for k, c in enumerate(PARITIES):
+                    fixed[c] = parity[at, k]
+                kept.append((fixed, key[T.ranges(begin[at], prefix_length(n_of[at]))]))
                 n += len(at)
-                if n > 100_000:
+                if n > 60_000:
                     yield flush()
                     kept, n = [], 0
         if n:
@@ -157,16 +203,13 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, fixed binary, prefix binary")
 
 
-ENTRY = np.dtype([("token", "<u4"), ("n", "<u4"), ("pos", "<u4"), ("line", "<i4"), ("doc", "<i8"), ("sketch", "<u8")])
-
-
 def _entries(classes: DataFrame, ranges: int) -> DataFrame:
-    """kind 0: (doc, line) of lines that equal an earlier one; kind 1: packed prefix entries by word range."""
+    """(range, gone, blob): packed prefix entries by word range, or packed places of lines that equal an earlier one."""
 
     def run(table: pa.Table) -> pa.Table:
-        fixed = np.frombuffer(b"".join(table.column("fixed").to_pylist()), CLASS)
-        flat = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.uint64)
-        size = fixed["p"].astype(np.int64)
+        fixed = unpack(table.column("fixed").to_pylist(), CLASS)
+        words = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.uint8).reshape(-1, 6)
+        size = prefix_length(fixed["n"].astype(np.int64))
         begin = np.cumsum(size) - size
         order = np.lexsort((fixed["line"], fixed["doc"], fixed["b"], fixed["a"]))
         own = fixed[order]
@@ -174,148 +217,180 @@ def _entries(classes: DataFrame, ranges: int) -> DataFrame:
         head[1:] = (own["a"][1:] != own["a"][:-1]) | (own["b"][1:] != own["b"][:-1])
         # a repeated row's line has the place of the first one: it isn't later
         lead = own[np.maximum.accumulate(np.where(head, np.arange(len(own)), 0))]
-        later = ~head & ((own["doc"] != lead["doc"]) | (own["line"] != lead["line"]))
-        gone = own[later]
-        rep = order[head]
+        gone = own[~head & ((own["doc"] != lead["doc"]) | (own["line"] != lead["line"]))]
+        rep = np.sort(order[head])
+        rep = rep[np.argsort(fixed["doc"][rep], kind="stable")]
         n = size[rep]
-        token = flat[T.ranges(begin[rep], n)]
+        wide = np.zeros((int(n.sum()), 8), np.uint8)
+        wide[:, :6] = words[T.ranges(begin[rep], n)]
+        mixed = T.mix(wide.view(np.uint64)[:, 0])
         pick = np.repeat(rep, n)
-        e = np.zeros(len(token), ENTRY)
-        mixed = T.mix(token)
-        e["token"] = mixed & T.U64(2**32 - 1)
+        e = np.zeros(len(mixed), ENTRY)
+        e["token"] = mixed & T.U64(2**24 - 1)
         e["pos"] = T.ranges(np.zeros(len(n), np.int64), n)
-        for c in ("n", "line", "doc", "sketch"):
+        for c in ("n", "line", "doc", *PARITIES):
             e[c] = fixed[c][pick]
         bucket = ((mixed >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
         e, bucket = e[by], bucket[by]
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-        stop = np.append(cut[1:], len(bucket))
-        # columns one after the other compress better than records
-        blobs = [b"".join(np.ascontiguousarray(e[c][a:b]).tobytes() for c in ENTRY.names) for a, b in zip(cut, stop)]
-        k = len(cut)
-        return pa.table(
-            {
-                "kind": pa.array([0] * len(gone) + [1] * k, pa.int32()),
-                "doc": pa.array([*gone["doc"].tolist(), *bucket[cut].tolist()], pa.int64()),
-                "line": pa.array([*gone["line"].tolist(), *[0] * k], pa.int32()),
-                "blob": pa.array([None] * len(gone) + blobs, pa.binary()),
-            }
-        )
-
-    return classes.groupBy("bucket").applyInArrow(run, "kind int, doc long, line int, blob binary")
+        rows = [(int(bucket[a]), False, pack(e[a:b])) for a, b in zip(cut, np.append(cut[1:], len(bucket)))]
+        if len(gone):
+            gone = gone[np.argsort(gone["doc"], kind="stable")]
+            rows.append((int(table.column("bucket")[0].as_py()), True, pack(gone)))
+        a, b, c = zip(*rows)
+        return pa.table({"range": pa.array(a, pa.int64()), "gone": pa.array(b, pa.bool_()), "blob": pa.array(c, pa.binary())})
 
-
-def _unpack(blobs: list[bytes]) -> np.ndarray:
-    size = [len(b) // ENTRY.itemsize for b in blobs]
-    out = np.zeros(sum(size), ENTRY)
-    at = 0
-    for blob, n in zip(blobs, size):
-        skip = 0
-        for c in ENTRY.names:
-            kind = ENTRY[c]
-            out[c][at : at + n] = np.frombuffer(blob, kind, n, skip)
-            skip += n * kind.itemsize
-        at += n
-    return out
+    return classes.groupBy("bucket").applyInArrow(run, "range long, gone boolean, blob binary")
 
 
-def _pairs(entries: DataFrame, only=None) -> DataFrame:
-    """(doc, line, other_doc, other_line, more): likely earlier lines of each line.
+def _found(entries: DataFrame, only=None) -> DataFrame:
+    """(doc, line, other_doc, other_line, more): likely earlier lines of each line; no other for an equal one.
 
-    Without ``only`` the BEST likeliest in each range, and whether there were more; with it (a broadcast set of
-    lines) all of theirs."""
+    Without ``only`` the BEST likeliest in each range, and whether there were more; with it (a broadcast array of
+    hashes of lines) all of theirs."""
 
     def run(table: pa.Table) -> pa.Table:
-        e = _unpack(table.column("blob").to_pylist())
+        blobs, is_gone = table.column("blob").to_pylist(), table.column("gone").to_pylist()
+        equal = unpack([b for b, g in zip(blobs, is_gone) if g], CLASS)
+        e = unpack([b for b, g in zip(blobs, is_gone) if not g], ENTRY)
         e = e[np.lexsort((e["n"], e["token"]))]
-        token, n, pos, sketch = e["token"].astype(np.int64), e["n"].astype(np.int64), e["pos"].astype(np.int64), e["sketch"]
+        doc, line = e["doc"], e["line"].astype(np.int64)
+        token, n, pos = e["token"].astype(np.int64), e["n"].astype(np.int64), e["pos"].astype(np.int64)
+        parity, long = [np.ascontiguousarray(e[c]) for c in PARITIES], n > LONG
         total = len(e)
         # the window of each entry: same word, at least NUM / DEN of its size, before it in the order
-        key = token * 2**31 + np.minimum(n, 2**31 - 1)
-        low = np.searchsorted(key, token * 2**31 + (NUM * n + DEN - 1) // DEN)
-        count = np.arange(total) - low
+        key = token << 32 | n
+        low = np.searchsorted(key, token << 32 | (NUM * n + DEN - 1) // DEN)
         # only entries that can be the smaller set of a pair are partners
         inner = pos <= n - -(-2 * NUM * n // (NUM + DEN))
         partners = np.flatnonzero(inner)
         before = np.concatenate([[0], np.cumsum(inner)])
         low_p = before[low]
         count = before[np.arange(total)] - low_p
-        wanted = None
-        if only is not None:
-            wanted = np.isin(e["doc"].astype(np.uint64) * T.U64(0x9E3779B97F4A7C15) + e["line"].astype(np.uint64), only.value)
-        found = []
-        at = 0
+        wanted = np.isin(line_hash(doc, line), only.value) if only is not None else None
+        found, at = [], 0
         ends = np.cumsum(count)
         while at < total:
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 1_000_000, "right")))
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
             i = np.repeat(np.arange(at, to), count[at:to])
             j = partners[T.ranges(low_p[at:to], count[at:to])]
             at = to
             if wanted is not None:
                 ok = wanted[i] | wanted[j]
                 i, j = i[ok], j[ok]
-            if not len(i):
-                continue
-            need = -(-NUM * (n[i] + n[j]) // (NUM + DEN))
             # this word and those after it, of which both have at most so many
+            both = n[i] + n[j]
+            need = -(-NUM * both // (NUM + DEN))
             ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
-            i, j, need = i[ok], j[ok], need[ok]
-            bound = np.minimum(n[i] - np.bitwise_count(sketch[i] & ~sketch[j]), n[j] - np.bitwise_count(sketch[j] & ~sketch[i]))
-            ok = bound >= need
-            i, j, bound = i[ok], j[ok], (bound[ok] * 1000 // need[ok]).astype(np.int64)
-            swap = (e["doc"][i] < e["doc"][j]) | ((e["doc"][i] == e["doc"][j]) & (e["line"][i] < e["line"][j]))
+            i, j, both, need = i[ok], j[ok], both[ok], need[ok]
+            apart, most = _apart(parity, long, i, j), both - 2 * need
+            ok = apart <= most
+            i, j, apart = i[ok], j[ok], apart[ok] * 1000 // np.maximum(most[ok], 1)
+            swap = (doc[i] < doc[j]) | ((doc[i] == doc[j]) & (line[i] < line[j]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
-            ok = (e["doc"][i] != e["doc"][j]) | (e["line"][i] != e["line"][j])
+            ok = (doc[i] != doc[j]) | (line[i] != line[j])
             if wanted is not None:
                 ok &= wanted[i]
-            found.append((i[ok], j[ok], bound[ok]))
-        i, j, bound = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+            found.append((i[ok], j[ok], apart[ok]))
+        i, j, apart = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         more = np.zeros(len(i), bool)
         if wanted is None and len(i):
-            order = np.lexsort((-bound, e["line"][i], e["doc"][i]))
-            i, j = i[order], j[order]
+            order = np.lexsort((apart, line[i], doc[i]))
+            i, j, apart = i[order], j[order], apart[order]
             head = np.ones(len(i), bool)
-            head[1:] = (e["doc"][i][1:] != e["doc"][i][:-1]) | (e["line"][i][1:] != e["line"][i][:-1])
+            head[1:] = (doc[i][1:] != doc[i][:-1]) | (line[i][1:] != line[i][:-1])
             start = np.maximum.accumulate(np.where(head, np.arange(len(i)), 0))
-            rank = np.arange(len(i)) - start
             size = np.diff(np.append(np.flatnonzero(head), len(i)))
-            more = np.repeat(size > BEST, size)
-            keep = rank < BEST
-            i, j, more = i[keep], j[keep], more[keep]
-        return pa.table({"doc": e["doc"][i], "line": e["line"][i], "other_doc": e["doc"][j], "other_line": e["line"][j], "more": more})
+            # few for a line whose likeliest partner is well inside the bound, more for a doubtful one
+            most = np.where(apart[start] <= 500, BEST, DOUBTFUL)
+            keep = np.arange(len(i)) - start < most
+            i, j, more = i[keep], j[keep], (np.repeat(size, size) > most)[keep]
+        none = np.zeros(len(equal), np.int64)
+        alone = np.append(np.zeros(len(i), bool), np.ones(len(equal), bool))
+        join = lambda a, b, kind: np.append(a, b).astype(kind)
+        return pa.table(
+            {
+                "doc": join(doc[i], equal["doc"], np.int64),
+                "line": join(line[i], equal["line"], np.int32),
+                "other_doc": pa.array(join(doc[j], none, np.int64), mask=alone),
+                "other_line": pa.array(join(line[j], none, np.int32), mask=alone),
+                "more": join(more, none, bool),
+            }
+        )
 
-    rows = entries.where("kind = 1").select(F.col("doc").alias("range"), "blob")
-    return rows.groupBy("range").applyInArrow(run, "doc long, line int, other_doc long, other_line int, more boolean")
+    return entries.groupBy("range").applyInArrow(run, "doc long, line int, other_doc long, other_line int, more boolean")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The distinct (doc, line) of pairs whose whole sets are similar."""
-    pairs = pairs.select("doc", "line", "other_doc", "other_line").distinct()
-    ends = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct()
-    need = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
+def line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return T.mix(doc.astype(np.uint64) * T.U64(0x9E3779B97F4A7C15) + line.astype(np.uint64))
+
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.zeros(1 << RARITY_BITS, np.uint8)  # any order will do here
+def _bitmap(lines: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes of (doc, line): 2^FILTER_BITS bits, whatever the input."""
+    blocks = (1 << FILTER_BITS) // (8 * _BINS)
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+        for batch in batches:
+            at = (line_hash(batch.column("doc").to_numpy(), batch.column("line").to_numpy()) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
+            np.bitwise_or.at(total, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        parts = total.reshape(blocks, _BINS)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([parts[k].tobytes() for k in some], pa.binary())], names=["block", "bits"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        one = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
+        return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([one.tobytes()], pa.binary())})
+
+    out = np.zeros((blocks, _BINS), np.uint8)
+    for r in lines.select("doc", "line").mapInArrow(bits, "block long, bits binary").groupBy("block").applyInArrow(merge, "block long, bits binary").collect():
+        out[r.block] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """(doc, line, h): the sets of these lines, and maybe of some others."""
+    spark = docs.sparkSession
+    flat = np.zeros(1 << RARITY_BITS, np.uint8)  # any order will do here
+    few = ends.limit(FILTER_LINES + 1).count() <= FILTER_LINES
+    sent = spark.sparkContext.broadcast(_bitmap(ends)) if few else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch):
+                docs_ = piece.column("doc_id").to_numpy()
                 h, line, first = _tokens(*T.utf8(piece.column("text")))
-                wanted = piece.column("wanted")
-                asked = wanted.flatten().to_numpy() + np.repeat(first[:-1], wanted.value_lengths().to_numpy())
+                if sent is not None:
+                    row = np.repeat(np.arange(len(docs_)), np.diff(first))
+                    at = (line_hash(docs_[row], np.arange(int(first[-1])) - first[row]) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
+                    asked = np.flatnonzero(sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                else:
+                    wanted = piece.column("wanted")
+                    asked = np.sort(wanted.flatten().to_numpy() + np.repeat(first[:-1], wanted.value_lengths().to_numpy()))
                 mask = np.zeros(int(first[-1]) + 1, bool)
                 mask[asked] = True
                 keep = mask[line]
                 key, line = _keys(h[keep], line[keep], flat)
-                at = np.sort(asked)
-                row = np.searchsorted(first, at, "right") - 1
-                low, high = np.searchsorted(line, at), np.searchsorted(line, at, "right")
-                docs_ = piece.column("doc_id").to_numpy()
+                row = np.searchsorted(first, asked, "right") - 1
+                low, high = np.searchsorted(line, asked), np.searchsorted(line, asked, "right")
+                full = high > low
+                asked, row, low, high = asked[full], row[full], low[full], high[full]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs_[row]), pa.array((at - first[row]).astype(np.int32)), pa.array([key[a:b].tobytes() for a, b in zip(low, high)], pa.binary())], names=["doc", "line", "h"]
+                    [pa.array(docs_[row]), pa.array((asked - first[row]).astype(np.int32)), pa.array([key[a:b].tobytes() for a, b in zip(low, high)], pa.binary())], names=["doc", "line", "h"]
                 )
 
-    wanted = docs.join(need.withColumnRenamed("doc", "doc_id").hint("shuffle_hash"), "doc_id")
-    found = T.written(wanted.select("doc_id", "text", "wanted").mapInArrow(sets, "doc long, line int, h binary").groupBy("doc", "line").agg(F.min("h").alias("h")), "line_sets")
+    if not few:
+        need = ends.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list("line").alias("wanted"))
+        docs = docs.join(need.hint("shuffle_hash"), "doc_id")
+    return docs.mapInArrow(run, "doc long, line int, h binary")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distinct (doc, line) of pairs whose whole sets are similar."""
+    pairs = T.written(pairs.select("doc", "line", "other_doc", "other_line").distinct(), "pairs")
+    ends = T.written(pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct(), "ends")
+    found = T.written(_line_sets(docs, ends).groupBy("doc", "line").agg(F.min("h").alias("h")), "line_sets")
     other = found.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("h").alias("other"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,18 +416,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(max(32, min(1 << 20, chars // (8 << 20))))
 
-    entries = T.written(_entries(_class_rows(texts, rarity, ranges), ranges), "entries")
-    pairs = T.written(_pairs(entries), "pairs")
+    entries = _entries(_class_rows(texts, rarity, ranges), ranges)
+    found = T.written(_found(entries), "found")
+    pairs = found.where("other_doc IS NOT NULL")
     gone = T.written(_verified(texts, pairs), "gone")
     left = pairs.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
     left = T.written(left.withColumn("block", F.pmod(F.xxhash64("doc", "line"), F.lit(2**31))), "left")
     n = left.count()
-    for k in range(-(-n // (BLOCK // 2))):  # blocks of half the bound on average, by hash
-        part = left.where(F.pmod("block", F.lit(-(-n // (BLOCK // 2)))) == k)
-        rows = part.select("doc", "line").toArrow()
-        only = np.unique(rows.column("doc").to_numpy().astype(np.uint64) * T.U64(0x9E3779B97F4A7C15) + rows.column("line").to_numpy().astype(np.uint64))
-        gone = gone.unionByName(T.written(_verified(texts, _pairs(entries, spark.sparkContext.broadcast(only))), "gone"))
-    return entries.where("kind = 0").select("doc", "line").union(gone).distinct()
+    blocks = -(-n // (BLOCK // 2))  # of half the bound on average, by hash
+    for k in range(blocks):
+        rows = left.where(F.pmod("block", F.lit(blocks)) == k).select("doc", "line").toArrow()
+        only = np.unique(line_hash(rows.column("doc").to_numpy(), rows.column("line").to_numpy()))
+        gone = gone.unionByName(T.written(_verified(texts, _found(entries, spark.sparkContext.broadcast(only)).where("other_doc IS NOT NULL")), "gone"))
+    return found.where("other_doc IS NULL").select("doc", "line").union(gone).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_empty: bool = True) -> DataFrame:
