@@ -14,13 +14,12 @@ Stages, each a written table where it is used again:
 2. signatures of all sets under their class's digest, packed by hash range inside each task (a class once),
    shuffled as blocks of bytes, and sorted in the receiving task; signatures that several classes share give
    groups of classes.
-3. First pass: each group in runs of ``RUN`` members with the group's first one. Sketches of at least two
-   bits a member give an exact upper bound of every intersection; of the pairs that may link, a spanning
-   forest is verified on the whole sets, taken from the texts again, and components grow by label
-   propagation with pointer jumping.
-4. Second pass: groups that still span several components, in tiles of at most ``TILE`` by ``TILE``
-   members: all pairs across components that may link are compared in the tile's task. No link is lost,
-   copies cost as much as one text, and no step emits a group's pairs.
+3. Groups, in tiles of at most ``TILE`` by ``TILE`` members: a sketch of at least two bits a member gives an
+   exact upper bound of every intersection, and of the pairs that may link a tile gives a spanning forest.
+   The components of these pairs are clusters, each document in one, and no link leaves a cluster.
+4. Clusters get their whole sets, taken from the texts again, and are compared in tiles, where pairs that
+   links already join are skipped; the components of the verified links are the result. No link between
+   different components is lost, copies cost as much as one text, and no step emits a group's pairs.
 
 Cases: a null or empty text, or one without words, has an empty set, links with nothing and is its own
 component; fewer than n words make one shingle of the whole sequence; ties and repeated rows (same id)
@@ -43,7 +42,6 @@ SHINGLE = 5
 #: The threshold as a fraction: 100 * |A and B| >= 75 * |A or B|.
 NUM, DEN = 3, 4
 TILE = 1024
-RUN = 16
 LAST = 2**63 - 1
 EMPTY = T.U64(0x5BD1E9955BD1E995)
 
@@ -110,15 +108,19 @@ _STARTS = np.array(_STARTS)
 
 
 def parts_of(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For a band: how many features two linked sets may differ in, the larger one in the band, and the number of parts."""
+    """For a band: its largest size, and more parts than two linked sets may differ in if the larger one is in the band."""
     largest = _STARTS[band + 1] - 1
-    # |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|), both at most as large as the band's largest size
     k = (DEN - NUM) * 2 * largest // (DEN + NUM)
-    return k, k + 1 + k // 5
+    return largest, k + 1 + k // 5
 
 
 def signatures(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signature hashes of all rows, and the row of each."""
+    """Signature hashes of all rows, and the row of each.
+
+    A set differs from a linked one in at most (1 - t) / (1 + t) * (|A| + |B|) features, and |B| is at most
+    |A| / t and the band's largest size, so at least ``sure`` of its parts are equal and not empty. Two sets
+    that each leave out less than half of their own ``sure`` still share one; the smallest parts, which
+    say least, are left out. A set with none that is sure adds the signature of such sets."""
     out, rows_out = [], []
     size = np.diff(offsets)
     for up in (0, 1):
@@ -129,8 +131,9 @@ def signatures(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
             rows, band = rows[fits], band[fits]
         if not len(rows):
             continue
-        k, parts = parts_of(band)
+        largest, parts = parts_of(band)
         own = size[rows]
+        k = (DEN - NUM) * (own + np.minimum(own * DEN // NUM, largest)) // (DEN + NUM)
         base = np.cumsum(parts) - parts
         row_at = np.repeat(np.arange(len(rows)), own)
         values = h[T.ranges(offsets[rows], own)]
@@ -139,15 +142,19 @@ def signatures(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         total = int(parts.sum())
         content = np.zeros(total, T.U64)
         np.add.at(content, part, T.mix(values))
-        filled = np.zeros(total, bool)
-        filled[part] = True
-        tag = T.mix(np.repeat(band, parts).astype(T.U64) << T.U64(40) | T.ranges(np.zeros(len(rows), np.int64), parts).astype(T.U64))
-        at = np.flatnonzero(filled)
-        out.append(T.mix(content[at] ^ tag[at]))
-        owner = np.repeat(rows, parts)
-        rows_out.append(owner[at])
-        empties = parts - np.bincount(np.repeat(np.arange(len(rows)), parts)[at], minlength=len(rows))
-        odd = np.flatnonzero(empties >= parts - k)
+        count = np.bincount(part, minlength=total)
+        at = np.flatnonzero(count)
+        owner = np.repeat(np.arange(len(rows)), parts)
+        filled = np.bincount(owner[at], minlength=len(rows))
+        sure = filled - k
+        # parts of a row by their number of features, the first of which are left out
+        at = at[np.lexsort((count[at], owner[at]))]
+        rank = T.ranges(np.zeros(len(rows), np.int64), filled)
+        at = at[rank >= np.maximum(sure - 1, 0)[owner[at]] // 2]
+        tag = T.mix(band[owner[at]].astype(T.U64) << T.U64(40) | (at - base[owner[at]]).astype(T.U64))
+        out.append(T.mix(content[at] ^ tag))
+        rows_out.append(rows[owner[at]])
+        odd = np.flatnonzero(sure <= 0)
         out.append(T.mix(EMPTY ^ band[odd].astype(T.U64)))
         rows_out.append(rows[odd])
     if not out:
@@ -240,45 +247,79 @@ def _shared(docs: DataFrame, ranges: int) -> DataFrame:
 
 
 class _Forest:
-    def __init__(self, labels: np.ndarray):
-        _, self.of = np.unique(labels, return_inverse=True)
-        self.parent = np.arange(len(labels))
-
-    def root(self, i: int) -> int:
-        x = self.of[i]
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
+    """Disjoint sets."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
         return x
 
     def join(self, i: int, j: int) -> bool:
         a, b = self.root(i), self.root(j)
-        self.parent[b] = a
+        self.parent[max(a, b)] = min(a, b)
         return a != b
 
 
-def _may_link(i: int, others: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The others whose intersection with i is not bounded below what a link needs."""
-    n, m = size[i], size[others]
-    most = np.minimum(n - np.bitwise_count(sketch[i] & ~sketch[others]).sum(1).astype(np.int64), m - np.bitwise_count(~sketch[i] & sketch[others]).sum(1).astype(np.int64))
-    return others[_link(most, n, m)]
+def _most(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """An upper bound of the intersections of sets of n and m members with the sketches x and y."""
+    return np.minimum(n - np.bitwise_count(x & ~y).sum(1).astype(np.int64), m - np.bitwise_count(~x & y).sum(1).astype(np.int64))
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """(a, b): a spanning forest of the pairs in each run (tile, doc, n, sketch) that may link."""
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows (digest, pos, size, ...) as (tile, side, ...): blocks of TILE members, each pair of blocks one tile."""
+    block = F.floor(F.col("pos") / TILE).cast("int")
+    blocks = F.ceil(F.col("size") / TILE).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    tile = F.xxhash64("digest", F.least("block", "other"), F.greatest("block", "other"))
+    return rows.withColumn("tile", tile).withColumn("side", (F.col("block") > F.col("other")).cast("int"))
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, size = table.column("doc").to_numpy(), table.column("n").to_numpy()
-        sketch = _same_width(table.column("sketch").to_pylist())
-        forest, found = _Forest(ids), []
-        for i in range(len(ids)):
-            for j in _may_link(i, np.arange(i + 1, len(ids)), size, sketch):
-                if forest.join(i, j):
-                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-        a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-        return pa.table({"a": a, "b": b})
 
-    return rows.groupBy("tile").applyInArrow(run, "a long, b long").distinct()
+def _may_link(tiles: DataFrame, buckets: int) -> DataFrame:
+    """(a, b): a spanning forest of the pairs in each tile (tile, side, doc, n, sketch) that may link; many tiles at a time."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tile, side = table.column("tile").to_numpy(), table.column("side").to_numpy()
+        order = np.lexsort((side, tile))
+        tile, side, ids, size = tile[order], side[order], table.column("doc").to_numpy()[order], table.column("n").to_numpy()[order]
+        sketches = table.column("sketch").to_pylist()
+        sketches = [sketches[k] for k in order.tolist()]
+        cut = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+        count = np.diff(np.append(cut, len(tile)))
+        width = np.repeat(np.minimum.reduceat(np.array([len(x) for x in sketches]), cut), count)
+        end = np.repeat(cut + count, count)
+        first = np.repeat(cut + count - np.add.reduceat(side, cut), count)  # of the second block, the end if there is none
+        low = np.where(first < end, first, np.arange(len(tile)) + 1)
+        partners = np.where(side == 1, 0, end - low)
+        forest, keep_a, keep_b = _Forest(len(tile)), [], []
+        for w in np.unique(width):
+            own = np.flatnonzero(width == w)
+            bits = np.empty((len(own), w // 8), np.uint64)
+            for k, r in enumerate(own.tolist()):
+                bits[k] = np.bitwise_or.reduce(np.frombuffer(sketches[r], np.uint64).reshape(-1, w // 8), axis=0)
+            place = np.zeros(len(tile), np.int64)
+            place[own] = np.arange(len(own))
+            ends = np.cumsum(partners[own])
+            at, most = 0, max(1, 1_000_000 // (w // 8))
+            while at < len(own):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+                rows = own[at:to]
+                at = to
+                i, j = np.repeat(rows, partners[rows]), T.ranges(low[rows], partners[rows])
+                ok = _link(_most(bits[place[i]], bits[place[j]], size[i], size[j]), size[i], size[j])
+                for a, b in zip(i[ok].tolist(), j[ok].tolist()):
+                    if forest.join(a, b):
+                        keep_a.append(a)
+                        keep_b.append(b)
+        a, b = ids[keep_a], ids[keep_b]
+        one = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table({"a": one[0].astype(np.int64), "b": one[1].astype(np.int64)})
+
+    return tiles.select(F.pmod("tile", F.lit(buckets)).alias("bucket"), "tile", "side", "doc", "n", "sketch").groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
 def _whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -294,68 +335,29 @@ def _whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return T.written(rows.mapInArrow(run, "doc long, h binary").groupBy("doc").agg(F.min("h").alias("h")), "whole")
 
 
-def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """The pairs that link."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                keep.append(bool(_link(np.intersect1d(x, y, assume_unique=True).size, len(x), len(y))))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    both = pairs.join(whole.select(F.col("doc").alias("a"), F.col("h").alias("x")), "a").join(whole.select(F.col("doc").alias("b"), F.col("h").alias("y")), "b")
-    return T.written(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
-
-
-def _tiles(rows: DataFrame) -> DataFrame:
-    """Rows (digest, pos, size, ...) as (tile, side, ...): blocks of TILE members, each pair of blocks one tile."""
-    block = F.floor(F.col("pos") / TILE).cast("int")
-    blocks = F.ceil(F.col("size") / TILE).cast("int")
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    tile = F.xxhash64("digest", F.least("block", "other"), F.greatest("block", "other"))
-    return rows.withColumn("tile", tile).withColumn("side", (F.col("block") > F.col("other")).cast("int"))
-
-
-def _open_members(tiles: DataFrame) -> DataFrame:
-    """(tile, side, doc, label) of the members that may link across components in their tile."""
-
-    def run(table: pa.Table) -> pa.Table:
-        side, size, label = (table.column(c).to_numpy() for c in ("side", "n", "label"))
-        sketch = _same_width(table.column("sketch").to_pylist())
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        keep = np.zeros(len(side), bool)
-        for i in left:
-            found = _may_link(i, right[label[right] != label[i]], size, sketch)
-            keep[found] = True
-            keep[i] |= len(found) > 0
-        return table.select(["tile", "side", "doc", "label"]).filter(pa.array(keep))
-
-    return tiles.groupBy("tile").applyInArrow(run, "tile long, side int, doc long, label long")
-
-
-def _across(members: DataFrame) -> DataFrame:
-    """The links across components among each tile's members (tile, side, doc, label, h), as a forest."""
+def _links(tiles: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the links in each tile (tile, side, doc, h)."""
 
     def run(table: pa.Table) -> pa.Table:
-        side, ids, label = (table.column(c).to_numpy() for c in ("side", "doc", "label"))
+        side, ids = table.column("side").to_numpy(), table.column("doc").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()]
         size = np.array([len(x) for x in sets])
         sketch = _same_width(_sketches(np.concatenate(sets), np.append(0, np.cumsum(size))))
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        forest, found = _Forest(label), []
+        comp, found = np.arange(len(ids)), []
         for i in left:
-            for j in _may_link(i, right[label[right] != label[i]], size, sketch):
-                if forest.root(i) != forest.root(j) and _link(np.intersect1d(sets[i], sets[j], assume_unique=True).size, size[i], size[j]):
-                    forest.join(i, j)
+            others = right if right is not left else left[left > i]
+            others = others[comp[others] != comp[i]]
+            others = others[_link(_most(sketch[i], sketch[others], size[i], size[others]), size[i], size[others])]
+            for j in others:
+                if comp[i] != comp[j] and _link(np.intersect1d(sets[i], sets[j], assume_unique=True).size, size[i], size[j]):
                     found.append((ids[i], ids[j]))
+                    comp[comp == comp[j]] = comp[i]
         a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": a, "b": b})
 
-    return members.groupBy("tile").applyInArrow(run, "a long, b long")
+    return tiles.select("tile", "side", "doc", "h").groupBy("tile").applyInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -393,25 +395,14 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sketches = sets.join(classes.select("a", "b", F.col("doc").alias("doc_id")), ["a", "b", "doc_id"]).select("a", F.col("doc_id").alias("doc"), "n", "sketch").dropDuplicates(["a"])
     members = groups.select("digest", F.size("members").alias("size"), F.posexplode("members").alias("pos", "a")).join(sketches, "a").drop("a")
     members = T.written(members, "members")
-    runs = F.when(F.col("pos") == 0, F.sequence(F.lit(0), F.floor((F.col("size") - 1) / RUN).cast("int"))).otherwise(F.array(F.floor(F.col("pos") / RUN).cast("int")))
-    tiles = members.withColumn("run", F.explode(runs)).select(F.xxhash64("digest", "run").alias("tile"), "doc", "n", "sketch")
-    pairs = T.written(_candidates(tiles), "pairs")
-    whole = _whole_sets(texts, pairs.select(F.col("a").alias("doc")).union(pairs.select("b")))
-    links = _verified(pairs, whole)
-    labels = components(links)
-
-    # groups that still span several components
-    known = members.join(labels.select(F.col("doc_id").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    spread = known.groupBy("digest").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("size").alias("size")).where("low < high")
-    # of a group of one run, the pairs that may link are settled unless one of them failed
-    failed = pairs.join(links, ["a", "b"], "left_anti")
-    doubtful = members.join(failed.select(F.col("a").alias("doc")).union(failed.select("b")).distinct(), "doc", "left_semi").select("digest").distinct()
-    again = spread.where(F.col("size") > RUN).select("digest").union(spread.select("digest").join(doubtful, "digest")).distinct()
-    rest = T.written(_open_members(_tiles(known.join(again, "digest"))), "open")
-    if not rest.isEmpty():
-        more = T.written(_across(rest.join(_whole_sets(texts, rest), "doc")), "links")
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    # about ten thousand members at a time
+    near = T.written(_may_link(_tiles(members), members.count() // 10_000 + 64), "near")
+    clusters = components(near).select(F.col("doc_id").alias("doc"), F.col("label").alias("digest"))
+    whole = _whole_sets(texts, clusters)
+    # a document's place in its cluster: by counts of blocks of hashes, so that no cluster is sorted in one task
+    sizes = clusters.groupBy("digest").agg(F.count("*").alias("size"))
+    placed = clusters.join(sizes, "digest").withColumn("pos", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / TILE)) * TILE)
+    labels = components(T.written(_links(_tiles(placed).join(whole, "doc")), "links"))
     own = classes.join(labels.withColumnRenamed("doc_id", "doc"), "doc", "left").select(*key, F.coalesce("label", "doc").alias("component"))
     out = sets.drop("sketch").join(own, key).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
     null = lambda c: F.nullif(F.col(c), F.lit(LAST)).alias(c)
