@@ -12,11 +12,11 @@ that line itself kept or not. Lines without words always stay.
    hash range inside each task and meet in one task per range, sorted by word and size: the length filter
    is a window of that order, the positional filter bounds the words still to come, and the bits in which
    two lines' parities differ bound the symmetric difference from below. For each later line the ``BEST``
-   likeliest earlier ones go on (``DOUBTFUL`` where none is likely).
+   likeliest earlier ones go on (more where none is likely).
 4. Candidates are verified on the whole sets, taken from the texts again: lines that are in no candidate
    pair are told by a bitmap of fixed size, or by a join where the pairs are too many for it. Lines that are
-   still open and had more candidates are searched once more for all of theirs, ``BLOCK`` lines
-   at a time.
+   still open and had more candidates are searched once more for all of theirs, ``BLOCK`` lines at a
+   time, among the lines that have one of their prefix words.
 
 Cases: null and empty texts have one empty line, which stays; repeated words count once; ties in the order
 (rows with one doc_id) never remove each other, and such rows share the decisions of their id; a null id
@@ -37,7 +37,6 @@ from vacantia.llm import _text as T
 NUM, DEN = 3, 4
 RARITY_BITS = 21
 BEST = 16
-DOUBTFUL = 256
 BLOCK = 100_000
 LAST = 2**63 - 1
 _BINS = 4096
@@ -93,9 +92,11 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return T.span_hashes(T.prefix_sums(T.FOLDED_VALUES[data]), starts, ends), line, first
 
 
-def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words of each line in the global order, as 64-bit keys, and the line of each."""
-    key = rarity[(h >> T.U64(64 - RARITY_BITS)).astype(np.int64)].astype(T.U64) << T.U64(56) | h >> T.U64(8)
+    key = h >> T.U64(8)
+    if rarity is not None:
+        key |= rarity[(h >> T.U64(64 - RARITY_BITS)).astype(np.int64)].astype(T.U64) << T.U64(56)
     order = np.argsort(key)
     if len(line) and line[-1] < 65536:  # a radix sort
         order = order[np.argsort(line[order].astype(np.uint16), kind="stable")]
@@ -109,9 +110,8 @@ def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarr
 
 def _parities(key: np.ndarray, line: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Parities of each line's words: where two lines' differ, at least so many words are in one of them only."""
-    out = np.zeros((len(n), 192), np.uint8)
-    np.add.at(out.reshape(-1), line * 192 + (T.mix(key ^ T.U64(3)) % T.U64(192)).astype(np.int64), 1)
-    words = np.packbits(out & 1, axis=1, bitorder="little").view(np.uint64).reshape(len(n), 3)
+    count = np.bincount(line * 192 + (T.mix(key ^ T.U64(3)) % T.U64(192)).astype(np.int64), minlength=len(n) * 192)
+    words = np.packbits(count.astype(np.uint8) & 1, bitorder="little").view(np.uint64).reshape(len(n), 3)
     short = n <= LONG
     words[short, 0] ^= words[short, 1] ^ words[short, 2]
     words[short, 1:] = 0
@@ -169,7 +169,7 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
             ends = np.append(0, np.cumsum(size))
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             stop = np.append(cut[1:], len(bucket))
-            words = [np.ascontiguousarray(flat[ends[a] : ends[b]]).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for a, b in zip(cut, stop)]
+            words = [np.ascontiguousarray(flat[ends[a] : ends[b]]).view(np.uint8).reshape(-1, 8)[:, 1:7].tobytes() for a, b in zip(cut, stop)]
             return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array([pack(fixed[a:b]) for a, b in zip(cut, stop)], pa.binary()), pa.array(words, pa.binary())], names=["bucket", "fixed", "prefix"])
 
         for batch in batches:
@@ -203,6 +203,37 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, fixed binary, prefix binary")
 
 
+def _narrow(classes: DataFrame, only) -> DataFrame:
+    """The class rows of lines that share a prefix word with the lines of ``only`` (a broadcast array of hashes)."""
+    spark = classes.sparkSession
+
+    def keys_of(batches: Iterator[pa.RecordBatch], send) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, fixed, prefix in zip(*(batch.column(c).to_pylist() for c in ("bucket", "fixed", "prefix"))):
+                rows = unpack([fixed], CLASS)
+                size = prefix_length(rows["n"].astype(np.int64))
+                wide = np.zeros((int(size.sum()), 8), np.uint8)
+                wide[:, :6] = np.frombuffer(prefix, np.uint8).reshape(-1, 6)
+                yield from send(bucket, rows, size, wide.view(np.uint64)[:, 0])
+
+    def collect(bucket: int, rows: np.ndarray, size: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        mine = np.isin(line_hash(rows["doc"], rows["line"]), only.value)
+        if mine.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys[np.repeat(mine, size)]).view(np.int64))], names=["key"])
+
+    found = classes.mapInArrow(lambda b: keys_of(b, collect), "key long").distinct().toArrow()
+    sent = spark.sparkContext.broadcast(np.sort(found.column("key").to_numpy().view(np.uint64)))
+
+    def keep(bucket: int, rows: np.ndarray, size: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        row = np.repeat(np.arange(len(rows)), size)
+        mine = np.bincount(row[np.isin(keys, sent.value)], minlength=len(rows)) > 0
+        if mine.any():
+            words = np.ascontiguousarray(keys[mine[row]]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack(rows[mine])], pa.binary()), pa.array([words], pa.binary())], names=["bucket", "fixed", "prefix"])
+
+    return classes.mapInArrow(lambda b: keys_of(b, keep), "bucket long, fixed binary, prefix binary")
+
+
 def _entries(classes: DataFrame, ranges: int) -> DataFrame:
     """(range, gone, blob): packed prefix entries by word range, or packed places of lines that equal an earlier one."""
 
@@ -303,7 +334,7 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
             start = np.maximum.accumulate(np.where(head, np.arange(len(i)), 0))
             size = np.diff(np.append(np.flatnonzero(head), len(i)))
             # few for a line whose likeliest partner is well inside the bound, more for a doubtful one
-            most = np.where(apart[start] <= 500, BEST, DOUBTFUL)
+            most = np.where(apart[start] <= 250, BEST, np.where(apart[start] <= 600, 4 * BEST, 32 * BEST))
             keep = np.arange(len(i)) - start < most
             i, j, more = i[keep], j[keep], (np.repeat(size, size) > most)[keep]
         none = np.zeros(len(equal), np.int64)
@@ -352,7 +383,6 @@ def _bitmap(lines: DataFrame) -> np.ndarray:
 def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """(doc, line, h): the sets of these lines, and maybe of some others."""
     spark = docs.sparkSession
-    flat = np.zeros(1 << RARITY_BITS, np.uint8)  # any order will do here
     few = ends.limit(FILTER_LINES + 1).count() <= FILTER_LINES
     sent = spark.sparkContext.broadcast(_bitmap(ends)) if few else None
 
@@ -371,7 +401,7 @@ def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
                 mask = np.zeros(int(first[-1]) + 1, bool)
                 mask[asked] = True
                 keep = mask[line]
-                key, line = _keys(h[keep], line[keep], flat)
+                key, line = _keys(h[keep], line[keep], None)  # any order will do here
                 row = np.searchsorted(first, asked, "right") - 1
                 low, high = np.searchsorted(line, asked), np.searchsorted(line, asked, "right")
                 full = high > low
@@ -416,8 +446,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(max(32, min(1 << 20, chars // (8 << 20))))
 
-    entries = _entries(_class_rows(texts, rarity, ranges), ranges)
-    found = T.written(_found(entries), "found")
+    classes = T.written(_class_rows(texts, rarity, ranges), "classes")
+    found = T.written(_found(_entries(classes, ranges)), "found")
     pairs = found.where("other_doc IS NOT NULL")
     gone = T.written(_verified(texts, pairs), "gone")
     left = pairs.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
@@ -426,8 +456,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = -(-n // (BLOCK // 2))  # of half the bound on average, by hash
     for k in range(blocks):
         rows = left.where(F.pmod("block", F.lit(blocks)) == k).select("doc", "line").toArrow()
-        only = np.unique(line_hash(rows.column("doc").to_numpy(), rows.column("line").to_numpy()))
-        gone = gone.unionByName(T.written(_verified(texts, _found(entries, spark.sparkContext.broadcast(only)).where("other_doc IS NOT NULL")), "gone"))
+        only = spark.sparkContext.broadcast(np.unique(line_hash(rows.column("doc").to_numpy(), rows.column("line").to_numpy())))
+        again = _found(_entries(_narrow(classes, only), ranges), only).where("other_doc IS NOT NULL")
+        gone = gone.unionByName(T.written(_verified(texts, again), "gone"))
     return found.where("other_doc IS NULL").select("doc", "line").union(gone).distinct()
 
 
