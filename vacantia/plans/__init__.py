@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Registers the queries of all modules."""
-    from vacantia.plans import filter_queries, metric_queries  # noqa: F401
+    from vacantia.plans import filter_queries, join_queries, metric_queries, stream_queries  # noqa: F401
