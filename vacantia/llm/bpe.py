@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from vacantia.llm import _pretokens as W
 from vacantia.llm import _text as T
@@ -302,7 +303,7 @@ def decode_ids(ids: np.ndarray, model: Model) -> bytes:
 def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", as_col: str = "ids") -> DataFrame:
     """The frame with the exact ids of each text in a new column."""
     T.importable(docs.sparkSession)
-    schema = docs.schema.add(as_col, "array<int>")
+    schema = StructType([*docs.schema.fields, StructField(as_col, ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +325,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", a
             texts = pa.array([decode_ids(np.array(x or [], np.int64), model).decode("utf-8", "replace") for x in batch.column(ids_col).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, as_col])
 
-    return encoded.mapInArrow(run, encoded.schema.add(as_col, "string"))
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(as_col, StringType())]))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

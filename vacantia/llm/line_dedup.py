@@ -36,7 +36,7 @@ from vacantia.llm import _text as T
 
 NUM, DEN = 3, 4
 RARITY_BITS = 21
-BEST = 16
+BEST = 4
 BLOCK = 100_000
 LAST = 2**63 - 1
 _BINS = 4096
@@ -317,7 +317,8 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
             i, j, both, need = i[ok], j[ok], both[ok], need[ok]
             apart, most = _apart(parity, long, i, j), both - 2 * need
             ok = apart <= most
-            i, j, apart = i[ok], j[ok], apart[ok] * 1000 // np.maximum(most[ok], 1)
+            # how much of the bound is used, in thousandths; small bounds tell little
+            i, j, apart = i[ok], j[ok], np.where(most[ok] < 6, 999, apart[ok] * 1000 // np.maximum(most[ok], 1))
             swap = (doc[i] < doc[j]) | ((doc[i] == doc[j]) & (line[i] < line[j]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             ok = (doc[i] != doc[j]) | (line[i] != line[j])
@@ -334,7 +335,7 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
             start = np.maximum.accumulate(np.where(head, np.arange(len(i)), 0))
             size = np.diff(np.append(np.flatnonzero(head), len(i)))
             # few for a line whose likeliest partner is well inside the bound, more for a doubtful one
-            most = np.where(apart[start] <= 250, BEST, np.where(apart[start] <= 600, 4 * BEST, 32 * BEST))
+            most = np.where(apart[start] <= 250, BEST, np.where(apart[start] <= 600, 8 * BEST, 128 * BEST))
             keep = np.arange(len(i)) - start < most
             i, j, more = i[keep], j[keep], (np.repeat(size, size) > most)[keep]
         none = np.zeros(len(equal), np.int64)
