@@ -207,31 +207,45 @@ def _narrow(classes: DataFrame, only) -> DataFrame:
     """The class rows of lines that share a prefix word with the lines of ``only`` (a broadcast array of hashes)."""
     spark = classes.sparkSession
 
-    def keys_of(batches: Iterator[pa.RecordBatch], send) -> Iterator[pa.RecordBatch]:
+    def keys_of(prefix: bytes) -> np.ndarray:
+        wide = np.zeros((len(prefix) // 6, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(prefix, np.uint8).reshape(-1, 6)
+        return wide.view(np.uint64)[:, 0]
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, fixed, prefix in zip(*(batch.column(c).to_pylist() for c in ("bucket", "fixed", "prefix"))):
+            for fixed, prefix in zip(batch.column("fixed").to_pylist(), batch.column("prefix").to_pylist()):
                 rows = unpack([fixed], CLASS)
-                size = prefix_length(rows["n"].astype(np.int64))
-                wide = np.zeros((int(size.sum()), 8), np.uint8)
-                wide[:, :6] = np.frombuffer(prefix, np.uint8).reshape(-1, 6)
-                yield from send(bucket, rows, size, wide.view(np.uint64)[:, 0])
-
-    def collect(bucket: int, rows: np.ndarray, size: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        mine = np.isin(line_hash(rows["doc"], rows["line"]), only.value)
-        if mine.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys[np.repeat(mine, size)]).view(np.int64))], names=["key"])
-
-    found = classes.mapInArrow(lambda b: keys_of(b, collect), "key long").distinct().toArrow()
-    sent = spark.sparkContext.broadcast(np.sort(found.column("key").to_numpy().view(np.uint64)))
-
-    def keep(bucket: int, rows: np.ndarray, size: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        row = np.repeat(np.arange(len(rows)), size)
-        mine = np.bincount(row[np.isin(keys, sent.value)], minlength=len(rows)) > 0
-        if mine.any():
-            words = np.ascontiguousarray(keys[mine[row]]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack(rows[mine])], pa.binary()), pa.array([words], pa.binary())], names=["bucket", "fixed", "prefix"])
-
-    return classes.mapInArrow(lambda b: keys_of(b, keep), "bucket long, fixed binary, prefix binary")
+                mine = np.isin(line_hash(rows["doc"], rows["line"]), only.value)
+                if mine.any():
+                    found = keys_of(prefix)[np.repeat(mine, prefix_length(rows["n"].astype(np.int64)))]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(found).view(np.int64))], names=["key"])
+
+    found = np.sort(classes.mapInArrow(collect, "key long").distinct().toArrow().column("key").to_numpy().view(np.uint64))
+    marks = np.zeros(1 << 16, bool)
+    marks[(found & T.U64(0xFFFF)).astype(np.int64)] = True
+    sent = spark.sparkContext.broadcast((found, marks))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, marks = sent.value
+        for batch in batches:
+            for bucket, fixed, prefix in zip(*(batch.column(c).to_pylist() for c in ("bucket", "fixed", "prefix"))):
+                low = np.frombuffer(prefix, "<u2").reshape(-1, 3)[:, 0]  # the low two bytes of each word
+                maybe = np.flatnonzero(marks[low])
+                if not len(maybe):
+                    continue
+                keys = keys_of(prefix)
+                hit = maybe[np.isin(keys[maybe], found)]
+                if len(hit):
+                    rows = unpack([fixed], CLASS)
+                    size = prefix_length(rows["n"].astype(np.int64))
+                    row = np.repeat(np.arange(len(rows)), size)
+                    mine = np.zeros(len(rows), bool)
+                    mine[row[hit]] = True
+                    words = np.ascontiguousarray(keys[mine[row]]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack(rows[mine])], pa.binary()), pa.array([words], pa.binary())], names=["bucket", "fixed", "prefix"])
+
+    return classes.mapInArrow(keep, "bucket long, fixed binary, prefix binary")
 
 
 def _entries(classes: DataFrame, ranges: int) -> DataFrame:
@@ -391,20 +405,23 @@ def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
         for batch in batches:
             for piece in T.pieces(batch):
                 docs_ = piece.column("doc_id").to_numpy()
-                h, line, first = _tokens(*T.utf8(piece.column("text")))
+                data, offsets = T.utf8(piece.column("text"))
+                starts, stops, first = T.lines(data, offsets)
                 if sent is not None:
                     row = np.repeat(np.arange(len(docs_)), np.diff(first))
-                    at = (line_hash(docs_[row], np.arange(int(first[-1])) - first[row]) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
+                    at = (line_hash(docs_[row], np.arange(len(starts)) - first[row]) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
                     asked = np.flatnonzero(sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
                 else:
                     wanted = piece.column("wanted")
                     asked = np.sort(wanted.flatten().to_numpy() + np.repeat(first[:-1], wanted.value_lengths().to_numpy()))
-                mask = np.zeros(int(first[-1]) + 1, bool)
-                mask[asked] = True
-                keep = mask[line]
-                key, line = _keys(h[keep], line[keep], None)  # any order will do here
+                # only the lines that are asked for are tokenised
+                size = stops[asked] - starts[asked]
+                part = data[T.ranges(starts[asked], size)]
+                begin, end, word = T.spans(T.NOT_SPACE[part], np.append(0, np.cumsum(size)))
+                h = T.span_hashes(T.prefix_sums(T.FOLDED_VALUES[part]), begin, end)
+                key, line = _keys(h, np.repeat(np.arange(len(asked)), np.diff(word)), None)  # any order will do here
                 row = np.searchsorted(first, asked, "right") - 1
-                low, high = np.searchsorted(line, asked), np.searchsorted(line, asked, "right")
+                low, high = (np.searchsorted(line, np.arange(len(asked)), side) for side in ("left", "right"))
                 full = high > low
                 asked, row, low, high = asked[full], row[full], low[full], high[full]
                 yield pa.RecordBatch.from_arrays(
