@@ -530,3 +530,20 @@ def brute_force(docs: list[tuple[int, str | None]]) -> list[tuple[int, int, int,
             seen.append(((doc, k), s))
         out[doc] = (doc, len(lines), len(gone), ",".join(map(str, gone)))
     return [out[d] for d, _ in docs]
+
+
+#: The same rows by a plain prefix filter on exact word counts.
+ORACLE_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS t, unnest(range(len(x))) AS line FROM t),
+k AS (SELECT doc_id, line, doc_id * 1000000 + line AS place, list_sort(list_distinct(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))) AS w FROM l),
+c AS (SELECT w, len(w) AS n, min(place) AS f FROM k WHERE len(w) > 0 GROUP BY 1),
+u AS (SELECT f, n, unnest(w) AS word FROM c),
+o AS (SELECT f, n, word, row_number() OVER (PARTITION BY f ORDER BY df, word) AS r FROM u JOIN (SELECT word, count(*) AS df FROM u GROUP BY 1) USING (word)),
+x AS (SELECT f, n, word FROM o WHERE r <= n - (3 * n + 3) // 4 + 1),
+p AS (SELECT DISTINCT a.f AS later, b.f AS earlier FROM x a JOIN x b ON a.word = b.word AND a.f > b.f AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)),
+v AS (SELECT later, a.n + b.n AS total, len(list_intersect(a.w, b.w)) AS common FROM p JOIN c a ON a.f = later JOIN c b ON b.f = earlier),
+g AS (SELECT DISTINCT later FROM v WHERE 4 * common >= 3 * (total - common)),
+e AS (SELECT k.doc_id, k.line FROM k JOIN c ON c.w = k.w WHERE k.place <> c.f OR c.f IN (SELECT later FROM g)),
+a AS (SELECT doc_id, count(*) AS n_removed, string_agg(line::VARCHAR, ',' ORDER BY line) AS removed_lines FROM e GROUP BY 1)
+SELECT t.doc_id, len(x)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed_lines, '') AS removed_lines FROM t LEFT JOIN a ON a.doc_id = t.doc_id"""

@@ -17,8 +17,11 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
+    "op1_secret_scan": secret_scan.ORACLE_SQL,
     "op2_warc": warc.ORACLE_SQL,
+    "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op7_decontamination": decontamination.ORACLE_SQL,
+    "op8_ngram_join": ngram_join.ORACLE_SQL,
     "op9_chat_format": chat_format.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
 }

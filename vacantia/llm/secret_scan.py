@@ -197,3 +197,25 @@ def secret_report(docs: DataFrame, **columns: str) -> DataFrame:
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _oracle() -> str:
+    """The same rows in SQL: matches and the texts between them give the spans."""
+    parts = []
+    for k, r in enumerate(RULES):
+        regex = r.regex.replace("'", "''")
+        cut = f"string_split_regex(text, '{regex}')"
+        found, own = (f"regexp_extract_all(text, '{regex}', {g})" for g in (0, r.group))
+        parts.append(f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, {cut} AS gaps, {found} AS found, {own} AS own FROM t WHERE regexp_matches(text, '{regex}')")
+    before = "list_sum([0] || list_transform(gaps[1:i], lambda x: length(x))) + list_sum([0] || list_transform(found[1:i - 1], lambda x: length(x)))"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+s AS (SELECT doc_id, k, kind, ({before})::BIGINT AS start, length(found[i]) AS n FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m) WHERE length(own[i]) >= least),
+g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+  string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, k) FILTER (WHERE k < {BASE}) AS base, string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, k) AS spans FROM s GROUP BY 1)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g ON g.doc_id = t.doc_id"""
+
+
+ORACLE_SQL = _oracle()
