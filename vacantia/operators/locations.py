@@ -174,3 +174,12 @@ def primary_label(locations: Column) -> Column:
 
 def changed(old: Column, new: Column) -> Column:
     return ~old.eqNullSafe(new)
+
+
+def from_legacy(code: Column, legacy: dict[str, Column], parsed: Column | None = None) -> Column:
+    """The locations of a legacy city code: those parsed from the posting if any is known, else the code's own."""
+    own = F.lit(None).cast(TYPE)
+    for key, value in legacy.items():
+        own = F.when(code == key, value).otherwise(own)
+    known = F.filter(parsed, lambda l: l["type"] != "unknown") if parsed is not None else F.array().cast(f"array<{TYPE}>")
+    return F.when(F.size(known) > 0, known).when(own.isNotNull(), F.array(own)).otherwise(F.array(location("unknown")))

@@ -110,3 +110,9 @@ def touch(old: DataFrame, new: DataFrame, key: str, columns: list[str], now: Col
 def fill_from(df: DataFrame, side: DataFrame, key: str, column: str) -> DataFrame:
     """Empty values taken from a side table."""
     return df.join(side.select(key, F.col(column).alias("__side")), key, "left").withColumn(column, F.coalesce(column, "__side")).drop("__side")
+
+
+def rename_families(skills: Column, renames: dict[str, str]) -> Column:
+    """An array of (name, family_code) with some codes renamed."""
+    codes = F.create_map(*[F.lit(x) for kv in renames.items() for x in kv])
+    return F.transform(skills, lambda s: F.struct(s["name"].alias("name"), F.coalesce(F.try_element_at(codes, s["family_code"]), s["family_code"]).alias("family_code")))

@@ -104,3 +104,43 @@ register("j15_backfill_names", lambda s, d: J.changed_only(employers(s, d), "dis
 register("j16_missing_ids", lambda s, d: J.fill_from(postings(s, d).select("id", F.when(F.col("id") % 2 == 0, F.col("title")).alias("title")), postings(s, d), "id", "title"), "SELECT id, title FROM postings")
 register("a10_batched_lookup", lambda s, d: E.without_match(postings(s, d), postings(s, d).where("id % 7 <> 0"), "id").select("id"), "SELECT id FROM postings WHERE id % 7 = 0")
 register("a09_full_scan", lambda s, d: table(s, d, "orders").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")), "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders")
+
+
+def _combined(s, d):
+    from vacantia.operators.classify import combine_agency
+
+    pattern = F.when(F.col("id") % 3 == 0, "high").when(F.col("id") % 3 == 1, "medium").otherwise("low")
+    agency, sure = combine_agency(pattern, F.when(F.col("id") % 5 > 0, F.col("is_agency")), F.lit(None).cast("string"))
+    return postings(s, d).groupBy(agency.alias("agency"), sure.alias("sure")).agg(F.count("*").alias("n"))
+
+
+register("d02_combine_flags", _combined, """WITH r AS (SELECT CASE id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS p, CASE WHEN id % 5 > 0 THEN is_agency END AS f FROM postings)
+SELECT CASE p WHEN 'high' THEN true WHEN 'medium' THEN coalesce(f, true) ELSE coalesce(f, false) END AS agency, CASE WHEN p = 'high' THEN 'high' WHEN p = 'medium' AND f THEN 'high' WHEN p = 'medium' AND NOT f THEN 'low' WHEN p = 'medium' THEN 'medium' WHEN f IS NOT NULL THEN 'medium' ELSE 'low' END AS sure, count(*) AS n FROM r GROUP BY ALL""")
+register("d13_legacy_codes", lambda s, d: _legacy(s, d), "SELECT id, CASE WHEN id % 2 = 0 THEN city WHEN city = 'CHINA' THEN 'beijing' ELSE 'unknown' END AS place FROM postings")
+
+
+def _legacy(s, d):
+    parsed = F.when(F.col("id") % 2 == 0, F.array(L.location("city", F.col("region"), F.col("city")))).otherwise(F.array(L.location("unknown")))
+    found = L.from_legacy(F.col("city"), {"CHINA": L.location("city", "CN", "beijing")}, parsed)
+    return postings(s, d).select("id", L.primary_label(found).alias("place"))
+
+
+register("f21_freshness_totals", lambda s, d: _fresh(s, d), """WITH l AS (SELECT o_custkey AS company, o_orderkey AS job, o_custkey % 10 <> 0 AS ok FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'), h AS (SELECT company, bool_and(ok) AS ok FROM l GROUP BY 1),
+t AS (SELECT o_custkey AS company, o_orderkey IN (SELECT job FROM l) AS hit FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'), m AS (SELECT company, count(*) AS tracked, count(*) FILTER (WHERE hit) AS matched FROM t GROUP BY 1)
+SELECT CASE WHEN ok IS NULL OR NOT ok THEN 'skipped_error' WHEN matched = 0 AND tracked > 1 THEN 'skipped_suspicious' WHEN hit THEN 'active' ELSE 'closed' END AS verdict, count(*) AS jobs, count(DISTINCT company) AS companies FROM t JOIN m USING (company) LEFT JOIN h USING (company) GROUP BY 1""")
+
+
+def _fresh(s, d):
+    orders = table(s, d, "orders").select(F.col("o_custkey").alias("company"), F.col("o_orderkey").alias("job"), "o_orderdate")
+    tracked = orders.where("o_orderdate < TIMESTAMP '2000-01-01'").select("company", "job", F.lit("active").alias("status"))
+    listings = orders.where("o_orderdate >= TIMESTAMP '1999-01-01'").select("company", "job", (F.col("company") % 10 != 0).alias("ok"))
+    return J.freshness(tracked, listings, ["company"], "job", "status").groupBy("verdict").agg(F.count("*").alias("jobs"), F.countDistinct("company").alias("companies"))
+
+
+register("j12_rename_families", lambda s, d: _renamed(s, d), "SELECT CASE WHEN skill LIKE '%1' THEN 'first' ELSE 'rest' END AS family, count(*) AS n FROM (SELECT unnest(skills) AS skill FROM postings) GROUP BY 1")
+
+
+def _renamed(s, d):
+    tagged = F.transform("skills", lambda x: F.struct(x.alias("name"), F.when(x.endswith("1"), "one").otherwise("rest").alias("family_code")))
+    rows = postings(s, d).select(F.explode(J.rename_families(tagged, {"one": "first"})).alias("k"))
+    return rows.groupBy(F.col("k.family_code").alias("family")).agg(F.count("*").alias("n"))
