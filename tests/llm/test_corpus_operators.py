@@ -45,6 +45,14 @@ def test_linked_sets_share_a_signature():
                 assert set(s[row == 0]) & set(s[row == 1]), size
 
 
+def test_components_of_a_long_chain(spark):
+    ids = np.random.default_rng(1).permutation(1000).tolist()
+    falling = [1000, *range(1999, 1000, -1)]  # the smallest id beside the largest
+    pairs = [*zip(ids, ids[1:]), *zip(falling, falling[1:])]
+    got = ngram_join.components(spark.createDataFrame(pairs, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(i, i // 1000 * 1000) for i in range(2000)]
+
+
 def test_keep_one(spark):
     kept = ngram_join.keep_one(table(spark))
     want = {i for i, _, c in ngram_join.brute_force(awkward()) if i == c}

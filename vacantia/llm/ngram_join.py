@@ -360,23 +360,27 @@ def _links(tiles: DataFrame) -> DataFrame:
     return tiles.select("tile", "side", "doc", "h").groupBy("tile").applyInArrow(run, "a long, b long").distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(doc_id, label) of every id in the links (a, b); the label is the smallest id reachable.
 
-    Each round takes the smallest label of an id and its neighbours and then jumps to that label's label;
+    Rounds of FastSV until no label changes: an id takes the smallest label's label of itself and its neighbours,
+    and so does its label's own row, so that whole regions move at once and long chains take few rounds.
+    Labels only fall and an unchanged table has one label a component, so there is no limit to the rounds;
     labels are written tables, so a lost executor repeats a round at most."""
     edges = T.written(links.union(links.select("b", "a")).distinct(), "edges")
     labels = T.written(edges.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    for _ in range(rounds):
-        near = edges.join(labels.select(F.col("doc_id").alias("b"), "label"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("label").alias("near"))
-        jump = labels.select(F.col("doc_id").alias("label"), F.col("label").alias("far"))
-        moved = labels.join(near, "doc_id").join(jump, "label", "left")
-        new = T.written(moved.select("doc_id", F.least("label", "near", F.coalesce("far", "label")).alias("label"), F.col("label").alias("was")), "labels")
+    changed = 1
+    while changed:
+        # a label is itself an id of the links
+        own = labels.join(labels.select(F.col("doc_id").alias("label"), F.col("label").alias("far")), "label")
+        near = edges.join(own.select(F.col("doc_id").alias("b"), "far"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("far").alias("near"))
+        move = lambda at, to, was: F.struct(at.alias("doc_id"), to.alias("label"), was.alias("was"))
+        moves = F.array(move(F.col("doc_id"), F.least("far", "near"), F.col("label")), move(F.col("label"), F.col("near"), F.lit(None).cast("long")))
+        moved = own.join(near, "doc_id").select(F.inline(moves))
+        new = T.written(moved.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("was").alias("was")), "labels")
         changed = new.where("label < was").limit(1).count()
         labels = new.select("doc_id", "label")
-        if not changed:
-            return labels
-    raise RuntimeError(f"components still change after {rounds} rounds")
+    return labels
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
