@@ -92,6 +92,35 @@ def test_repeat_search_finds_the_same(spark):
         line_dedup.FILTER_LINES = big
 
 
+def test_lines_of_one_template(spark, monkeypatch):
+    rows = [(k, f"thread started by user{k * 7919 % 1500} in the general discussion forum\nhello {words(k, 9)[0]}") for k in range(1500)]
+    docs = table(spark, rows)
+    rarity = spark.sparkContext.broadcast(line_dedup.word_rarity(docs))
+    classes = _text.written(line_dedup._class_rows(docs, rarity, 32), "classes")
+    whole = {(r.doc, r.line) for r in line_dedup._found(line_dedup._entries(classes, 32)).collect()}
+    monkeypatch.setattr(line_dedup, "PAIRS", 6000)
+    monkeypatch.setattr(line_dedup, "ENTRIES", 1000)
+    crowded = line_dedup._crowded(classes, 32)
+    assert max(crowded.values()) > 2
+    # every pair of blocks meets, and a task's pairs are bounded by lines and not by their square
+    tiled = line_dedup._found(line_dedup._entries(classes, 32, crowded))
+    assert {(r.doc, r.line) for r in tiled.collect()} == whole
+    tasks = sum(b * (b + 1) // 2 for b in crowded.values()) + 64
+    assert tiled.where("other_doc IS NOT NULL").count() <= tasks * 6000
+    got = line_dedup.line_report(docs)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(line_dedup.brute_force(rows))
+
+
+def test_best_pairs_of_parts_are_those_of_all():
+    rng = np.random.default_rng(3)
+    i, j, apart = rng.integers(0, 40, 20_000), np.arange(20_000), rng.integers(100, 1000, 20_000)
+    held = [np.zeros(0, np.int64)] * 3
+    for at in range(0, 20_000, 500):
+        held = line_dedup._best(*(np.append(a, b[at : at + 500]) for a, b in zip(held, (i, j, apart))), 600)[:3]
+        assert len(held[0]) <= 40 * 128 * line_dedup.BEST
+    assert all((a == b).all() for a, b in zip(held, line_dedup._best(i, j, apart, 600)))
+
+
 def test_packed_records_round_trip():
     rows = np.zeros(50, line_dedup.ENTRY)
     r = np.random.default_rng(1)

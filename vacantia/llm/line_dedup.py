@@ -12,7 +12,8 @@ that line itself kept or not. Lines without words always stay.
    hash range inside each task and meet in one task per range, sorted by word and size: the length filter
    is a window of that order, the positional filter bounds the words still to come, and the bits in which
    two lines' parities differ bound the symmetric difference from below. For each later line the ``BEST``
-   likeliest earlier ones go on (more where none is likely).
+   likeliest earlier ones go on (more where none is likely), held as a running list of at most ``PAIRS`` a
+   task. A range of more than ``ENTRIES`` entries is dealt as tiles, each pair of its blocks one group.
 4. Candidates are verified on the whole sets, taken from the texts again: lines that are in no candidate
    pair are told by a bitmap of fixed size, or by a join where the pairs are too many for it. Lines that are
    still open and had more candidates are searched once more for all of theirs, ``BLOCK`` lines at a
@@ -38,6 +39,9 @@ NUM, DEN = 3, 4
 RARITY_BITS = 21
 BEST = 4
 BLOCK = 100_000
+#: Pairs that a task holds, and entries of a range beyond which it is cut into blocks of half as many.
+PAIRS = 1 << 22
+ENTRIES = 1 << 20
 LAST = 2**63 - 1
 _BINS = 4096
 #: Bits of the bitmap of lines to verify, and how many lines it serves.
@@ -248,8 +252,33 @@ def _narrow(classes: DataFrame, only) -> DataFrame:
     return classes.mapInArrow(keep, "bucket long, fixed binary, prefix binary")
 
 
-def _entries(classes: DataFrame, ranges: int) -> DataFrame:
-    """(range, gone, blob): packed prefix entries by word range, or packed places of lines that equal an earlier one."""
+def _range_of(word: np.ndarray, ranges: int) -> np.ndarray:
+    return ((word >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+
+
+def _crowded(classes: DataFrame, ranges: int) -> dict[int, int]:
+    """Blocks of each word range that has more than ENTRIES entries; equal sets that a task sees together count once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ranges, np.int64)
+        for batch in batches:
+            fixed = unpack(batch.column("fixed").to_pylist(), CLASS)
+            words = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.uint8).reshape(-1, 6)
+            size = prefix_length(fixed["n"].astype(np.int64))
+            _, one = np.unique(fixed["a"], return_index=True)
+            wide = np.zeros((int(size[one].sum()), 8), np.uint8)
+            wide[:, :6] = words[T.ranges((np.cumsum(size) - size)[one], size[one])]
+            total += np.bincount(_range_of(T.mix(wide.view(np.uint64)[:, 0]), ranges), minlength=ranges)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["range", "n"])
+
+    sums = classes.select("fixed", "prefix").mapInArrow(count, "range long, n long").groupBy("range").agg(F.sum("n").alias("n"))
+    return {r.range: -(-2 * r.n // ENTRIES) for r in sums.where(F.col("n") > ENTRIES).collect()}
+
+
+def _entries(classes: DataFrame, ranges: int, crowded: dict[int, int] | None = None) -> DataFrame:
+    """(range, gone, blob, block, blocks): packed prefix entries by word range, or packed places of lines that equal an earlier one."""
+    blocks_of = crowded or {}
 
     def run(table: pa.Table) -> pa.Table:
         fixed = unpack(table.column("fixed").to_pylist(), CLASS)
@@ -275,18 +304,37 @@ def _entries(classes: DataFrame, ranges: int) -> DataFrame:
         e["pos"] = T.ranges(np.zeros(len(n), np.int64), n)
         for c in ("n", "line", "doc", *PARITIES):
             e[c] = fixed[c][pick]
-        bucket = ((mixed >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+        bucket = _range_of(mixed, ranges)
         by = np.argsort(bucket, kind="stable")
         e, bucket = e[by], bucket[by]
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-        rows = [(int(bucket[a]), False, pack(e[a:b])) for a, b in zip(cut, np.append(cut[1:], len(bucket)))]
+        own = int(table.column("bucket")[0].as_py())  # of the sets' hash, so any word's entries lie in all of them
+        rows = []
+        for a, b in zip(cut, np.append(cut[1:], len(bucket))):
+            blocks = blocks_of.get(int(bucket[a]), 1)
+            rows.append((int(bucket[a]), False, pack(e[a:b]), own % blocks, blocks))
         if len(gone):
             gone = gone[np.argsort(gone["doc"], kind="stable")]
-            rows.append((int(table.column("bucket")[0].as_py()), True, pack(gone)))
-        a, b, c = zip(*rows)
-        return pa.table({"range": pa.array(a, pa.int64()), "gone": pa.array(b, pa.bool_()), "blob": pa.array(c, pa.binary())})
+            rows.append((own, True, pack(gone), 0, 1))
+        a, b, c, d, f = zip(*rows)
+        return pa.table({"range": pa.array(a, pa.int64()), "gone": pa.array(b, pa.bool_()), "blob": pa.array(c, pa.binary()), "block": pa.array(d, pa.int32()), "blocks": pa.array(f, pa.int32())})
 
-    return classes.groupBy("bucket").applyInArrow(run, "range long, gone boolean, blob binary")
+    return classes.groupBy("bucket").applyInArrow(run, "range long, gone boolean, blob binary, block int, blocks int")
+
+
+def _best(i: np.ndarray, j: np.ndarray, apart: np.ndarray, most_pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The likeliest pairs of each later line i, in order, and how many a line may have.
+
+    A line's bound falls only as likelier pairs come, so the best of the best and more pairs are the best of all."""
+    order = np.lexsort((apart, i))
+    i, j, apart = i[order], j[order], apart[order]
+    start = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+    size = np.diff(np.append(start, len(i)))
+    # few for a line whose likeliest partner is well inside the bound, more for a doubtful one
+    most = np.where(apart[start] <= 250, BEST, np.where(apart[start] <= 600, 8 * BEST, 128 * BEST))
+    most = np.repeat(np.minimum(most, most_pairs), size)
+    keep = np.arange(len(i)) - np.repeat(start, size) < most
+    return i[keep], j[keep], apart[keep], most[keep]
 
 
 def _found(entries: DataFrame, only=None) -> DataFrame:
@@ -295,77 +343,98 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
     Without ``only`` the BEST likeliest in each range, and whether there were more; with it (a broadcast array of
     hashes of lines) all of theirs."""
 
-    def run(table: pa.Table) -> pa.Table:
-        blobs, is_gone = table.column("blob").to_pylist(), table.column("gone").to_pylist()
-        equal = unpack([b for b, g in zip(blobs, is_gone) if g], CLASS)
-        e = unpack([b for b, g in zip(blobs, is_gone) if not g], ENTRY)
-        e = e[np.lexsort((e["n"], e["token"]))]
+    def rows(doc, line, other_doc, other_line, more) -> pa.RecordBatch:
+        kinds = {"doc": pa.int64(), "line": pa.int32(), "other_doc": pa.int64(), "other_line": pa.int32(), "more": pa.bool_()}
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip((doc, line, other_doc, other_line, more), kinds.values())], names=list(kinds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs, equal = ([], []), []  # of the one block and the other, if there are two
+        for batch in batches:
+            for blob, gone, side in zip(*(batch.column(c).to_pylist() for c in ("blob", "gone", "side"))):
+                (equal if gone else blobs[side]).append(blob)
+        if equal:
+            equal = unpack(equal, CLASS)
+            none = len(equal)
+            yield rows(equal["doc"], equal["line"], pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), np.zeros(none, bool))
+        e = unpack(blobs[0] + blobs[1], ENTRY)
+        if not len(e):
+            return
+        first = sum(len(b) for b in blobs[0]) // ENTRY.itemsize
+        order = np.lexsort((e["n"], e["token"]))
+        e, side = e[order], order >= first
         doc, line = e["doc"], e["line"].astype(np.int64)
         token, n, pos = e["token"].astype(np.int64), e["n"].astype(np.int64), e["pos"].astype(np.int64)
         parity, long = [np.ascontiguousarray(e[c]) for c in PARITIES], n > LONG
         total = len(e)
+        # each line's place among the lines, the same for all its entries
+        order = np.lexsort((line, doc))
+        new = np.append(False, (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1]))
+        place = np.empty(total, np.int64)
+        place[order] = np.cumsum(new)
+        own = order[np.append(True, new[1:])]
+        doc, line = doc[own], line[own]
         # the window of each entry: same word, at least NUM / DEN of its size, before it in the order
         key = token << 32 | n
         low = np.searchsorted(key, token << 32 | (NUM * n + DEN - 1) // DEN)
         # only entries that can be the smaller set of a pair are partners
         inner = pos <= n - -(-2 * NUM * n // (NUM + DEN))
-        partners = np.flatnonzero(inner)
-        before = np.concatenate([[0], np.cumsum(inner)])
-        low_p = before[low]
-        count = before[np.arange(total)] - low_p
         wanted = np.isin(line_hash(doc, line), only.value) if only is not None else None
-        found, at = [], 0
-        ends = np.cumsum(count)
-        while at < total:
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
-            i = np.repeat(np.arange(at, to), count[at:to])
-            j = partners[T.ranges(low_p[at:to], count[at:to])]
-            at = to
-            if wanted is not None:
-                ok = wanted[i] | wanted[j]
-                i, j = i[ok], j[ok]
-            # this word and those after it, of which both have at most so many
-            both = n[i] + n[j]
-            need = -(-NUM * both // (NUM + DEN))
-            ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
-            i, j, both, need = i[ok], j[ok], both[ok], need[ok]
-            apart, most = _apart(parity, long, i, j), both - 2 * need
-            ok = apart <= most
-            # how much of the bound is used, in thousandths; small bounds tell little
-            i, j, apart = i[ok], j[ok], np.where(most[ok] < 6, 999, apart[ok] * 1000 // np.maximum(most[ok], 1))
-            swap = (doc[i] < doc[j]) | ((doc[i] == doc[j]) & (line[i] < line[j]))
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            ok = (doc[i] != doc[j]) | (line[i] != line[j])
-            if wanted is not None:
-                ok &= wanted[i]
-            found.append((i[ok], j[ok], apart[ok]))
-        i, j, apart = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-        more = np.zeros(len(i), bool)
-        if wanted is None and len(i):
-            order = np.lexsort((apart, line[i], doc[i]))
-            i, j, apart = i[order], j[order], apart[order]
-            head = np.ones(len(i), bool)
-            head[1:] = (doc[i][1:] != doc[i][:-1]) | (line[i][1:] != line[i][:-1])
-            start = np.maximum.accumulate(np.where(head, np.arange(len(i)), 0))
-            size = np.diff(np.append(np.flatnonzero(head), len(i)))
-            # few for a line whose likeliest partner is well inside the bound, more for a doubtful one
-            most = np.where(apart[start] <= 250, BEST, np.where(apart[start] <= 600, 8 * BEST, 128 * BEST))
-            keep = np.arange(len(i)) - start < most
-            i, j, more = i[keep], j[keep], (np.repeat(size, size) > most)[keep]
-        none = np.zeros(len(equal), np.int64)
-        alone = np.append(np.zeros(len(i), bool), np.ones(len(equal), bool))
-        join = lambda a, b, kind: np.append(a, b).astype(kind)
-        return pa.table(
-            {
-                "doc": join(doc[i], equal["doc"], np.int64),
-                "line": join(line[i], equal["line"], np.int32),
-                "other_doc": pa.array(join(doc[j], none, np.int64), mask=alone),
-                "other_line": pa.array(join(line[j], none, np.int32), mask=alone),
-                "more": join(more, none, bool),
-            }
-        )
-
-    return entries.groupBy("range").applyInArrow(run, "doc long, line int, other_doc long, other_line int, more boolean")
+
+        def likely() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for mine, other in ((False, True), (True, False)) if blobs[1] else ((False, False),):
+                ok = inner & (side == other)
+                partners = np.flatnonzero(ok)
+                before = np.concatenate([[0], np.cumsum(ok)])
+                low_p = before[low]
+                count = np.where(side == mine, before[np.arange(total)] - low_p, 0)
+                at, ends = 0, np.cumsum(count)
+                while at < total:
+                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
+                    i = np.repeat(np.arange(at, to), count[at:to])
+                    j = partners[T.ranges(low_p[at:to], count[at:to])]
+                    at = to
+                    if wanted is not None:
+                        ok = wanted[place[i]] | wanted[place[j]]
+                        i, j = i[ok], j[ok]
+                    # this word and those after it, of which both have at most so many
+                    both = n[i] + n[j]
+                    need = -(-NUM * both // (NUM + DEN))
+                    ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+                    i, j, both, need = i[ok], j[ok], both[ok], need[ok]
+                    apart, most = _apart(parity, long, i, j), both - 2 * need
+                    ok = apart <= most
+                    # how much of the bound is used, in thousandths; small bounds tell little
+                    i, j, apart = place[i[ok]], place[j[ok]], np.where(most[ok] < 6, 999, apart[ok] * 1000 // np.maximum(most[ok], 1))
+                    i, j = np.maximum(i, j), np.minimum(i, j)
+                    ok = i != j
+                    if wanted is not None:
+                        ok &= wanted[i]
+                    if ok.any():
+                        yield i[ok], j[ok], apart[ok]
+
+        if wanted is not None:
+            for i, j, _ in likely():
+                yield rows(doc[i], line[i], doc[j], line[j], np.zeros(len(i), bool))
+            return
+        most_pairs = max(BEST, PAIRS // len(doc))
+        met = np.zeros(len(doc), np.int64)
+        kept, n_kept, bound = [], 0, PAIRS
+        for found in likely():
+            met += np.bincount(found[0], minlength=len(doc))
+            kept.append(found)
+            n_kept += len(found[0])
+            if n_kept > bound:
+                kept = [_best(*(np.concatenate(x) for x in zip(*kept)), most_pairs)[:3]]
+                n_kept = len(kept[0][0])
+                bound = n_kept + PAIRS
+        if kept:
+            i, j, _, most = _best(*(np.concatenate(x) for x in zip(*kept)), most_pairs)
+            yield rows(doc[i], line[i], doc[j], line[j], met[i] > most)
+
+    # each pair of blocks of a range is one group
+    tiles = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("range", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"), "gone", "blob")
+    return tiles.groupBy("range", "low", "high").applyInArrow(run, "doc long, line int, other_doc long, other_line int, more boolean")
 
 
 def line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -465,7 +534,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = int(max(32, min(1 << 20, chars // (8 << 20))))
 
     classes = T.written(_class_rows(texts, rarity, ranges), "classes")
-    found = T.written(_found(_entries(classes, ranges)), "found")
+    crowded = _crowded(classes, ranges)
+    found = T.written(_found(_entries(classes, ranges, crowded)), "found")
     pairs = found.where("other_doc IS NOT NULL")
     gone = T.written(_verified(texts, pairs), "gone")
     left = pairs.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
@@ -475,7 +545,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for k in range(blocks):
         rows = left.where(F.pmod("block", F.lit(blocks)) == k).select("doc", "line").toArrow()
         only = spark.sparkContext.broadcast(np.unique(line_hash(rows.column("doc").to_numpy(), rows.column("line").to_numpy())))
-        again = _found(_entries(_narrow(classes, only), ranges), only).where("other_doc IS NOT NULL")
+        again = _found(_entries(_narrow(classes, only), ranges, crowded), only).where("other_doc IS NOT NULL")
         gone = gone.unionByName(T.written(_verified(texts, again), "gone"))
     return found.where("other_doc IS NULL").select("doc", "line").union(gone).distinct()
 
