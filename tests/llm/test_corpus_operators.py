@@ -184,6 +184,15 @@ def test_warc(spark):
     assert warc.look_up(empty.select("key"), warc.write_index(empty, _text.shared_dir(spark))).count() == 0
 
 
+def test_warc_keys_are_sorted_as_searched(spark):
+    urls = ["http://[bad\tx", "http://[bad!x", "http://[bad\nx", "http://[bad#x", "http://[bad\\x", "http://[bad]x"]
+    pages = spark.createDataFrame([(k, u, f"page {k}") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    captures = warc.write_archives(pages, _text.shared_dir(spark))
+    upper = warc.write_index(captures, _text.shared_dir(spark), block=1, parts=1)
+    got = warc.read_records(warc.look_up(captures.select("key"), upper)).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(urls)))
+
+
 def test_warc_keys_sort_by_reversed_host():
     assert warc.url_key("http://www.Example.com:80/a?b") == "com,example)/a?b"
     assert warc.url_key("https://x.y.org:8443") == "org,y,x:8443)/"

@@ -58,8 +58,8 @@ def url_key(url: str | None) -> str:
 
 
 def sort_key(url: str | None, page_id: int | None) -> str:
-    """The key with the page id, so that a URL's captures are in order and no range is all one key."""
-    return f"{url_key(url)} {(page_id if page_id is not None else NO_ID) + 2**63:020d}"
+    """The key with the page id, so that a URL's captures are in order and no range is all one key; as the index has it, without tabs and line breaks."""
+    return f"{_header(url_key(url)).replace('\t', '%09')} {(page_id if page_id is not None else NO_ID) + 2**63:020d}"
 
 
 def digest_of(payload: bytes) -> str:
@@ -164,7 +164,6 @@ def write_index(captures: DataFrame, folder: str, block: int = BLOCK, parts: int
         for batch in batches:
             keys, paths, offsets, lengths = (batch.column(c).to_pylist() for c in ("key", "path", "offset", "length"))
             for key, where, offset, length in zip(keys, paths, offsets, lengths):
-                key = _header(key).replace("\t", "%09")
                 if out is None:
                     first, path = key, f"{folder}/index-{uuid.uuid4().hex}.cdxz"
                     out = _files.create(path)
@@ -182,6 +181,8 @@ def write_index(captures: DataFrame, folder: str, block: int = BLOCK, parts: int
             yield pa.RecordBatch.from_pydict({"first_key": [first], "path": [path], "offset": [at], "length": [len(body)], "n": [n]})
 
     ordered = captures.select("key", "path", "offset", "length")
+    if parts or int(spark.conf.get("spark.sql.shuffle.partitions")) > PARTS:
+        parts = min(PARTS, parts or PARTS)
     ordered = (ordered.repartitionByRange(parts, "key") if parts else ordered.repartitionByRange("key")).sortWithinPartitions("key")
     return T.written(ordered.mapInArrow(run, "first_key string, path string, offset long, length long, n long"), "upper")
 
@@ -197,7 +198,7 @@ def look_up(keys: DataFrame, upper: DataFrame) -> DataFrame:
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = np.array([t[0] for t in sent.value], object)
         for batch in batches:
-            own = [_header(k).replace("\t", "%09") for k in batch.column("key").to_pylist()]
+            own = batch.column("key").to_pylist()
             part = np.maximum(np.searchsorted(firsts, np.array(own, object), "right") - 1, 0)
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array(own, pa.string())], names=["part", "key"])
 
