@@ -45,6 +45,59 @@ def test_linked_sets_share_a_signature():
                 assert set(s[row == 0]) & set(s[row == 1]), size
 
 
+def test_signatures_follow_the_set_and_unrelated_sets_share_none():
+    rng = np.random.default_rng(4)
+    for size in (1, 7, 30, 100, 300, 1000, 3000, 10_000):
+        x = np.sort(rng.integers(0, 2**63, size, dtype=np.uint64))
+        s, _ = ngram_join.signatures(x, np.array([0, size]))
+        assert len(s) <= 1.7 * size + 12, (size, len(s))
+    for size in (3, 7, 14, 35):
+        h = np.sort(rng.integers(0, 2**63, (20_000, size), dtype=np.uint64), axis=1).reshape(-1)
+        s, _ = ngram_join.signatures(h, np.arange(20_001) * size)
+        _, n = np.unique(s, return_counts=True)
+        assert (n > 1).sum() == 0, size
+
+
+def near_copies_and_passages() -> list[tuple[int | None, str]]:
+    """A hot group of near copies, a chain of revisions, and unrelated texts with one passage; repeated and null ids."""
+    base, rows = words(77, 60, 5000), []
+    for k in range(60):
+        t = list(base)
+        t[(k * 7) % 60] = f"new{k % 9}"
+        rows.append((100 + k, " ".join(t)))
+    chain = words(78, 80, 5000)
+    for k in range(30):
+        chain = [*chain[2:], f"next{k}", f"after{k}"]
+        rows.append((300 - k, " ".join(chain)))
+    passage = words(79, 30, 5000)
+    rows += [(400 + k, " ".join([*passage, *words(800 + k, 30, 5000)])) for k in range(40)]
+    rows += [(None, rows[3][1]), (None, rows[65][1] + " end"), (None, "alone and without an id here"), (None, "alone and without an id here"), (411, "one id for two texts of some words"), (411, rows[95][1]), (101, rows[1][1]), (101, rows[1][1])]
+    return rows
+
+
+def test_ngram_join_of_large_groups(spark, monkeypatch):
+    rows = near_copies_and_passages()
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    monkeypatch.setattr(ngram_join, "HOT", 4)
+    key = lambda r: str(tuple(r))
+    got = ngram_join.link_documents(table(spark, rows).repartition(3))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(ngram_join.brute_force(rows), key=key)
+    kept = ngram_join.keep_one(table(spark, rows)).collect()
+    # one row of each component, of which two have the id 411
+    assert len(kept) == len({c if c is not None else t for (_, t), (_, _, c) in zip(rows, ngram_join.brute_force(rows))}) + 1
+    assert sum(r.doc_id is None for r in kept) == 1 and sum(r.doc_id == 100 for r in kept) == 1
+
+
+def test_links_of_a_group_are_linear_in_its_members(spark, monkeypatch):
+    rows = near_copies_and_passages()[:60]
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    made = []
+    compare = ngram_join._compare
+    monkeypatch.setattr(ngram_join, "_compare", lambda *a: made.append(_text.written(compare(*a), "made")) or made[-1])
+    assert {r.component_id for r in ngram_join.link_documents(table(spark, rows)).collect()} == {100}
+    assert max(m.count() for m in made) <= 5 * len(rows)
+
+
 def test_components_of_a_long_chain(spark):
     ids = np.random.default_rng(1).permutation(1000).tolist()
     falling = [1000, *range(1999, 1000, -1)]  # the smallest id beside the largest
