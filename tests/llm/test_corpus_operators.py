@@ -91,11 +91,18 @@ def test_ngram_join_of_large_groups(spark, monkeypatch):
 def test_links_of_a_group_are_linear_in_its_members(spark, monkeypatch):
     rows = near_copies_and_passages()[:60]
     monkeypatch.setattr(ngram_join, "TILE", 8)
-    made = []
+    made: dict[bool, int] = {}
     compare = ngram_join._compare
-    monkeypatch.setattr(ngram_join, "_compare", lambda *a: made.append(_text.written(compare(*a), "made")) or made[-1])
+
+    def counted(tiles, exact, buckets):
+        out = _text.written(compare(tiles, exact, buckets), "made")
+        made[exact] = max(out.count(), made.get(exact, 0))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_compare", counted)
     assert {r.component_id for r in ngram_join.link_documents(table(spark, rows)).collect()} == {100}
-    assert max(m.count() for m in made) <= 5 * len(rows)
+    # 8 blocks of a cluster, some hundred groups with other members each
+    assert made[True] <= 3 * len(rows) and made[False] <= 10 * len(rows)
 
 
 def test_components_of_a_long_chain(spark):
@@ -124,19 +131,25 @@ def test_line_dedup(spark):
         lines = (texts[r.doc_id] or "").split("\n")
         assert (r.text or "") == "\n".join(x for k, x in enumerate(lines) if k not in gone[r.doc_id])
     assert line_dedup.line_report(table(spark, [])).count() == 0
-    assert {r.doc_id for r in line_dedup.line_report(table(spark, [(None, "a b\na b"), (1, "a b")])).collect()} == {None, 1}
+    # rows without an id come last and keep what is in no earlier row
+    odd = line_dedup.dedup_lines(table(spark, [(None, "a b\na b\nonly here"), (1, "a b"), (None, "a b\nelse where\nand more")]))
+    assert sorted(r.text for r in odd.collect()) == ["a b", "else where\nand more", "only here"]
 
 
 def test_repeat_search_finds_the_same(spark):
     docs = table(spark, [(i, t) for i, t in documents()]).select("doc_id", "text")
     rarity = spark.sparkContext.broadcast(line_dedup.word_rarity(docs))
     classes = _text.written(line_dedup._class_rows(docs, rarity, 16), "classes")
-    pairs = line_dedup._found(line_dedup._entries(classes, 16)).where("other_doc IS NOT NULL")
+    classes = classes.where("bucket >= 0")
+    found = _text.written(line_dedup._found(line_dedup._entries(classes, 16)), "found")
+    pairs = found.where("other_doc IS NOT NULL")
     full = set(map(tuple, line_dedup._verified(docs, pairs).collect()))
-    some = sorted({(r.doc, r.line) for r in pairs.select("doc", "line").collect()})[::3]
-    only = spark.sparkContext.broadcast(np.unique(line_dedup.line_hash(*(np.array(x) for x in zip(*some)))))
-    again = line_dedup._found(line_dedup._entries(line_dedup._narrow(classes, only), 16), only).where("other_doc IS NOT NULL")
-    assert set(map(tuple, line_dedup._verified(docs, again).collect())) == full & set(some)
+    # as if a third of the lines were open in each of their ranges
+    some = pairs.where("pmod(hash(doc, line), 3) = 0").select("doc", "line", "range", "low", "high").distinct()
+    tokens = [(int(r), int(t)) for c in classes.collect() for r, t in zip(*line_dedup._words_of(bytes(c.prefix), 16))]
+    only = spark.sparkContext.broadcast(line_dedup._bitmap(spark.createDataFrame(tokens, "doc long, line int")))
+    again = line_dedup._found(line_dedup._entries(line_dedup._narrow(classes, 16, only), 16, None, only), some)
+    assert set(map(tuple, line_dedup._verified(docs, again).collect())) == full & {(r.doc, r.line) for r in some.collect()}
     big = line_dedup.FILTER_LINES
     line_dedup.FILTER_LINES = 1  # the join in place of the bitmap
     try:
@@ -150,6 +163,7 @@ def test_lines_of_one_template(spark, monkeypatch):
     docs = table(spark, rows)
     rarity = spark.sparkContext.broadcast(line_dedup.word_rarity(docs))
     classes = _text.written(line_dedup._class_rows(docs, rarity, 32), "classes")
+    classes = classes.where("bucket >= 0")
     whole = {(r.doc, r.line) for r in line_dedup._found(line_dedup._entries(classes, 32)).collect()}
     monkeypatch.setattr(line_dedup, "PAIRS", 6000)
     monkeypatch.setattr(line_dedup, "ENTRIES", 1000)
@@ -164,6 +178,14 @@ def test_lines_of_one_template(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == sorted(line_dedup.brute_force(rows))
 
 
+def test_open_lines_are_searched_for_all_of_theirs(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BEST", 1)
+    base = words(5, 40, 3000)
+    rows = [(k, " ".join([*base[:30 - k % 11], *words(50 + k, 10, 3000)])) for k in range(120)] + [(200, " ".join([*base[:25], *words(51, 9, 3000)]))]
+    got = line_dedup.line_report(table(spark, rows))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(line_dedup.brute_force(rows))
+
+
 def test_best_pairs_of_parts_are_those_of_all():
     rng = np.random.default_rng(3)
     i, j, apart = rng.integers(0, 40, 20_000), np.arange(20_000), rng.integers(100, 1000, 20_000)

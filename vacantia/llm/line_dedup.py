@@ -7,7 +7,8 @@ that line itself kept or not. Lines without words always stay.
 1. Word counts over all documents, in 2^``RARITY_BITS`` hash buckets on a logarithmic scale: one byte a
    bucket, so the table that every task gets has a fixed size. Words are ordered by (rarity, hash), a total
    order whatever the buckets hold, which is all that exactness asks of it.
-2. Lines with equal sets are one class, kept as its first line; the others go.
+2. Lines with equal sets are one class, kept as its first line; the others go. Copies that a task meets among
+   its latest lines are told at once, so a line that is everywhere sends one entry for many.
 3. Each class is entered under the words of its prefix, n - ceil(t n) + 1 of them. Entries are packed by
    hash range inside each task and meet in one task per range, sorted by word and size: the length filter
    is a window of that order, the positional filter bounds the words still to come, and the bits in which
@@ -16,12 +17,14 @@ that line itself kept or not. Lines without words always stay.
    task. A range of more than ``ENTRIES`` entries is dealt as tiles, each pair of its blocks one group.
 4. Candidates are verified on the whole sets, taken from the texts again: lines that are in no candidate
    pair are told by a bitmap of fixed size, or by a join where the pairs are too many for it. Lines that are
-   still open and had more candidates are searched once more for all of theirs, ``BLOCK`` lines at a
-   time, among the lines that have one of their prefix words.
+   still open and had more candidates in some range are searched once more for all of theirs, in those ranges, among
+   the entries of the words that they met there (a bitmap of fixed size tells most others): one pass, however
+   many lines are open.
 
 Cases: null and empty texts have one empty line, which stays; repeated words count once; ties in the order
-(rows with one doc_id) never remove each other, and such rows share the decisions of their id; a null id
-comes last; an empty table gives an empty result; other columns pass through ``dedup_lines`` untouched.
+(rows with one doc_id) never remove each other, and such rows share the decisions of their id; rows without an id
+come last (ids are below 2^62), ordered by a hash of their text; an empty table gives an empty result; other
+columns pass through ``dedup_lines`` untouched.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.llm import _text as T
@@ -38,11 +42,9 @@ from vacantia.llm import _text as T
 NUM, DEN = 3, 4
 RARITY_BITS = 21
 BEST = 4
-BLOCK = 100_000
 #: Pairs that a task holds, and entries of a range beyond which it is cut into blocks of half as many.
 PAIRS = 1 << 22
 ENTRIES = 1 << 20
-LAST = 2**63 - 1
 _BINS = 4096
 #: Bits of the bitmap of lines to verify, and how many lines it serves.
 FILTER_BITS = 24
@@ -53,6 +55,8 @@ LONG = 80
 PARITIES = ("p0", "p1", "p2")
 #: A line's set: digest, parities, place and size. Its prefix words follow apart, as 6 bytes each.
 CLASS = np.dtype([("a", "<u8"), ("b", "<u4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4")])
+#: The place of a line.
+PLACE = np.dtype([("doc", "<i8"), ("line", "<u4")])
 #: A prefix word of a class.
 ENTRY = np.dtype([("token", "<u4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -60,7 +64,7 @@ ENTRY = np.dtype([("token", "<u4"), ("p0", "<u8"), ("p1", "<u8"), ("p2", "<u8"),
 def pack(rows: np.ndarray) -> bytes:
     """Records in order of documents as byte planes of each column, of which those of zeros compress away."""
     out = []
-    for c in rows.dtype.names:
+    for c in rows.dtype.names if len(rows) else ():
         x = rows[c]
         if c == "doc":
             x = np.diff(x, prepend=np.int64(0))
@@ -69,6 +73,7 @@ def pack(rows: np.ndarray) -> bytes:
 
 
 def unpack(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    blobs = [b for b in blobs if b]
     sizes = [len(b) // kind.itemsize for b in blobs]
     rows, at = np.zeros(sum(sizes), kind), 0
     for blob, n in zip(blobs, sizes):
@@ -96,20 +101,18 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return T.span_hashes(T.prefix_sums(T.FOLDED_VALUES[data]), starts, ends), line, first
 
 
-def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words of each line in the global order, as 64-bit keys, and the line of each."""
-    key = h >> T.U64(8)
-    if rarity is not None:
-        key |= rarity[(h >> T.U64(64 - RARITY_BITS)).astype(np.int64)].astype(T.U64) << T.U64(56)
+def _keys(h: np.ndarray, line: np.ndarray, rarity: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each line in the global order: as keys by rarity, the line of each, and the whole hashes."""
+    key = h if rarity is None else h >> T.U64(8) | rarity[(h >> T.U64(64 - RARITY_BITS)).astype(np.int64)].astype(T.U64) << T.U64(56)
     order = np.argsort(key)
     if len(line) and line[-1] < 65536:  # a radix sort
         order = order[np.argsort(line[order].astype(np.uint16), kind="stable")]
     else:
         order = order[np.argsort(line[order], kind="stable")]
-    key, line = key[order], line[order]
+    key, line, h = key[order], line[order], h[order]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-    return key[new], line[new]
+    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    return key[new], line[new], h[new]
 
 
 def _parities(key: np.ndarray, line: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -156,8 +159,27 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _equal(fixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the lines by set and place; which are the first of their set in it, and which come later than that one.
+
+    A repeated row's line has the place of the first one: it isn't later."""
+    order = np.lexsort((fixed["line"], fixed["doc"], fixed["b"], fixed["a"]))
+    own = fixed[order]
+    head = np.ones(len(own), bool)
+    head[1:] = (own["a"][1:] != own["a"][:-1]) | (own["b"][1:] != own["b"][:-1])
+    lead = own[np.maximum.accumulate(np.where(head, np.arange(len(own)), 0))]
+    return order, head, (own["doc"] != lead["doc"]) | (own["line"] != lead["line"])
+
+
+def _places(lines: np.ndarray) -> bytes:
+    """The places of these lines, packed."""
+    out = np.zeros(len(lines), PLACE)
+    out["doc"], out["line"] = lines["doc"], lines["line"]
+    return pack(out[np.argsort(out["doc"], kind="stable")])
+
+
 def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
-    """(bucket, fixed, prefix): the lines with words, packed by the hash of their sets."""
+    """(bucket, fixed, prefix): the lines with words, packed by the hash of their sets; bucket -1: places of lines that go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
@@ -165,27 +187,32 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             fixed, flat = (np.concatenate(x) for x in zip(*kept))
             size = prefix_length(fixed["n"].astype(np.int64))
-            bucket = ((fixed["a"] >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
-            order = np.lexsort((fixed["doc"], bucket))
             begin = np.cumsum(size) - size
-            bucket, fixed, size = bucket[order], fixed[order], size[order]
+            order, head, later = _equal(fixed)
+            gone = _places(fixed[order[later]])
+            order = order[head]
+            bucket = ((fixed["a"][order] >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+            order = order[np.lexsort((fixed["doc"][order], bucket))]
+            fixed, size = fixed[order], size[order]
+            bucket = ((fixed["a"] >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
             flat = flat[T.ranges(begin[order], size)]
             ends = np.append(0, np.cumsum(size))
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             stop = np.append(cut[1:], len(bucket))
             words = [np.ascontiguousarray(flat[ends[a] : ends[b]]).view(np.uint8).reshape(-1, 8)[:, 1:7].tobytes() for a, b in zip(cut, stop)]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array([pack(fixed[a:b]) for a, b in zip(cut, stop)], pa.binary()), pa.array(words, pa.binary())], names=["bucket", "fixed", "prefix"])
+            blobs = [pack(fixed[a:b]) for a, b in zip(cut, stop)]
+            return pa.RecordBatch.from_arrays([pa.array([*bucket[cut].tolist(), -1]), pa.array([*blobs, gone], pa.binary()), pa.array([*words, b""], pa.binary())], names=["bucket", "fixed", "prefix"])
 
         for batch in batches:
             for piece in T.pieces(batch):
                 h, line, first = _tokens(*T.utf8(piece.column("text")))
-                key, line = _keys(h, line, rarity.value)
+                key, line, h = _keys(h, line, rarity.value)
                 lines = int(first[-1])
                 n_of = np.bincount(line, minlength=lines)
                 begin = np.cumsum(n_of) - n_of
                 sums = np.zeros((2, len(key) + 1), T.U64)
-                np.cumsum(T.mix(key), out=sums[0, 1:])
-                np.cumsum(T.mix(key ^ T.U64(99)), out=sums[1, 1:])
+                np.cumsum(T.mix(h), out=sums[0, 1:])
+                np.cumsum(T.mix(h ^ T.U64(99)), out=sums[1, 1:])
                 parity = _parities(key, line, n_of)
                 at = np.flatnonzero(n_of)
                 fixed = np.zeros(len(at), CLASS)
@@ -207,55 +234,43 @@ def _class_rows(docs: DataFrame, rarity, ranges: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, fixed binary, prefix binary")
 
 
-def _narrow(classes: DataFrame, only) -> DataFrame:
-    """The class rows of lines that share a prefix word with the lines of ``only`` (a broadcast array of hashes)."""
-    spark = classes.sparkSession
+def _range_of(word: np.ndarray, ranges: int) -> np.ndarray:
+    return ((word >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
 
-    def keys_of(prefix: bytes) -> np.ndarray:
-        wide = np.zeros((len(prefix) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(prefix, np.uint8).reshape(-1, 6)
-        return wide.view(np.uint64)[:, 0]
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for fixed, prefix in zip(batch.column("fixed").to_pylist(), batch.column("prefix").to_pylist()):
-                rows = unpack([fixed], CLASS)
-                mine = np.isin(line_hash(rows["doc"], rows["line"]), only.value)
-                if mine.any():
-                    found = keys_of(prefix)[np.repeat(mine, prefix_length(rows["n"].astype(np.int64)))]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(found).view(np.int64))], names=["key"])
-
-    found = np.sort(classes.mapInArrow(collect, "key long").distinct().toArrow().column("key").to_numpy().view(np.uint64))
-    marks = np.zeros(1 << 16, bool)
-    marks[(found & T.U64(0xFFFF)).astype(np.int64)] = True
-    sent = spark.sparkContext.broadcast((found, marks))
+def _words_of(prefix: bytes, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Range and token of packed prefix words."""
+    wide = np.zeros((len(prefix) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(prefix, np.uint8).reshape(-1, 6)
+    mixed = T.mix(wide.view(np.uint64)[:, 0])
+    return _range_of(mixed, ranges), (mixed & T.U64(2**24 - 1)).astype(np.int64)
+
+
+def _marked(bitmap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has the pairs (a, b), and maybe some others."""
+    at = (line_hash(a, b) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _narrow(classes: DataFrame, ranges: int, only) -> DataFrame:
+    """The class rows of lines with a prefix word in ``only`` (a broadcast bitmap of ranges and tokens)."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, marks = sent.value
         for batch in batches:
             for bucket, fixed, prefix in zip(*(batch.column(c).to_pylist() for c in ("bucket", "fixed", "prefix"))):
-                low = np.frombuffer(prefix, "<u2").reshape(-1, 3)[:, 0]  # the low two bytes of each word
-                maybe = np.flatnonzero(marks[low])
-                if not len(maybe):
-                    continue
-                keys = keys_of(prefix)
-                hit = maybe[np.isin(keys[maybe], found)]
-                if len(hit):
+                hit = _marked(only.value, *_words_of(prefix, ranges))
+                if hit.any():
                     rows = unpack([fixed], CLASS)
                     size = prefix_length(rows["n"].astype(np.int64))
                     row = np.repeat(np.arange(len(rows)), size)
                     mine = np.zeros(len(rows), bool)
                     mine[row[hit]] = True
-                    words = np.ascontiguousarray(keys[mine[row]]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                    words = np.frombuffer(prefix, np.uint8).reshape(-1, 6)[mine[row]].tobytes()
                     yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack(rows[mine])], pa.binary()), pa.array([words], pa.binary())], names=["bucket", "fixed", "prefix"])
 
     return classes.mapInArrow(keep, "bucket long, fixed binary, prefix binary")
 
 
-def _range_of(word: np.ndarray, ranges: int) -> np.ndarray:
-    return ((word >> T.U64(32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
-
-
 def _crowded(classes: DataFrame, ranges: int) -> dict[int, int]:
     """Blocks of each word range that has more than ENTRIES entries; equal sets that a task sees together count once."""
 
@@ -276,35 +291,32 @@ def _crowded(classes: DataFrame, ranges: int) -> dict[int, int]:
     return {r.range: -(-2 * r.n // ENTRIES) for r in sums.where(F.col("n") > ENTRIES).collect()}
 
 
-def _entries(classes: DataFrame, ranges: int, crowded: dict[int, int] | None = None) -> DataFrame:
-    """(range, gone, blob, block, blocks): packed prefix entries by word range, or packed places of lines that equal an earlier one."""
+def _entries(classes: DataFrame, ranges: int, crowded: dict[int, int] | None = None, only=None) -> DataFrame:
+    """(range, gone, blob, block, blocks): packed prefix entries by word range, or packed places of lines that equal an earlier one.
+
+    ``only`` (a broadcast bitmap of ranges and tokens) keeps the entries that it has."""
     blocks_of = crowded or {}
 
     def run(table: pa.Table) -> pa.Table:
         fixed = unpack(table.column("fixed").to_pylist(), CLASS)
-        words = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.uint8).reshape(-1, 6)
+        at, token = _words_of(b"".join(table.column("prefix").to_pylist()), ranges)
         size = prefix_length(fixed["n"].astype(np.int64))
         begin = np.cumsum(size) - size
-        order = np.lexsort((fixed["line"], fixed["doc"], fixed["b"], fixed["a"]))
-        own = fixed[order]
-        head = np.ones(len(own), bool)
-        head[1:] = (own["a"][1:] != own["a"][:-1]) | (own["b"][1:] != own["b"][:-1])
-        # a repeated row's line has the place of the first one: it isn't later
-        lead = own[np.maximum.accumulate(np.where(head, np.arange(len(own)), 0))]
-        gone = own[~head & ((own["doc"] != lead["doc"]) | (own["line"] != lead["line"]))]
+        order, head, later = _equal(fixed)
+        gone = fixed[order[later]]
         rep = np.sort(order[head])
         rep = rep[np.argsort(fixed["doc"][rep], kind="stable")]
         n = size[rep]
-        wide = np.zeros((int(n.sum()), 8), np.uint8)
-        wide[:, :6] = words[T.ranges(begin[rep], n)]
-        mixed = T.mix(wide.view(np.uint64)[:, 0])
-        pick = np.repeat(rep, n)
-        e = np.zeros(len(mixed), ENTRY)
-        e["token"] = mixed & T.U64(2**24 - 1)
-        e["pos"] = T.ranges(np.zeros(len(n), np.int64), n)
+        mine = T.ranges(begin[rep], n)
+        at, token, pick, pos = at[mine], token[mine], np.repeat(rep, n), T.ranges(np.zeros(len(n), np.int64), n)
+        if only is not None:
+            hit = _marked(only.value, at, token)
+            at, token, pick, pos = at[hit], token[hit], pick[hit], pos[hit]
+        e = np.zeros(len(at), ENTRY)
+        e["token"], e["pos"] = token, pos
         for c in ("n", "line", "doc", *PARITIES):
             e[c] = fixed[c][pick]
-        bucket = _range_of(mixed, ranges)
+        bucket = at
         by = np.argsort(bucket, kind="stable")
         e, bucket = e[by], bucket[by]
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
@@ -314,9 +326,8 @@ def _entries(classes: DataFrame, ranges: int, crowded: dict[int, int] | None = N
             blocks = blocks_of.get(int(bucket[a]), 1)
             rows.append((int(bucket[a]), False, pack(e[a:b]), own % blocks, blocks))
         if len(gone):
-            gone = gone[np.argsort(gone["doc"], kind="stable")]
-            rows.append((own, True, pack(gone), 0, 1))
-        a, b, c, d, f = zip(*rows)
+            rows.append((own, True, _places(gone), 0, 1))
+        a, b, c, d, f = zip(*rows) if rows else ((),) * 5
         return pa.table({"range": pa.array(a, pa.int64()), "gone": pa.array(b, pa.bool_()), "blob": pa.array(c, pa.binary()), "block": pa.array(d, pa.int32()), "blocks": pa.array(f, pa.int32())})
 
     return classes.groupBy("bucket").applyInArrow(run, "range long, gone boolean, blob binary, block int, blocks int")
@@ -337,27 +348,35 @@ def _best(i: np.ndarray, j: np.ndarray, apart: np.ndarray, most_pairs: int) -> t
     return i[keep], j[keep], apart[keep], most[keep]
 
 
-def _found(entries: DataFrame, only=None) -> DataFrame:
-    """(doc, line, other_doc, other_line, more): likely earlier lines of each line; no other for an equal one.
+def _found(entries: DataFrame, open_lines: DataFrame | None = None) -> DataFrame:
+    """(doc, line, other_doc, other_line, token, range, low, high): likely earlier lines of each line; no other for an equal one.
 
-    Without ``only`` the BEST likeliest in each range, and whether there were more; with it (a broadcast array of
-    hashes of lines) all of theirs."""
+    The BEST likeliest of each group of entries; a line that had more there has rows with its tokens, and no other.
+    With ``open_lines`` (range, low, high, doc, line) all earlier lines of those lines in that group."""
+    again = open_lines is not None
+    kinds = {"doc": pa.int64(), "line": pa.int32(), "other_doc": pa.int64(), "other_line": pa.int32(), "token": pa.int32()}
 
-    def rows(doc, line, other_doc, other_line, more) -> pa.RecordBatch:
-        kinds = {"doc": pa.int64(), "line": pa.int32(), "other_doc": pa.int64(), "other_line": pa.int32(), "more": pa.bool_()}
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip((doc, line, other_doc, other_line, more), kinds.values())], names=list(kinds))
+    def rows(group: dict, *columns: np.ndarray | None) -> pa.RecordBatch:
+        n = len(columns[0])
+        arrays = [pa.nulls(n, k) if c is None else pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds.values())]
+        places = [pa.array(np.full(n, group["range"])), *(pa.array(np.full(n, group[c], np.int32)) for c in ("low", "high"))]
+        return pa.RecordBatch.from_arrays(arrays + places, names=[*kinds, *group])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs, equal = ([], []), []  # of the one block and the other, if there are two
+        blobs, equal, asked, group = ([], []), [], [], {}  # blobs of the one block and the other, if there are two
         for batch in batches:
+            group = {c: batch.column(c)[0].as_py() for c in ("range", "low", "high")}
+            own = batch.filter(pc.is_null(batch.column("blob")))
+            asked.append(line_hash(own.column("doc").to_numpy(zero_copy_only=False), own.column("line").to_numpy(zero_copy_only=False)) if own.num_rows else np.zeros(0, np.uint64))
             for blob, gone, side in zip(*(batch.column(c).to_pylist() for c in ("blob", "gone", "side"))):
-                (equal if gone else blobs[side]).append(blob)
-        if equal:
-            equal = unpack(equal, CLASS)
-            none = len(equal)
-            yield rows(equal["doc"], equal["line"], pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), np.zeros(none, bool))
+                if blob is not None:
+                    (equal if gone else blobs[side]).append(blob)
+        if equal and not again:
+            equal = unpack(equal, PLACE)
+            yield rows(group, equal["doc"], equal["line"], None, None, None)
+        asked = np.concatenate(asked)
         e = unpack(blobs[0] + blobs[1], ENTRY)
-        if not len(e):
+        if not len(e) or again and not len(asked):
             return
         first = sum(len(b) for b in blobs[0]) // ENTRY.itemsize
         order = np.lexsort((e["n"], e["token"]))
@@ -378,7 +397,7 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
         low = np.searchsorted(key, token << 32 | (NUM * n + DEN - 1) // DEN)
         # only entries that can be the smaller set of a pair are partners
         inner = pos <= n - -(-2 * NUM * n // (NUM + DEN))
-        wanted = np.isin(line_hash(doc, line), only.value) if only is not None else None
+        wanted = np.isin(line_hash(doc, line), asked) if again else None
 
         def likely() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             for mine, other in ((False, True), (True, False)) if blobs[1] else ((False, False),):
@@ -414,7 +433,7 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
 
         if wanted is not None:
             for i, j, _ in likely():
-                yield rows(doc[i], line[i], doc[j], line[j], np.zeros(len(i), bool))
+                yield rows(group, doc[i], line[i], doc[j], line[j], None)
             return
         most_pairs = max(BEST, PAIRS // len(doc))
         met = np.zeros(len(doc), np.int64)
@@ -429,12 +448,21 @@ def _found(entries: DataFrame, only=None) -> DataFrame:
                 bound = n_kept + PAIRS
         if kept:
             i, j, _, most = _best(*(np.concatenate(x) for x in zip(*kept)), most_pairs)
-            yield rows(doc[i], line[i], doc[j], line[j], met[i] > most)
+            yield rows(group, doc[i], line[i], doc[j], line[j], None)
+            more = np.zeros(len(doc), bool)
+            more[i] = met[i] > most
+            own = np.flatnonzero(more[place])
+            if len(own):
+                yield rows(group, doc[place[own]], line[place[own]], None, None, token[own])
 
     # each pair of blocks of a range is one group
     tiles = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.select("range", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"), "gone", "blob")
-    return tiles.groupBy("range", "low", "high").applyInArrow(run, "doc long, line int, other_doc long, other_line int, more boolean")
+    tiles = tiles.withColumns({"doc": F.lit(None).cast("long"), "line": F.lit(None).cast("int")})
+    if open_lines is not None:
+        none = {"side": F.lit(0), "gone": F.lit(False), "blob": F.lit(None).cast("binary")}
+        tiles = tiles.unionByName(open_lines.select("range", "low", "high", "doc", "line").distinct().withColumns(none))
+    return tiles.groupBy("range", "low", "high").applyInArrow(run, "doc long, line int, other_doc long, other_line int, token int, range long, low int, high int")
 
 
 def line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -467,7 +495,7 @@ def _bitmap(lines: DataFrame) -> np.ndarray:
 def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """(doc, line, h): the sets of these lines, and maybe of some others."""
     spark = docs.sparkSession
-    few = ends.limit(FILTER_LINES + 1).count() <= FILTER_LINES
+    few = ends.count() <= FILTER_LINES  # of a written table: its files say it
     sent = spark.sparkContext.broadcast(_bitmap(ends)) if few else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,8 +506,7 @@ def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
                 starts, stops, first = T.lines(data, offsets)
                 if sent is not None:
                     row = np.repeat(np.arange(len(docs_)), np.diff(first))
-                    at = (line_hash(docs_[row], np.arange(len(starts)) - first[row]) >> T.U64(64 - FILTER_BITS)).astype(np.int64)
-                    asked = np.flatnonzero(sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                    asked = np.flatnonzero(_marked(sent.value, docs_[row], np.arange(len(starts)) - first[row]))
                 else:
                     wanted = piece.column("wanted")
                     asked = np.sort(wanted.flatten().to_numpy() + np.repeat(first[:-1], wanted.value_lengths().to_numpy()))
@@ -488,7 +515,7 @@ def _line_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
                 part = data[T.ranges(starts[asked], size)]
                 begin, end, word = T.spans(T.NOT_SPACE[part], np.append(0, np.cumsum(size)))
                 h = T.span_hashes(T.prefix_sums(T.FOLDED_VALUES[part]), begin, end)
-                key, line = _keys(h, np.repeat(np.arange(len(asked)), np.diff(word)), None)  # any order will do here
+                key, line, _ = _keys(h, np.repeat(np.arange(len(asked)), np.diff(word)), None)  # any order will do here
                 row = np.searchsorted(first, asked, "right") - 1
                 low, high = (np.searchsorted(line, np.arange(len(asked)), side) for side in ("left", "right"))
                 full = high > low
@@ -511,49 +538,63 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     other = found.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("h").alias("other"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = None  # the latest line that goes: its further candidates need no look
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("h").to_pylist(), batch.column("other").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for k, (place, x, y) in enumerate(zip(zip(batch.column("doc").to_pylist(), batch.column("line").to_pylist()), batch.column("h"), batch.column("other"))):
+                if place == done:
+                    continue
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 inter = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(DEN * inter >= NUM * (len(x) + len(y) - inter))
-            yield batch.select(["doc", "line"]).filter(pa.array(keep, pa.bool_()))
+                if DEN * inter >= NUM * (len(x) + len(y) - inter):
+                    done = place
+                    keep.append(k)
+            yield batch.select(["doc", "line"]).take(pa.array(keep, pa.int64()))
 
-    both = pairs.join(found, ["doc", "line"]).join(other, ["other_doc", "other_line"])
+    # the last join leaves a line's candidates beside each other
+    both = pairs.join(other, ["other_doc", "other_line"]).join(found, ["doc", "line"])
     return both.select("doc", "line", "h", "other").mapInArrow(check, "doc long, line int").distinct()
 
 
+def _place_of(id_col: str, text_col: str) -> Column:
+    """The document's place in the order: its id; rows without one come last, by a hash of their text."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(2**62) + F.shiftrightunsigned(F.xxhash64(text_col), 2))
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, line): the lines that go, numbered from 0."""
     spark = docs.sparkSession
     T.importable(spark)
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(_place_of(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
     rarity = spark.sparkContext.broadcast(word_rarity(texts))
     # ranges grow with the input: about 16 MB of it each
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(max(32, min(1 << 20, chars // (8 << 20))))
 
-    classes = T.written(_class_rows(texts, rarity, ranges), "classes")
+    rows = T.written(_class_rows(texts, rarity, ranges), "classes")
+    classes = rows.where("bucket >= 0")
     crowded = _crowded(classes, ranges)
     found = T.written(_found(_entries(classes, ranges, crowded)), "found")
-    pairs = found.where("other_doc IS NOT NULL")
-    gone = T.written(_verified(texts, pairs), "gone")
-    left = pairs.where("more").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
-    left = T.written(left.withColumn("block", F.pmod(F.xxhash64("doc", "line"), F.lit(2**31))), "left")
-    n = left.count()
-    blocks = -(-n // (BLOCK // 2))  # of half the bound on average, by hash
-    for k in range(blocks):
-        rows = left.where(F.pmod("block", F.lit(blocks)) == k).select("doc", "line").toArrow()
-        only = spark.sparkContext.broadcast(np.unique(line_hash(rows.column("doc").to_numpy(), rows.column("line").to_numpy())))
-        again = _found(_entries(_narrow(classes, only), ranges, crowded), only).where("other_doc IS NOT NULL")
-        gone = gone.unionByName(T.written(_verified(texts, again), "gone"))
-    return found.where("other_doc IS NULL").select("doc", "line").union(gone).distinct()
+    gone = T.written(_verified(texts, found.where("other_doc IS NOT NULL")), "gone")
+    still = T.written(found.where("token IS NOT NULL").join(gone, ["doc", "line"], "left_anti"), "open")
+    if still.count():
+        only = spark.sparkContext.broadcast(_bitmap(still.select(F.col("range").alias("doc"), F.col("token").alias("line"))))
+        again = _found(_entries(_narrow(classes, ranges, only), ranges, crowded, only), still)
+        gone = gone.union(T.written(_verified(texts, again), "gone"))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = unpack(batch.column("fixed").to_pylist(), PLACE)
+            yield pa.RecordBatch.from_arrays([pa.array(own["doc"]), pa.array(own["line"].astype(np.int32))], names=["doc", "line"])
+
+    copies = rows.where("bucket < 0").select("fixed").mapInArrow(places, "doc long, line int")
+    return found.where("other_doc IS NULL AND token IS NULL").select("doc", "line").union(copies).union(gone).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_empty: bool = True) -> DataFrame:
     """The documents without repeated lines; with ``drop_empty``, one of which no word is left goes."""
     gone = repeated_lines(docs, id_col, text_col).groupBy("doc").agg(F.collect_set("line").alias("gone"))
-    rows = docs.withColumn("__doc", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).join(gone.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), "__doc", "left")
+    rows = docs.withColumn("__doc", _place_of(id_col, text_col)).join(gone.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), "__doc", "left")
     lines = F.split(F.col(text_col), "\n", -1)
     # membership by a map: arrays would be searched once per line
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.map_contains_key(F.map_from_arrays("gone", "gone"), i)), "\n")
@@ -568,9 +609,9 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = repeated_lines(docs, id_col, text_col).groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("gone"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), lines.alias("n_lines"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _place_of(id_col, text_col).alias("doc"), lines.alias("n_lines"))
     return rows.join(gone, "doc", "left").select(
-        F.nullif("doc", F.lit(LAST)).alias("doc_id"),
+        "doc_id",
         "n_lines",
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed_lines"),
