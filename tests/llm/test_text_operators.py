@@ -65,6 +65,14 @@ def test_secrets(spark):
         text = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(s))
         want.append((i, *(sum(x[1] == k for x in s) for k in range(3)), hashlib.sha256(text.encode()).hexdigest()))
     assert sorted((r[:5] for r in got), key=str) == sorted(want, key=str)
+    long = "-----BEGIN " + "LABEL " * 150_000 + "PRIVATE KEY-----"
+    texts = {"pem": long, "assign": "token=" + "a" * 1_000_000, "access": "AKIA" + "B" * 1_000_000, "hex": "0a" * 500_000, "github": "ghp_" + "a" * 1_000_000, "slack": "xoxb-" + "1-" * 500_000,
+             "google": ("AIza" + "x" * 35 + " ") * 25_000, "stripe": "sk_live_" + "a" * 1_000_000, "jwt": "eyJ" + "a" * 500_000 + ".eyJ" + "b" * 500_000 + ".c"}
+    assert set(texts) == {r.kind for r in secret_scan.RULES}
+    found = {r.doc_id: r.spans for r in secret_scan.secret_report(table(spark, list(enumerate(texts.values())))).collect()}
+    for k, (kind, t) in enumerate(texts.items()):
+        assert f"{kind}:0:{40 if kind == 'google' else len(t)}".replace(":0:40", ":0:39") in found[k].split(","), kind
+    assert found[6].count("google") == 25_000
     kinds = {p.split(":")[0] for r in got if r.doc_id == 901 for p in r.spans.split(",")}
     assert {"github", "jwt"} <= kinds
     assert secret_scan.secret_report(table(spark, [])).count() == 0
@@ -141,6 +149,11 @@ def test_decontamination(spark):
     assert sorted(tuple(r) for r in got.collect()) == want
     few = decontamination.contamination_report(table(spark), bench, shard_words=20)  # several passes
     assert sorted(tuple(r) for r in few.collect()) == want
+    shared = [(None, docs[6][1]), (None, "one two"), (None, None), (3, "x ü"), (3, "x ü"), (3, "x y"), (None, "one two")]
+    few = decontamination.contamination_report(table(spark, shared), bench, shard_words=10)
+    assert sorted(map(tuple, few.collect()), key=str) == sorted(decontamination.brute_force(shared, items), key=str)
+    kept = decontamination.drop_contaminated(table(spark, shared), bench, shard_words=10)
+    assert sorted(str(r.text) for r in kept.collect()) == ["None", "x y"]
     clean = decontamination.drop_contaminated(table(spark), bench)
     assert {r.doc_id for r in clean.collect()} == {w[0] for w in want if not w[5]} and clean.columns == table(spark).columns
     assert decontamination.contamination_report(table(spark), bench.limit(0)).where("contaminated").count() == 0

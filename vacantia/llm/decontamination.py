@@ -8,7 +8,8 @@ suffix bucket (the block's hash) and compares the window word by word with each
 then once with its characters. All segments of a batch advance together, one numpy step per jump.
 
 Patterns are sent to the executors in shards of at most ``shard_words`` words, a fixed bound; a larger
-benchmark takes one pass of the documents per shard, and the passes are merged per document.
+benchmark takes one pass of the documents per shard, and the passes are merged row by row: rows are numbered in
+a table that is written once before the passes, so rows that share an id, or have none, stay apart.
 
 Cases: a null or empty text has no words, is hit nowhere and is clean; an item without words has no
 window; empty tables give clean documents or none; repeated documents are judged row by row and repeated
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -135,14 +137,13 @@ def compile_patterns(items: list[tuple[int, str | None]], window: int) -> list[P
     ]
 
 
-def _shards(benchmark: DataFrame, id_col: str, text_col: str, shard_words: int) -> Iterator[list[tuple[int, str | None]]]:
-    """Items in shards of a bounded size; one shard at a time is on the driver."""
+def _shards(benchmark: DataFrame, id_col: str, text_col: str, shard_words: int) -> tuple[Iterator[list[tuple[int, str | None]]], int]:
+    """Items in shards of a bounded size, and how many; one shard at a time is on the driver."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = int(chars // (2 * shard_words)) + 1
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r.item, r.text) for r in part.toLocalIterator()]
+    parts = (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else items for k in range(n))
+    return ([(r.item, r.text) for r in part.toLocalIterator()] for part in parts), n
 
 
 def find_contamination(
@@ -151,7 +152,7 @@ def find_contamination(
     """One row per document: key, words, the hit words as [start, end) spans, and the items with occurrences."""
     spark = docs.sparkSession
     T.importable(spark)
-    schema = "doc_id long, n_words long, spans array<struct<start: int, end: int>>, items array<long>"
+    schema = "row long, doc_id long, n_words long, spans array<struct<start: int, end: int>>, items array<long>"
 
     def one(shard: list[tuple[int, str | None]]) -> DataFrame:
         sent = spark.sparkContext.broadcast(compile_patterns(shard, window))
@@ -159,17 +160,20 @@ def find_contamination(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in T.pieces(batch):
-                    yield scan(piece, sent.value)
+                    found = scan(piece, sent.value)
+                    row = piece.column("row") if "row" in piece.schema.names else pa.nulls(piece.num_rows, pa.int64())
+                    yield pa.RecordBatch.from_arrays([row, *found.columns], names=["row", *found.schema.names])
 
-        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+        return rows.mapInArrow(run, schema)
 
-    passes = [one(shard) for shard in _shards(benchmark, item_col, item_text_col, shard_words)]
-    if len(passes) == 1:
-        return passes[0]
-    merged = passes[0]
-    for other in passes[1:]:
-        merged = merged.unionByName(other)
-    return merged.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    shards, n = _shards(benchmark, item_col, item_text_col, shard_words)
+    if n == 1:
+        return one(next(shards)).drop("row")
+    rows = T.written(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    merged = reduce(DataFrame.unionByName, [one(shard) for shard in shards])
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    return merged.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), items).drop("row")
 
 
 def scan(piece: pa.RecordBatch, patterns: list[Patterns]) -> pa.RecordBatch:
@@ -251,8 +255,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         return frame.mapInArrow(run, docs.schema)
 
-    for shard in _shards(benchmark, "item_id", "text", shard_words):
-        docs = clean(docs, shard)
+    shards, n = _shards(benchmark, "item_id", "text", shard_words)
+    for k, shard in enumerate(shards):
+        # written between passes, so that a task holds one shard
+        docs = T.written(clean(docs, shard), "clean") if k < n - 1 else clean(docs, shard)
     return docs
 
 

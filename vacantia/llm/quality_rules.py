@@ -1,7 +1,8 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule rejects a text by a cheap count over it. ``plan_cascade`` measures, on a bounded sample, what
-each rule costs per document and which share it rejects, and orders the rules by rejections per second.
+each rule costs per document and which share it rejects, and orders the rules by rejections per second. The
+sample is measured where it lies, in all tasks, and one row per rule comes back.
 ``quality_filter`` then evaluates them in that order, a batch at a time, each rule only on the documents
 that no earlier rule rejected. The verdict (no rule rejects) doesn't depend on the order, so a different
 sample changes the speed only.
@@ -20,6 +21,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacantia.llm import _text as T
 
@@ -139,7 +141,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
 
 
 def plan_cascade(docs: DataFrame, text_col: str = "text", rules: dict[str, Rule] | None = None, sample: int = SAMPLE) -> list[str]:
-    """Names of the rules, most rejections per second first, as measured on ``sample`` documents."""
+    """Names of the rules, most rejections per second first, as measured on about ``sample`` documents drawn at random."""
     rules = rules or RULES
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +154,10 @@ def plan_cascade(docs: DataFrame, text_col: str = "text", rules: dict[str, Rule]
         yield pa.RecordBatch.from_pydict({"rule": list(rules), "seconds": list(spent.values()), "rejected": list(rejected.values())})
 
     T.importable(docs.sparkSession)
-    rows = docs.select(docs[text_col].alias("text")).limit(sample).mapInArrow(measure, "rule string, seconds double, rejected long").collect()
-    rate = {n: sum(r.rejected for r in rows if r.rule == n) / max(sum(r.seconds for r in rows if r.rule == n), 1e-9) for n in rules}
+    total = docs.count()  # of a Parquet table its files say it
+    drawn = docs.select(docs[text_col].alias("text")).sample(min(1.0, sample / max(total, 1)), seed=11)
+    sums = drawn.mapInArrow(measure, "rule string, seconds double, rejected long").groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"))
+    rate = dict.fromkeys(rules, 0.0) | {r.rule: r.rejected / max(r.seconds, 1e-9) for r in sums.collect()}
     return sorted(rules, key=lambda n: (-rate[n], list(rules).index(n)))
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = 256
+#: Matches of a text that are added up at a time.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ class Rule:
     least: int = 1
 
 
-#: Fixed patterns. The three base kinds come first; a run of at least 16 hex digits is the same as a run
+#: Fixed patterns, without repeated groups, which the JVM's regex engine would recurse on. The three base kinds come first; a run of at least 16 hex digits is the same as a run
 #: that is dropped when shorter, and likewise for the access keys.
 RULES = [
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -47,7 +49,7 @@ RULES = [
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 ]
 BASE = 3
 
@@ -161,7 +163,12 @@ def spans_of(text: Column, rule: Rule, k: int) -> Column:
         return F.struct(end.cast("long").alias("at"), F.when(F.length(m["own"]) >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("found"), own.alias("own"))
-    spans = F.aggregate(zipped, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out")), step)["out"]
+    # in chunks, as an array that grows is copied with each element
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda c: F.slice(zipped, c * CHUNK + 1, F.lit(CHUNK)))
+    length = lambda chunk: F.aggregate(chunk, F.lit(0).cast("long"), lambda n, m: n + F.length(m["gap"]) + F.length(m["found"]))
+    begins = F.aggregate(chunks, F.array(F.lit(0).cast("long")), lambda at, chunk: F.concat(at, F.array(F.element_at(at, -1) + length(chunk))))
+    pieces = F.zip_with(chunks, F.slice(begins, F.lit(1), F.size(chunks)), lambda chunk, at: F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("out")), step)["out"])
+    spans = F.flatten(pieces)
     return F.when(text.rlike(rule.regex), spans).otherwise(empty)
 
 
@@ -174,7 +181,10 @@ def find_secrets(docs: DataFrame, rules: list[Rule] | None = None, id_col: str =
     if queries:
         index = trigram_index(docs, sorted(set().union(*map(trigrams_of, queries.values()))), id_col, text_col)
         # texts stream past the candidates' hash table: no sort of texts, one shuffle
-        rows = rows.join(candidates(index, queries).withColumnRenamed("doc", "doc_id").hint("shuffle_hash"), "doc_id", "left")
+        # rows without an id, which join nothing, are spread by their texts
+        spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+        pairs = candidates(index, queries).withColumnRenamed("doc", "doc_id").withColumn("spread", F.lit(0).cast("long"))
+        rows = rows.withColumn("spread", spread).join(pairs.hint("shuffle_hash"), ["doc_id", "spread"], "left")
         known = F.col("doc_id").isNull()
     empty = F.array().cast("array<struct<start:bigint,k:int,end:bigint>>")
     found = [F.when(known | F.array_contains("rules", r.kind), spans_of(F.col("text"), r, k)).otherwise(empty) if r.kind in queries else spans_of(F.col("text"), r, k) for k, r in enumerate(rules)]

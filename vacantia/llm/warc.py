@@ -10,9 +10,10 @@ and each range becomes one file of blocks of ``BLOCK`` captures, compressed one
 the sparse directory: the first key, place and size of each block. The upper level is the list of those
 files with their first keys, one row per file.
 
-Lookup: keys find their file by binary search in the upper level (at most ``PARTS`` files, so its size is
-bounded), move to the task of that file, find their block by binary search in its directory, and only
-blocks that are asked for are read; the captures found are then read from the archives by range.
+Lookup: keys find their file by binary search in the upper level (``write_index`` makes at most ``PARTS`` files, so
+its size is bounded), move to the task of that file, find their block by binary search in its directory, and only
+blocks that are asked for are read; the captures found are then read from the archives by range. A key
+is a URL's key and a page id.
 
 Cases: a null html is an empty payload, a null url has the key ``)/``; repeated rows with one page id and
 payload are both responses if that id is the largest; a null page id is smaller than any other and stays
@@ -182,17 +183,29 @@ def write_index(captures: DataFrame, folder: str, block: int = BLOCK, parts: int
 
     ordered = captures.select("key", "path", "offset", "length")
     if parts or int(spark.conf.get("spark.sql.shuffle.partitions")) > PARTS:
-        parts = min(PARTS, parts or PARTS)
+        parts = min(PARTS, parts or PARTS)  # larger files, not more of them
     ordered = (ordered.repartitionByRange(parts, "key") if parts else ordered.repartitionByRange("key")).sortWithinPartitions("key")
     return T.written(ordered.mapInArrow(run, "first_key string, path string, offset long, length long, n long"), "upper")
 
 
+def capture_keys(pages: DataFrame) -> DataFrame:
+    """The keys that the captures of these pages have."""
+    T.importable(pages.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [sort_key(u, p) for u, p in zip(batch.column("url").to_pylist(), batch.column("page_id").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string())], names=["key"])
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url").mapInArrow(run, "key string")
+
+
 def look_up(keys: DataFrame, upper: DataFrame) -> DataFrame:
     """The captures of each key (column ``key``): key, path, offset, length."""
     spark = keys.sparkSession
-    top = sorted((r.first_key, r.path, r.offset, r.length) for r in upper.limit(PARTS + 1).collect())
-    if len(top) > PARTS:
-        raise ValueError(f"the index has more than {PARTS} files: write it with fewer parts")
+    T.importable(spark)
+    # as many rows as write_index has parts
+    top = sorted((r.first_key, r.path, r.offset, r.length) for r in upper.collect())
     sent = spark.sparkContext.broadcast(top)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +280,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     captures = write_archives(pages, T.shared_dir(spark))
     upper = write_index(captures, T.shared_dir(spark))
-    found = T.written(look_up(captures.select("key"), upper), "found")
+    # what the pages should have, not what was written: a lost capture would be a missing row
+    found = T.written(look_up(capture_keys(pages), upper), "found")
     return read_records(found)
 
 
