@@ -278,6 +278,7 @@ def test_quality_model(spark):
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     labels = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/labels.parquet")
     model = quality_model.fit_quality(docs, labels)
+    assert not quality_model.fit_quality(docs, labels, passages=1).fitted
     got = quality_model.score_quality(docs, model).toPandas().merge(labels.toPandas(), on="doc_id")
     far = got[got.held_out]
     assert len(far) > 50 and (far.predicted == far.quality).mean() > 0.9
@@ -291,17 +292,18 @@ def test_quality_model(spark):
 
 def test_gradients_are_those_of_the_loss():
     r = np.random.default_rng(2)
-    x, first, y = r.normal(size=(9, quality_model.FEATURES)), np.array([0, 2, 5, 9]), np.array([1.0, 0, 1])
-    w = np.array([0.2, 0.3, 0.5])
+    word = np.array([0, 3, 3, 8, 12, 20, 21, 25, 30, 40])
+    bags = quality_model.Bags(r.normal(size=(9, quality_model.FEATURES)), np.array([0, 2, 5, 9]), r.integers(0, 5, 40), r.uniform(0.1, 0.5, 40), word)
+    y, w = np.array([1.0, 0, 1]), np.array([0.2, 0.3, 0.5])
     m = quality_model.Model(np.zeros(quality_model.FEATURES), np.ones(quality_model.FEATURES), 0.5)
 
     def loss():
-        p = m.forward(x, first)["score"]
+        p = m.forward(bags)["score"]
         return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum()
 
-    grads = m.gradients(x, first, y, w)
+    grads = m.gradients(bags, y, w)
     for k, g in grads.items():
-        at = tuple(r.integers(0, n) for n in m.p[k].shape)
+        at = (3, 2) if k == "E" else tuple(r.integers(0, n) for n in m.p[k].shape)
         old = m.p[k][at]
         m.p[k][at] = old + 1e-6
         up = loss()
@@ -311,6 +313,45 @@ def test_gradients_are_those_of_the_loss():
         assert abs((up - down) / 2e-6 - g[at]) < 1e-6, k
 
 
+def plain_score(model, text: str | None) -> float:
+    """The score of one document, passage by passage and word by word."""
+    import math
+    import re
+
+    data, hs, attention = (text or "").encode(), [], []
+    words = [(m.start(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    for begin in range(0, max(len(data), 1), quality_model.PASSAGE):
+        part = data[begin : begin + quality_model.PASSAGE]
+        size, own = max(len(part), 1), [w for at, w in words if begin <= at < begin + quality_model.PASSAGE]
+        n, lower = max(len(own), 1), [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in own]
+        classes = (rb"[A-Z]", rb"[a-z]", rb"[0-9]", rb"[\x20\x09-\x0D]", rb"\n", rb"[.,]", rb"[!?]", rb"[#*$%&|<>@^~={}\[\]\\_+/]", rb"""["'():;]""", rb"[\x80-\xff]")
+        mean = sum(map(len, own)) / n
+        spread = math.sqrt(max(sum(len(w) ** 2 for w in own) / n - mean**2, 0))
+        grams = {tuple(lower[k : k + 3]) for k in range(len(own) - 2)}
+        x = [len(re.findall(c, part)) / size for c in classes]
+        x += [min(mean, 40) / 10, min(spread, 40) / 10, math.log1p(len(own)) / 5, len(set(lower)) / n, len(grams) / (len(own) - 2) if len(own) > 2 else 1.0]
+        x += [sum(bool(re.search(rb"[A-Za-z\x80-\xff]", w)) for w in own) / n, math.log1p(size) / 8, math.log1p(len(data)) / 10, sum(len(w) > 20 for w in own) / n, float(not own)]
+        content = np.zeros(quality_model.CONTENT)
+        for w in own:
+            b = np.frombuffer(w, np.uint8)
+            content += model.p["E"][int(_text.span_hashes(_text.prefix_sums(_text.FOLDED_VALUES[b]), np.array([0]), np.array([len(b)]))[0]) >> 52] / n
+        h = np.tanh(np.concatenate([(np.array(x) - model.mean) / model.scale, content]) @ model.p["W"] + model.p["b"])
+        hs.append(h)
+        attention.append(float(model.p["w"] @ (np.tanh(h @ model.p["V"]) / (1 + np.exp(-(h @ model.p["U"]))))))
+    a = np.exp(np.array(attention) - max(attention))
+    return 1 / (1 + math.exp(-float((a / a.sum()) @ np.array(hs) @ model.p["c"] + model.p["d"][0])))
+
+
+def test_scores_are_those_of_plain_code(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_model.fit_quality(docs.union(docs.limit(3)), labels)  # repeated rows count once
+    again = quality_model.fit_quality(docs, labels)
+    assert model.fitted and all((again.p[k] == v).all() for k, v in model.p.items())
+    texts = dict(documents(150) + [(-i, t) for i, t in awkward()] + [(-90, " ".join(words(3, 3000)))])
+    got = quality_model.score_quality(table(spark, list(texts.items())), model).collect()
+    assert len(got) == len(texts) and all(abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-6 for r in got)
+
+
 def test_held_out_rows_never_teach(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     import zlib

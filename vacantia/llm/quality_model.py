@@ -1,24 +1,25 @@
 """Quality classifier by gated-attention multiple-instance learning.
 
-A document is a bag of passages of ``PASSAGE`` bytes. Each passage is encoded (word, line and character
-statistics, vectorised); a small network maps the encoding to a hidden vector h, the gate
-w . (tanh(V h) * sigmoid(U h)) gives each passage an attention weight (softmax inside the document), and
-the document's score is the logistic of the weighted sum of its passages' vectors. All weights are
-learned together from document labels, by Adam on the driver.
+A document is a bag of passages of ``PASSAGE`` bytes. Each passage is encoded twice: by word, line and character
+statistics, and by its words, hashed into ``BUCKETS`` rows of a learned embedding whose mean over the passage's words
+is its content vector. A small network maps both to a hidden vector h, the gate w . (tanh(V h) * sigmoid(U h))
+gives each passage an attention weight (softmax inside the document), and the document's score is the
+logistic of the weighted sum of its passages' vectors. All weights, the embedding's too, are learned together
+from document labels, by Adam over batches of ``BATCH`` documents on the driver.
 
-The fit reads a sample of at most ``SAMPLE`` labelled documents (half of each label at most, those with
-the smallest hash of their id) and of at most ``SAMPLE_PASSAGES`` passages in one of them; scoring takes
-every passage of every document in one pass without a shuffle.
+The fit reads at most ``SAMPLE`` labelled documents, half of each label at most, those with the smallest hash of
+their id, and of those as many as have ``SAMPLE_PASSAGES`` passages together; a document is taken with all of its
+passages or not at all. Scoring takes every passage of every document in one pass without a shuffle.
 
 Cases: a null or empty text is one empty passage; without labels of both kinds every score is the share
-of label 1 (0.5 without any); a document with several labels counts with each; null labels are left out;
-empty tables give empty results; other columns, whatever their names, are not read.
+of label 1 (0.5 without any); a document with several labels counts with each, repeated rows count once; null
+labels are left out; a label whose first document has too many passages has no examples; empty tables give empty results; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -30,8 +31,10 @@ from vacantia.llm import _text as T
 
 PASSAGE = 1500
 SAMPLE = 8000
-SAMPLE_PASSAGES = 64
+SAMPLE_PASSAGES = 60_000
 HIDDEN, GATE = 16, 8
+BUCKETS, CONTENT = 4096, 8
+BATCH, STEPS = 128, 500
 
 _TABLES = {
     "upper": T.byte_table((65, 90)),
@@ -48,8 +51,26 @@ _TABLES = {
 FEATURES = len(_TABLES) + 10
 
 
-def encode_passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """One feature row per passage, and the offsets of the documents."""
+@dataclass
+class Bags:
+    """Passages: statistics, documents' first passages, word buckets with weights, passages' first words."""
+
+    x: np.ndarray
+    first: np.ndarray
+    bucket: np.ndarray
+    weight: np.ndarray
+    word: np.ndarray
+
+    def take(self, docs: np.ndarray) -> Bags:
+        count = np.diff(self.first)[docs]
+        rows = T.ranges(self.first[docs], count)
+        size = np.diff(self.word)[rows]
+        own = T.ranges(self.word[rows], size)
+        return Bags(self.x[rows], np.append(0, np.cumsum(count)), self.bucket[own], self.weight[own], np.append(0, np.cumsum(size)))
+
+
+def encode_passages(texts: pa.Array) -> Bags:
+    """The passages of each document."""
     data, offsets = T.utf8(texts)
     rows = len(offsets) - 1
     count = np.maximum(-(-np.diff(offsets) // PASSAGE), 1)
@@ -84,7 +105,7 @@ def encode_passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.where(words > 2, distinct(grams, owners) / pairs, 1.0), lettered, np.log1p(size) / 8,
         np.log1p(np.diff(offsets)[row]) / 10, np.bincount(owner, long > 20, len(begin)) / n, (words == 0).astype(float),
     ]
-    return np.stack(out, axis=1), first
+    return Bags(np.stack(out, axis=1), first, (h >> T.U64(52)).astype(np.int64), 1 / n[owner], at)
 
 
 class Model:
@@ -95,12 +116,24 @@ class Model:
         self.mean, self.scale, self.rate = mean, scale, rate
         self.fitted = False
         self.p = {
-            "W": r.normal(0, 1 / np.sqrt(FEATURES), (FEATURES, HIDDEN)), "b": np.zeros(HIDDEN), "V": r.normal(0, 0.3, (HIDDEN, GATE)), "U": r.normal(0, 0.3, (HIDDEN, GATE)),
+            "E": r.normal(0, 0.3, (BUCKETS, CONTENT)), "W": r.normal(0, 1 / np.sqrt(FEATURES), (FEATURES + CONTENT, HIDDEN)), "b": np.zeros(HIDDEN), "V": r.normal(0, 0.3, (HIDDEN, GATE)), "U": r.normal(0, 0.3, (HIDDEN, GATE)),
             "w": r.normal(0, 0.3, GATE), "c": r.normal(0, 0.3, HIDDEN), "d": np.zeros(1),
         }
 
-    def forward(self, x: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
-        p, bag = self.p, np.repeat(np.arange(len(first) - 1), np.diff(first))
+    def content(self, bags: Bags, block: int = 256) -> np.ndarray:
+        """Weighted sums of the words' embeddings in each passage, so many passages at a time."""
+        out = np.zeros((len(bags.x), CONTENT))
+        for at in range(0, len(out), block):
+            word = bags.word[at : at + block + 1]
+            sums = np.zeros((word[-1] - word[0] + 1, CONTENT))
+            np.cumsum(self.p["E"][bags.bucket[word[0] : word[-1]]] * bags.weight[word[0] : word[-1], None], axis=0, out=sums[1:])
+            out[at : at + block] = sums[word[1:] - word[0]] - sums[word[:-1] - word[0]]
+        return out
+
+    def forward(self, bags: Bags) -> dict[str, np.ndarray]:
+        p, first = self.p, bags.first
+        bag = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        x = np.concatenate([(bags.x - self.mean) / self.scale, self.content(bags)], axis=1)
         h = np.tanh(x @ p["W"] + p["b"])
         t, g = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
         a = (t * g) @ p["w"]
@@ -108,36 +141,42 @@ class Model:
         a = a / np.add.reduceat(a, first[:-1])[bag]
         z = np.add.reduceat(a[:, None] * h, first[:-1])
         score = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
-        return {"h": h, "t": t, "g": g, "a": a, "z": z, "score": score, "bag": bag}
+        return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "score": score, "bag": bag}
 
-    def gradients(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        p, f = self.p, self.forward(x, first)
-        h, t, g, a, bag = f["h"], f["t"], f["g"], f["a"], f["bag"]
+    def gradients(self, bags: Bags, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        p, f, first = self.p, self.forward(bags), bags.first
+        x, h, t, g, a, bag = f["x"], f["h"], f["t"], f["g"], f["a"], f["bag"]
         e = (f["score"] - y) * weight / weight.sum()
         dz = e[:, None] * p["c"]
         da = (h * dz[bag]).sum(1)
         ds = a * (da - np.add.reduceat(a * da, first[:-1])[bag])
         dt, dg = ds[:, None] * p["w"] * g * (1 - t**2), ds[:, None] * p["w"] * t * g * (1 - g)
         dh = (a[:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T) * (1 - h**2)
-        return {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ ds, "c": f["z"].T @ e, "d": np.array([e.sum()])}
+        dx = (dh @ p["W"].T)[np.repeat(np.arange(len(x)), np.diff(bags.word)), FEATURES:] * bags.weight[:, None]
+        embedding = np.stack([np.bincount(bags.bucket, dx[:, k], BUCKETS) for k in range(CONTENT)], axis=1)
+        return {"E": embedding, "W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ ds, "c": f["z"].T @ e, "d": np.array([e.sum()])}
 
-    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.02) -> None:
-        x = (x - self.mean) / self.scale
-        positive = y.mean()
+    def fit(self, bags: Bags, y: np.ndarray, steps: int = STEPS, rate: float = 0.02, seed: int = 3) -> None:
+        positive, r = y.mean(), np.random.default_rng(seed)
         weight = np.where(y == 1, 0.5 / positive, 0.5 / (1 - positive))
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(u) for k, u in self.p.items()}
+        queue = np.zeros(0, np.int64)
         for step in range(1, steps + 1):
-            for k, d in self.gradients(x, first, y, weight).items():
+            if not len(queue):
+                queue = r.permutation(len(y))
+            docs, queue = queue[:BATCH], queue[BATCH:]
+            now = rate * min(1.0, 2 * (1 - step / (steps + 1)))  # falling over the second half
+            for k, d in self.gradients(bags.take(docs), y[docs], weight[docs]).items():
                 d = d + 1e-4 * self.p[k]
                 m[k], v[k] = 0.9 * m[k] + 0.1 * d, 0.999 * v[k] + 0.001 * d * d
-                self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                self.p[k] = self.p[k] - now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
         self.fitted = True
 
-    def score(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def score(self, bags: Bags) -> np.ndarray:
         if not self.fitted:
-            return np.full(len(first) - 1, self.rate)
-        return self.forward((x - self.mean) / self.scale, first)["score"]
+            return np.full(len(bags.first) - 1, self.rate)
+        return self.forward(bags)["score"]
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -146,35 +185,49 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, passages: int = SAMPLE_PASSAGES) -> Model:
-    """Learns from at most ``sample`` labelled documents that are not held out."""
+    """Learns from at most ``sample`` labelled documents with at most ``passages`` passages, none of them held out."""
     T.importable(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.where(~held_out())
     # a bounded number of rows, so the join below may send them to every task
     picked = reduce(DataFrame.unionByName, [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for y in (0, 1)])
 
+    spark = docs.sparkSession
+    key = [F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t")]
+    labelled = docs.select(*key, F.octet_length(text_col).alias("size")).join(F.broadcast(picked), "doc_id").distinct()
+    chosen = []
+    for label in (0, 1):
+        left = passages // 2
+        for row in labelled.where(F.col("y") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "t").limit(sample // 2).collect():
+            left -= max(1, -(-(row.size or 0) // PASSAGE))
+            if left < 0:
+                break
+            chosen.append((row.doc_id, row.t, label))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch):
-                x, first = encode_passages(piece.column("text"))
-                for k, (low, high) in enumerate(zip(first[:-1], first[1:])):
-                    own = x[low:high]
-                    if len(own) > passages:  # evenly spread over the document
-                        own = own[np.linspace(0, len(own) - 1, passages).astype(int)]
-                    yield pa.RecordBatch.from_arrays([piece.column("y").slice(k, 1), pa.array([own.astype("<f4").tobytes()], pa.binary())], names=["y", "x"])
-
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "doc_id")
-    rows = chosen.select("text", "y").mapInArrow(run, "y int, x binary").limit(2 * sample).toArrow()
-    y = rows.column("y").to_numpy().astype(float)
-    bags = [np.frombuffer(b, "<f4").reshape(-1, FEATURES).astype(float) for b in rows.column("x").to_pylist()]
-    if not bags or y.min() == y.max():
-        return Model(np.zeros(FEATURES), np.ones(FEATURES), float(y.mean()) if bags else 0.5)
+                bags = encode_passages(piece.column("text"))
+                for k, (low, high) in enumerate(zip(bags.first[:-1], bags.first[1:])):
+                    begin = bags.word[low : high + 1] - bags.word[low]
+                    columns = (bags.x[low:high].astype("<f4"), bags.bucket[bags.word[low] : bags.word[high]].astype("<u2"), begin.astype("<u4"))
+                    yield pa.RecordBatch.from_arrays([*(piece.column(c).slice(k, 1) for c in ("doc_id", "t", "y")), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], names=["doc_id", "t", "y", "x", "bucket", "word"])
+
+    few = spark.createDataFrame(chosen, "doc_id long, t long, y int")
+    rows = docs.select(*key, F.col(text_col).alias("text")).join(F.broadcast(few), ["doc_id", "t"])
+    rows = rows.mapInArrow(run, "doc_id long, t long, y int, x binary, bucket binary, word binary").dropDuplicates(["doc_id", "t", "y"])
     # one order whatever the tasks' order was
-    order = sorted(range(len(bags)), key=lambda k: (y[k], zlib.crc32(bags[k].tobytes()), len(bags[k])))
-    x, y = np.concatenate([bags[k] for k in order]), y[order]
-    first = np.concatenate([[0], np.cumsum([len(bags[k]) for k in order])])
-    model = Model(x.mean(0), np.maximum(x.std(0), 1e-3), float(y.mean()))
-    model.fit(x, first, y)
+    table = rows.orderBy("y", F.xxhash64("doc_id"), "doc_id", "t").toArrow()
+    y = table.column("y").to_numpy().astype(float)
+    if not len(y) or y.min() == y.max():
+        return Model(np.zeros(FEATURES), np.ones(FEATURES), float(y.mean()) if len(y) else 0.5)
+    x, bucket, word = ([np.frombuffer(b, kind) for b in table.column(c).to_pylist()] for c, kind in (("x", "<f4"), ("bucket", "<u2"), ("word", "<u4")))
+    first = np.append(0, np.cumsum([len(w) - 1 for w in word]))
+    size = np.concatenate([np.diff(w.astype(np.int64)) for w in word])
+    n = np.maximum(size, 1).astype(float)
+    bags = Bags(np.concatenate(x).reshape(-1, FEATURES).astype(float), first, np.concatenate(bucket).astype(np.int64), np.repeat(1 / n, size), np.append(0, np.cumsum(size)))
+    model = Model(bags.x.mean(0), np.maximum(bags.x.std(0), 1e-3), float(y.mean()))
+    model.fit(bags, y)
     return model
 
 
@@ -186,7 +239,7 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch):
-                score = sent.value.score(*encode_passages(piece.column("text")))
+                score = sent.value.score(encode_passages(piece.column("text")))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(
