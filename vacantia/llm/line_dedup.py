@@ -43,7 +43,7 @@ NUM, DEN = 3, 4
 RARITY_BITS = 21
 BEST = 4
 #: Pairs that a task holds, and entries of a range beyond which it is cut into blocks of half as many.
-PAIRS = 1 << 22
+PAIRS = 1 << 21
 ENTRIES = 1 << 20
 _BINS = 4096
 #: Bits of the bitmap of lines to verify, and how many lines it serves.
@@ -388,7 +388,7 @@ def _found(entries: DataFrame, open_lines: DataFrame | None = None) -> DataFrame
         # each line's place among the lines, the same for all its entries
         order = np.lexsort((line, doc))
         new = np.append(False, (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1]))
-        place = np.empty(total, np.int64)
+        place = np.empty(total, np.int32)
         place[order] = np.cumsum(new)
         own = order[np.append(True, new[1:])]
         doc, line = doc[own], line[own]
@@ -423,7 +423,7 @@ def _found(entries: DataFrame, open_lines: DataFrame | None = None) -> DataFrame
                     apart, most = _apart(parity, long, i, j), both - 2 * need
                     ok = apart <= most
                     # how much of the bound is used, in thousandths; small bounds tell little
-                    i, j, apart = place[i[ok]], place[j[ok]], np.where(most[ok] < 6, 999, apart[ok] * 1000 // np.maximum(most[ok], 1))
+                    i, j, apart = place[i[ok]], place[j[ok]], np.where(most[ok] < 6, 999, apart[ok] * 1000 // np.maximum(most[ok], 1)).astype(np.int32)
                     i, j = np.maximum(i, j), np.minimum(i, j)
                     ok = i != j
                     if wanted is not None:
