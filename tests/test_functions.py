@@ -182,7 +182,7 @@ def test_funnel_counts_first_reason(spark):
 
 
 def test_map_skills_exact_then_loose(spark):
-    mapping = spark.createDataFrame([("PyTorch", "ml"), ("Databases", "data"), ("Data Modeling", "data")], "name string, family string")
+    mapping = spark.createDataFrame([("PyTorch", "ml", 0), ("Databases", "data", 1), ("Data Modeling", "data", 2), ("PYTORCH", "ai", 3)], "name string, family string, pos int")
     df = spark.createDataFrame([(1, ["pytorch", "DATABASES ", "data modelling", "Cobol", None])], "id int, skills array<string>")
     got = [(r.name, r.family) for r in D.map_skills(df, "id", "skills", mapping).orderBy("pos").collect()]
-    assert got == [("PyTorch", "ml"), ("Databases", "data"), ("Data Modeling", "data"), ("Cobol", None)]
+    assert got == [("PyTorch", "ai"), ("Databases", "data"), ("Data Modeling", "data"), ("Cobol", None)]

@@ -37,13 +37,16 @@ def decode_entities(c: Column) -> Column:
     return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
 
 
+def strip_tags(c: Column) -> Column:
+    """HTML without tags on one line, entities as they are; null is empty."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " "), r"\s+", " "))
+
+
 def strip_html(c: Column, decode_first: bool = True) -> Column:
     """HTML as plain text on one line; null is empty."""
-    c = F.coalesce(c, F.lit(""))
-    c = decode_entities(c) if decode_first else c
-    c = F.regexp_replace(c, "<[^>]+>", " ")
-    c = c if decode_first else decode_entities(c)
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    if decode_first:
+        return strip_tags(decode_entities(F.coalesce(c, F.lit(""))))
+    return F.trim(F.regexp_replace(decode_entities(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")), r"\s+", " "))
 
 
 def visible_text(c: Column, most: int = 8000) -> Column:
@@ -117,11 +120,38 @@ def skill_title(c: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(F.trim(c), r"\s+"), lambda w: w != ""), word), " ")
 
 
-def employer_title(c: Column, capitals: list[str]) -> Column:
-    """Title case for employers: known capitals stay, ordinals are 1st, and one word of up to 3 letters is in capitals."""
-    words = F.array_join(F.transform(F.split(F.trim(c), r"\s+"), lambda w: _title_word(w, capitals)), " ")
-    words = F.regexp_replace(words, r"\b([0-9]+)S[tT]\b", "$1st")
-    return F.when(F.trim(c).rlike("^[A-Za-z]{1,3}$"), F.upper(F.trim(c))).otherwise(words)
+#: Words of employers' names that stay in capitals.
+EMPLOYER_CAPITALS = [
+    "ai", "ml", "it", "hr", "uk", "us", "eu", "hq", "io", "vr", "ar", "xr", "qa", "ux", "ui", "cx", "dx",
+    "nyc", "usa", "llc", "inc", "plc", "api", "cto", "svp", "vp", "dba", "saas", "b2b", "b2c", "d2c",
+    "hp", "td", "ab", "ad", "abb", "abc", "abm", "abs", "acs", "aeg", "aws", "bdo", "bny", "cgi", "cnn", "dbs",
+    "dxc", "gsk", "hpe", "ibm", "ihg", "itv", "jll", "kbr", "kkr", "ntt", "rbc", "rsm", "rtx", "sap", "ubs", "wpp",
+    "wsp", "wtw", "amd", "dpr", "erm", "hdr", "pvh",
+]
+#: Short names of one word that are brands and not initials.
+SHORT_BRANDS = [
+    "arm", "arc", "box", "cos", "eon", "eos", "fal", "fay", "fin", "fox", "gap", "hud", "ing", "ion", "ki", "mux", "on", "rec",
+    "res", "rho", "ro", "sim", "sky", "spa", "sur", "wex", "wix", "wiz", "zip", "alt", "edo", "dat", "vec", "sj",
+]
+
+
+def title_case(c: Column) -> Column:
+    """Each run of letters begins with a capital, after apostrophes, hyphens and digits too."""
+    runs = F.split(F.lower(c), r"(?<!\p{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))), "")
+
+
+def employer_title(c: Column, capitals: list[str] | None = None, brands: list[str] | None = None) -> Column:
+    """Title case for employers: known initials in capitals, ordinals as 1st; one word of up to 3 letters is in capitals unless it is a brand."""
+    capitals = EMPLOYER_CAPITALS if capitals is None else capitals
+    brands = SHORT_BRANDS if brands is None else brands
+    words = F.filter(F.split(F.trim(title_case(c)), r"\s+"), lambda w: w != "")
+    one = F.get(words, F.lit(0))
+    low = F.lower(one)
+    single = F.when(low.isin(capitals) | (low.rlike(r"^\p{L}{1,3}$") & ~low.isin(brands)), F.upper(one)).otherwise(one)
+    ordinal = lambda w: F.concat(F.regexp_extract(w, r"^(.*?[0-9]+)(?:St|Nd|Rd|Th)(\b.*)$", 1), F.lower(F.regexp_extract(w, r"[0-9](St|Nd|Rd|Th)\b", 1)), F.regexp_extract(w, r"^.*?[0-9]+(?:St|Nd|Rd|Th)(\b.*)$", 1))
+    word = lambda w: F.when(F.lower(w).isin(capitals), F.upper(w)).when(w.rlike(r"[0-9](?:St|Nd|Rd|Th)\b"), ordinal(w)).otherwise(w)
+    return F.when(F.size(words) == 1, single).otherwise(F.array_join(F.transform(words, word), " "))
 
 
 def skill_key(c: Column) -> Column:
@@ -202,7 +232,10 @@ def title_seniority(title: Column) -> Column:
 
 
 #: Titles of directors and above.
-DIRECTOR = [r"\bdirector\b", r"\bvp\b", r"\bvice president\b", r"\bhead of\b", r"\bchief\b", r"\bc[tipd]o\b", r"\bsvp\b", r"\bevp\b", r"\bgm\b", r"\bgeneral manager\b", r"\bpresident\b", r"\bexecutive director\b", r"\bmanaging director\b", r"\bpartner\b"]
+DIRECTOR = [
+    r"\bdirector\b", r"\bhead of\b", r"\bhead,", r"\bvp\b", r"\bvice president\b", r"\bsvp\b", r"\bevp\b", r"\bavp\b", r"\brvp\b",
+    r"\bchief\b", r"\bcto\b", r"\bcpo\b", r"\bcdo\b", r"\bpartner\b",
+]
 
 
 def is_director(title: Column) -> Column:
@@ -223,12 +256,12 @@ def token_cost(tokens: Column, price: Column) -> Column:
 
 
 def slug_title(c: Column) -> Column:
-    return F.initcap(F.translate(c, "-_", "  "))
+    return title_case(F.translate(c, "-_", "  "))
 
 
 def drop_boilerplate(c: Column, patterns: list[str]) -> Column:
     """The text without paragraphs that match one of the patterns."""
-    return F.trim(F.regexp_replace(c, "(?im)^.*(?:" + "|".join(patterns) + ").*$", ""))
+    return F.btrim(F.regexp_replace(c, "(?im)^.*(?:" + "|".join(patterns) + ").*$", ""), F.lit(" \t\r\n"))
 
 
 def page_fields(html: Column) -> dict[str, Column]:
@@ -254,3 +287,51 @@ def board_url(slug: Column, job: Column, kind: Column) -> Column:
 def field_from_broken_json(c: Column, field: str) -> Column:
     """A string field of JSON text, by parsing or else by pattern."""
     return F.coalesce(F.get_json_object(c, f"$.{field}"), F.nullif(F.regexp_extract(c, rf'"{field}"\s*:\s*"([^"]*)"', 1), F.lit("")))
+
+
+def city_from_url(url: Column) -> Column:
+    """A city's code from what the URL contains; London where nothing tells."""
+    low = F.lower(F.coalesce(url, F.lit("")))
+    return F.when(F.contains(url, F.lit(".co.uk")) | F.contains(low, F.lit("london")), "lon").when(any_of(low, ["newyork", "nyc"]), "nyc").when(F.contains(low, F.lit("denver")), "den").otherwise("lon")
+
+
+#: Names in a location and the code they give, in order.
+LOCATION_CODES = [("london", "lon"), ("new york", "nyc"), ("denver", "den"), ("united kingdom", "lon"), ("uk", "lon"), ("us", "usa"), ("united states", "usa")]
+
+
+def location_code(c: Column) -> Column:
+    """The code of the first known name in a location, else its first three letters."""
+    low = F.lower(c)
+    known = F.coalesce(*(F.when(F.contains(low, F.lit(name)), F.lit(code)) for name, code in LOCATION_CODES))
+    return F.when(c.isNull() | (c == ""), "unknown").otherwise(F.coalesce(known, F.left(low, F.lit(3))))
+
+
+#: Cities with a code of their own.
+CITY_CODES = {"london": "lon", "new_york": "nyc", "denver": "den", "san_francisco": "sfo", "singapore": "sgp"}
+
+
+def legacy_city_code(locations: Column, is_remote: Column | None = None) -> Column:
+    """The code of the first location: a city's code, remote, or unk; the feed's own remote flag where the first is neither."""
+    first = F.get(locations, F.lit(0))
+    codes = F.create_map(*[F.lit(x) for kv in CITY_CODES.items() for x in kv])
+    rule = F.when(first["type"] == "city", F.coalesce(F.try_element_at(codes, first["city"]), F.lit("unk"))).when(first["type"] == "remote", "remote")
+    return rule.when(is_remote, "remote").otherwise("unk") if is_remote is not None else rule.otherwise("unk")
+
+
+def first_non_empty(*columns: Column) -> Column:
+    """The first of the texts that is neither null nor empty."""
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in columns))
+
+
+def decode_label(code: Column, labels: dict[str, str]) -> Column:
+    """A code's label, else the code."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]), code), code)
+
+
+def truncated(c: Column, most: int) -> Column:
+    return F.left(c, F.lit(most))
+
+
+def https(url: Column) -> Column:
+    """The URL with its scheme as https."""
+    return F.regexp_replace(url, "^http://", "https://")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions.text import any_of, count_of, is_director, matches_any, skill_key, skill_title
+from vacantia.functions.text import any_of, count_of, is_director, matches_any, skill_key, skill_title, title_seniority
 
 # Fixed values of the agency rules.
 STRONG_WORDS = ["recruitment", "recruiting", "recruiter", "staffing", "headhunters", "executive search", "talent acquisition", "placement", "resourcing"]
@@ -115,16 +115,22 @@ def fix_family(df: DataFrame, subfamily: str, family: str, mapping: DataFrame) -
 
 
 def map_skills(df: DataFrame, key: str, skills: str, mapping: DataFrame) -> DataFrame:
-    """(key, pos, skill, name, family): each skill's canonical name and family, by its exact lower-case name or
-    else its normalised one; names in no mapping are title-cased. mapping: name, family; the last entry wins."""
-    numbered = mapping.select("name", "family", F.lower(F.trim("name")).alias("exact"), skill_key(F.col("name")).alias("loose"))
-    one = lambda c, n: numbered.groupBy(F.col(c).alias(f"__{n}")).agg(F.max_by("name", "name").alias(f"{n}_name"), F.max_by("family", "name").alias(f"{n}_family"))
+    """(key, pos, skill, name, family): each skill's canonical name and family, by its exact lower-case name or else its
+    normalised one; names in no mapping are title-cased. mapping: name, family and pos, its order: of entries with one
+    name the first gives the canonical form and the last the family."""
+    numbered = mapping.select(F.trim("name").alias("name"), "family", F.col("pos").alias("at"), F.lower(F.trim("name")).alias("exact"), skill_key(F.col("name")).alias("loose"))
+    one = lambda c, n: numbered.groupBy(F.col(c).alias(f"__{n}")).agg(F.min_by("name", "at").alias(f"{n}_name"), F.max_by("family", "at").alias(f"{n}_family"))
     rows = df.select(key, F.posexplode_outer(skills).alias("pos", "skill")).where("skill IS NOT NULL")
     rows = rows.withColumn("__exact", F.lower(F.trim("skill"))).withColumn("__loose", skill_key(F.col("skill")))
     rows = rows.join(one("exact", "exact"), "__exact", "left").join(one("loose", "loose"), "__loose", "left")
     return rows.select(key, "pos", "skill", F.coalesce("exact_name", "loose_name", skill_title(F.col("skill"))).alias("name"), F.coalesce("exact_family", "loose_family").alias("family"))
 
 
+def mapping_stats(mapping: DataFrame) -> DataFrame:
+    """Skills of each family."""
+    return mapping.groupBy("family").agg(F.countDistinct(F.lower(F.trim("name"))).alias("n"))
+
+
 def industry_by_words(name: Column, rules: dict[str, list[str]]) -> Column:
     """The first industry one of whose words the name contains."""
     low = F.lower(F.coalesce(name, F.lit("")))
@@ -132,9 +138,44 @@ def industry_by_words(name: Column, rules: dict[str, list[str]]) -> Column:
 
 
 def correct_track(family: Column, title: Column, track: Column, seniority: Column) -> tuple[Column, Column]:
-    """Managers in delivery and product without a director's title are individual contributors."""
-    wrong = family.isin("delivery", "product") & (track == "management") & ~is_director(title)
-    return F.when(wrong, "ic").otherwise(track), F.when(wrong & (seniority == "director_plus"), "senior").otherwise(seniority)
+    """In delivery and product, without a director's title: managers are individual contributors, and director_plus
+    is the level that the title says."""
+    wrong = F.coalesce(family.isin("delivery", "product"), F.lit(False)) & ~is_director(title)
+    return F.when(wrong & (track == "management"), "ic").otherwise(track), F.when(wrong & (seniority == "director_plus"), title_seniority(F.coalesce(title, F.lit("")))).otherwise(seniority)
+
+
+def backfill_tracks(df: DataFrame, family: str, title: str, track: str, seniority: str) -> DataFrame:
+    """The rows with corrected track and seniority, and whether each was changed."""
+    new_track, new_level = correct_track(F.col(family), F.col(title), F.col(track), F.col(seniority))
+    was = df.withColumn("track_changed", ~new_track.eqNullSafe(F.col(track))).withColumn("seniority_changed", ~new_level.eqNullSafe(F.col(seniority)))
+    return was.withColumns({track: new_track, seniority: new_level})
+
+
+#: The fewest characters of a description that can be classified.
+LEAST_DESCRIPTION = 50
+
+
+def blocked_reason(agency: Column, description: Column, family: Column) -> Column:
+    """Why a raw posting is left out on purpose; null if it isn't."""
+    return F.when(agency, "agency_hard_filter").when(F.length(F.coalesce(description, F.lit(""))) < LEAST_DESCRIPTION, "description_too_short").when(family == "out_of_scope", "out_of_scope")
+
+
+def to_backfill(raw: DataFrame, enriched: DataFrame, key: str, reason: str = "blocked_reason") -> DataFrame:
+    """Raw rows without an enriched row that weren't left out on purpose."""
+    return raw.where(F.col(reason).isNull()).join(enriched.select(key).distinct(), key, "left_anti")
+
+
+#: Words in a company's name that tell its industry.
+INDUSTRY_WORDS = {
+    "professional_services": [
+        "staffing", "recruiting", "recruitment", "talent acquisition", "consultancy", "consulting group", "associates", "partners llp",
+        "solutions ltd", "resources", "personnel", "headhunter", "executive search", "employment agency",
+    ],
+    "financial_services": [
+        "ventures", "venture capital", "capital partners", "investment partners", "private equity", "growth equity", "venture fund", "capital management",
+        "bank", "banking", "credit union", "savings", "trust company",
+    ],
+}
 
 
 def arrangement_precedence(source: Column, structured: Column, classified: Column, remote: Column, default: Column) -> Column:

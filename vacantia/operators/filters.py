@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions.text import any_of, company_slug
+from vacantia.functions.text import any_of, company_slug, is_director
 
 #: States that are not checked again.
 TERMINAL = ("404", "410")
@@ -109,3 +109,33 @@ def mismatched_rows(df: DataFrame, results: DataFrame, key: str, field: str) ->
     """Rows whose field was wrong in an earlier run; results: key, field, matched."""
     wrong = results.where((F.col("field") == field) & ~F.col("matched")).select(key).distinct()
     return df.join(wrong, key, "left_semi")
+
+
+def paid_rows(df: DataFrame, pay: str, city_column: str, city: str) -> DataFrame:
+    """Rows of a city with pay."""
+    return df.where(F.col(pay).isNotNull() & (F.col(city_column) == city))
+
+
+def missing_values(df: DataFrame, column: str, text: str, least: int) -> DataFrame:
+    """Rows without a value whose text is long enough to give one."""
+    return df.where(F.col(column).isNull() & (F.length(text) >= least))
+
+
+def empty_text(df: DataFrame, text: str) -> DataFrame:
+    """Rows whose text is null or blank."""
+    return df.where(~F.coalesce(text, F.lit("")).rlike(r"\S"))
+
+
+def edge_titles(df: DataFrame, title: str, words: list[str]) -> DataFrame:
+    """Rows whose title has one of the words that need a second look."""
+    return df.where(any_of(F.lower(title), words))
+
+
+def any_element(df: DataFrame, array: str, test) -> DataFrame:
+    """Rows with an element for which ``test`` (a function of a column) holds."""
+    return df.where(F.coalesce(F.exists(array, test), F.lit(False)))
+
+
+def track_candidates(df: DataFrame, family: str, seniority: str, title: str) -> DataFrame:
+    """Rows of delivery and product at director_plus whose title doesn't say so."""
+    return df.where(F.col(family).isin("delivery", "product") & (F.col(seniority) == "director_plus") & ~is_director(F.col(title)))

@@ -25,8 +25,12 @@ def distribution(df: DataFrame, column: str, by: list[str] | None = None) -> Dat
     """Count and percentage of each known value; total, known, unknown and coverage on every row."""
     by = by or []
     counts = df.groupBy(*by, F.when(is_known(column), F.col(column)).alias("code")).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(*by)  # over one row per value, not per posting
-    counts = counts.withColumn("total", F.sum("n").over(whole)).withColumn("known", F.coalesce(F.sum(F.when(F.col("code").isNotNull(), F.col("n"))).over(whole), F.lit(0)))
+    total, known = F.sum("n"), F.sum(F.when(F.col("code").isNotNull(), F.col("n")))
+    if by:
+        whole = Window.partitionBy(*by)  # over one row per value, not per posting
+        counts = counts.withColumn("total", total.over(whole)).withColumn("known", F.coalesce(known.over(whole), F.lit(0)))
+    else:  # totals are one row
+        counts = counts.crossJoin(F.broadcast(counts.agg(total.alias("total"), F.coalesce(known, F.lit(0)).alias("known"))))
     return counts.where("code IS NOT NULL").select(
         *by, "code", "n", percent(F.col("n"), F.col("known")).alias("pct"), "total", "known", (F.col("total") - F.col("known")).alias("unknown"), percent(F.col("known"), F.col("total")).alias("coverage_pct")
     )
@@ -45,6 +49,9 @@ def top_k(df: DataFrame, column: str, k: int, by: list[str] | None = None) -> Da
     """The k most frequent values, overall or per group, with their share of all rows in percent."""
     by = by or []
     counts = df.groupBy(*by, column).agg(F.count("*").alias("n"))
+    if not by:  # totals are one row, and the window is over k rows
+        best = counts.orderBy(F.desc("n"), column).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), column)))
+        return best.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).select(column, "n", percent(F.col("n"), F.col("total")).alias("pct"), "rank")
     whole = Window.partitionBy(*by)
     ranked = counts.withColumn("total", F.sum("n").over(whole)).withColumn("rank", F.row_number().over(whole.orderBy(F.desc("n"), column)))
     return ranked.where(F.col("rank") <= k).select(*by, column, "n", percent(F.col("n"), F.col("total")).alias("pct"), "rank")
@@ -91,18 +98,19 @@ def top_skills(df: DataFrame, skills: str = "skills_all", k: int = 15) -> DataFr
     return best.crossJoin(F.broadcast(whole.agg(F.count("*").alias("with_skills")))).select("skill", "n", percent(F.col("n"), F.col("with_skills")).alias("pct"))
 
 
-def skill_pairs(df: DataFrame, skills: str = "skills", k: int | None = 10, anchor: str | None = None) -> DataFrame:
-    """Unordered pairs of distinct skills and the postings that have both.
+def skill_pairs(df: DataFrame, skills: str = "skills", k: int | None = 10, anchor: str | None = None, by: list[str] | None = None) -> DataFrame:
+    """Unordered pairs of distinct skills and the postings that have both, overall or per group.
 
     The pairs of one posting come from its own array, row by row, so no two rows are joined."""
+    by = by or []
     own = F.array_sort(F.array_distinct(skills))
-    rows = df.select(own.alias("s")).where(F.size("s") > 1)
-    first = rows.select(F.posexplode("s").alias("i", "a"), "s")
-    pairs = first.select("a", F.explode(F.slice("s", F.col("i") + 2, F.greatest(F.size("s") - F.col("i") - 1, F.lit(0)))).alias("b"))
+    rows = df.select(*by, own.alias("s")).where(F.size("s") > 1)
+    first = rows.select(*by, F.posexplode("s").alias("i", "a"), "s")
+    pairs = first.select(*by, "a", F.explode(F.slice("s", F.col("i") + 2, F.greatest(F.size("s") - F.col("i") - 1, F.lit(0)))).alias("b"))
     if anchor:
         pairs = pairs.where((F.col("a") == anchor) | (F.col("b") == anchor))
-    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "a", "b").limit(k) if k else counts
+    counts = pairs.groupBy(*by, "a", "b").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), *by, "a", "b").limit(k) if k else counts
 
 
 def nearest_rank(df: DataFrame, value: str, by: list[str] | None = None, least: int = 1, points: tuple[tuple[str, float], ...] = (("p25", 0.25), ("median", 0.5), ("p75", 0.75))) -> DataFrame:

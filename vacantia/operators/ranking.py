@@ -67,9 +67,9 @@ def capped_sample(df: DataFrame, group: str, ident: str, cap: int, seed: int = 0
     return top_per_group(df, [group], [shuffled(ident, seed), ident], cap).drop("rank")
 
 
-def stratified_sample(df: DataFrame, stratum: str, ident: str, n: int, quota: int, seed: int = 0) -> DataFrame:
-    """``n`` rows: at most ``quota`` of each stratum first, then the rest in random order."""
-    order = shuffled(ident, seed)
+def stratified_sample(df: DataFrame, stratum: str, ident: str, n: int, quota: int, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """``n`` rows: at most ``quota`` of each stratum first, then the rest in random order, or in that of ``order``."""
+    order = shuffled(ident, seed) if order is None else order
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy(order, ident))
     return df.withColumn("__rank", rank).withColumn("__late", F.col("__rank") > quota).orderBy("__late", order, ident).limit(n).drop("__rank", "__late")
 

@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Registers the queries of all modules."""
-    from vacantia.plans import column_queries, filter_queries, join_queries, metric_queries, stream_queries  # noqa: F401
+    from vacantia.plans import case_queries, column_queries, feed_queries, filter_queries, join_queries, metric_queries, stream_queries  # noqa: F401

@@ -5,67 +5,94 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacantia.functions import text as X
+from vacantia.operators import audits as A
 from vacantia.operators import filters as C
 from vacantia.operators import joins as E
 from vacantia.operators import locations as L
 from vacantia.operators import merge as J
 from vacantia.operators import metrics as M
+from vacantia.plans.cases import dealt
 from vacantia.plans.postings import AS_OF, employers, postings, table
 from vacantia.registry import register
 
 part = lambda s, d: table(s, d, "part")
 documents = lambda s, d: table(s, d, "documents")
 
-_PAY = r"\$\s*([0-9][0-9,]*)\s*(?:-|–|—|to)\s*\$\s*([0-9][0-9,]*)"
-register("b06_salary_range", lambda s, d: _salaries(s, d), f"SELECT doc_id, TRY_CAST(replace(regexp_extract(text, '{_PAY}', 1), ',', '') AS BIGINT) AS low, TRY_CAST(replace(regexp_extract(text, '{_PAY}', 2), ',', '') AS BIGINT) AS high FROM documents")
-
-
-def _salaries(s, d):
-    low, high, _ = X.salary_range(F.col("text"))
-    return documents(s, d).select("doc_id", low.alias("low"), high.alias("high"))
-
 
 register("b08_job_id_by_source", lambda s, d: table(s, d, "pages").select("page_id", X.job_id_by_source(F.col("url"), F.when(F.col("page_id") % 3 == 0, "manual").otherwise("lever")).alias("job_id")), "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN md5(url) ELSE nullif(regexp_extract(url, '([0-9]{6,})', 1), '') END AS job_id FROM pages")
-register("b16_merge_names", lambda s, d: M.merge_names(postings(s, d), "city", s.createDataFrame([("UNITED STATES", "US"), ("CANADA", "NORTH")], "alias string, canonical string")).groupBy("city").agg(F.count("*").alias("n")), "SELECT CASE city WHEN 'UNITED STATES' THEN 'US' WHEN 'CANADA' THEN 'NORTH' ELSE city END AS city, count(*) AS n FROM postings GROUP BY 1")
+register(
+    "b16_merge_names",
+    lambda s, d: M.merge_names(postings(s, d), "city", s.createDataFrame([("NATION_3", "NATION_1"), ("NATION_7", "SEVENTH")], "alias string, canonical string")).groupBy("city").agg(F.count("*").alias("n")),
+    "SELECT CASE city WHEN 'NATION_3' THEN 'NATION_1' WHEN 'NATION_7' THEN 'SEVENTH' ELSE city END AS city, count(*) AS n FROM postings GROUP BY 1",
+)
 register("b20_currency", lambda s, d: documents(s, d).groupBy(X.valid_currency(F.when(F.col("lang") == "en", "GBP").when(F.col("lang") == "fr", "eur").otherwise("xxx")).alias("currency")).agg(F.count("*").alias("n")), "SELECT CASE lang WHEN 'en' THEN 'gbp' WHEN 'fr' THEN 'eur' END AS currency, count(*) AS n FROM documents GROUP BY 1")
 register("b22_null_strings", lambda s, d: X.null_strings(postings(s, d).select("id", F.when(F.col("id") % 4 == 0, "NULL").otherwise(F.col("city")).alias("city"))), "SELECT id, CASE WHEN id % 4 <> 0 THEN city END AS city FROM postings")
 register("b25_pay_precedence", lambda s, d: postings(s, d).select("id", X.first_truthy(F.when(F.col("id") % 2 == 0, F.col("salary_midpoint")).otherwise(F.lit(0).cast("decimal(18,2)")), F.lit(1).cast("decimal(18,2)")).alias("pay")), "SELECT id, coalesce(nullif(CASE WHEN id % 2 = 0 THEN salary_midpoint ELSE 0 END, 0), 1)::DECIMAL(18,2) AS pay FROM postings")
 register("b26_board_urls", lambda s, d: postings(s, d).select("id", X.board_url(F.col("source"), F.col("id").cast("string"), F.when(F.col("id") % 3 == 0, "eu").when(F.col("id") % 3 == 1, "embed").otherwise("standard")).alias("url")), "SELECT id, CASE id % 3 WHEN 0 THEN 'https://job-boards.eu.greenhouse.io/' || source || '/jobs/' || id WHEN 1 THEN 'https://boards.greenhouse.io/embed/job_app?for=' || source || '&token=' || id ELSE 'https://job-boards.greenhouse.io/' || source || '/jobs/' || id END AS url FROM postings")
 register("b27_career_pages", lambda s, d: employers(s, d).select("canonical_name", X.fill_template(F.lit("https://jobs.example.com/{slug}"), F.translate("canonical_name", "#", "-")).alias("url")), "SELECT canonical_name, 'https://jobs.example.com/' || replace(canonical_name, '#', '-') AS url FROM employers")
-register("b29_city_from_url", lambda s, d: table(s, d, "pages").groupBy(F.when(X.any_of(F.lower("url"), ["new-york", "nyc"]), "nyc").when(X.any_of(F.lower("url"), ["den"]), "den").otherwise("lon").alias("city")).agg(F.count("*").alias("n")), "SELECT CASE WHEN contains(lower(url), 'new-york') OR contains(lower(url), 'nyc') THEN 'nyc' WHEN contains(lower(url), 'den') THEN 'den' ELSE 'lon' END AS city, count(*) AS n FROM pages GROUP BY 1")
-register("b30_location_codes", lambda s, d: postings(s, d).groupBy(F.when(F.contains(F.lower("city"), F.lit("united kingdom")), "lon").when(F.contains(F.lower("city"), F.lit("states")), "nyc").otherwise(F.substring(F.lower("city"), 1, 3)).alias("code")).agg(F.count("*").alias("n")), "SELECT CASE WHEN contains(lower(city), 'united kingdom') THEN 'lon' WHEN contains(lower(city), 'states') THEN 'nyc' ELSE left(lower(city), 3) END AS code, count(*) AS n FROM postings GROUP BY 1")
-register("b32_first_non_empty", lambda s, d: employers(s, d).select("canonical_name", F.coalesce(F.nullif(F.col("industry"), F.lit("")), F.nullif(F.col("ownership_type"), F.lit("")), F.col("headquarters")).alias("place")), "SELECT canonical_name, coalesce(nullif(industry, ''), nullif(ownership_type, ''), headquarters) AS place FROM employers")
-register("b33_labels", lambda s, d: postings(s, d).groupBy(_labels().alias("label")).agg(F.count("*").alias("n")), "SELECT CASE seniority WHEN 'junior' THEN 'Junior' WHEN 'senior' THEN 'Senior' ELSE seniority END AS label, count(*) AS n FROM postings GROUP BY 1")
-
-
-def _labels():
-    from vacantia.plans.postings import decode
-
-    return decode("seniority", {"junior": "Junior", "senior": "Senior"})
+register(
+    "b32_first_non_empty",
+    lambda s, d: employers(s, d).select("canonical_name", X.first_non_empty(F.when(F.col("founding_year") % 3 == 0, F.lit("")).otherwise(F.col("industry")), F.col("ownership_type"), F.col("headquarters")).alias("place")),
+    "SELECT canonical_name, coalesce(CASE WHEN founding_year % 3 > 0 THEN industry END, ownership_type, headquarters) AS place FROM employers",
+)
+register(
+    "b33_labels",
+    lambda s, d: postings(s, d).groupBy(X.decode_label(F.col("seniority"), {"junior": "Junior", "senior": "Senior"}).alias("label")).agg(F.count("*").alias("n")),
+    "SELECT CASE seniority WHEN 'junior' THEN 'Junior' WHEN 'senior' THEN 'Senior' ELSE seniority END AS label, count(*) AS n FROM postings GROUP BY 1",
+)
 
 
 register("b34_benchmark_labels", lambda s, d: M.seniority_metrics(postings(s, d)).select(F.when(F.col("senior_to_junior") > 4, "senior-heavy").when(F.col("senior_to_junior") > 2, "balanced").otherwise("junior-friendly").alias("ratio_label"), F.when(F.col("entry_pct") >= 30, "open").when(F.col("entry_pct") >= 15, "mixed").otherwise("closed").alias("entry_label")), """WITH t AS (SELECT count(*) FILTER (WHERE seniority IN ('senior', 'staff_principal', 'director_plus')) AS s, count(*) FILTER (WHERE seniority = 'junior') AS j, count(*) FILTER (WHERE seniority NOT IN ('unknown', 'null')) AS k FROM postings), r AS (SELECT round_even(s / j, 1) AS ratio, round_even(j / k * 100, 0) AS entry FROM t)
 SELECT CASE WHEN ratio > 4 THEN 'senior-heavy' WHEN ratio > 2 THEN 'balanced' ELSE 'junior-friendly' END AS ratio_label, CASE WHEN entry >= 30 THEN 'open' WHEN entry >= 15 THEN 'mixed' ELSE 'closed' END AS entry_label FROM r""")
 register("b43_changed", lambda s, d: postings(s, d).groupBy(L.changed(F.col("skills"), F.col("skills_all")).alias("changed")).agg(F.count("*").alias("n")), "SELECT skills IS DISTINCT FROM skills_all AS changed, count(*) AS n FROM postings GROUP BY 1")
-register("b44_slug_titles", lambda s, d: table(s, d, "customer").select("c_custkey", X.slug_title(F.lower(F.translate("c_name", "#", "-"))).alias("title")))
-register("b45_experience", lambda s, d: _experience(s, d), r"WITH e AS (SELECT doc_id, TRY_CAST(regexp_extract(text, '([0-9]{1,2})\s*(?:\+|-|–|to|years?|yrs?)', 1) AS INT) AS low FROM documents) SELECT doc_id, low, CASE WHEN low < 2 THEN '0-1' WHEN low < 5 THEN '2-4' WHEN low < 8 THEN '5-7' WHEN low IS NOT NULL THEN '8+' END AS bucket FROM e")
-
-
-def _experience(s, d):
-    low, _, bucket = X.experience_bounds(F.col("text"))
-    return documents(s, d).select("doc_id", low.alias("low"), bucket.alias("bucket"))
-
 
-register("b46_boilerplate", lambda s, d: _boilerplate(s, d), "SELECT lang, sum(length(text))::BIGINT AS before, sum(length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT (contains(lower(x), 'copyright') OR contains(lower(x), 'license'))), '')))::BIGINT AS after FROM documents GROUP BY 1")
 
-
-def _boilerplate(s, d):
-    lines = F.filter(F.split("text", "\n", -1), lambda x: ~X.any_of(F.lower(x), ["copyright", "license"]))
-    return documents(s, d).groupBy("lang").agg(F.sum(F.length("text")).alias("before"), F.sum(F.length(F.array_join(lines, ""))).alias("after"))
-
-
-register("c05_accessible", lambda s, d: _located(s, d).where(L.accessible_from(F.col("locations"), "FRANCE", "FRANCE", "EUROPE")).groupBy("city").agg(F.count("*").alias("n")), "SELECT city, count(*) AS n FROM postings WHERE city = 'FRANCE' OR working_arrangement = 'remote' AND id % 2 = 0 OR region = 'EUROPE' AND id % 3 = 0 GROUP BY 1")
-register("c06_target_match", lambda s, d: _located(s, d).where(L.matches_targets(F.col("locations"), cities=["CHINA"], countries=["FRANCE"])).select("id"), "SELECT id FROM postings WHERE city IN ('CHINA', 'FRANCE') OR working_arrangement = 'remote' AND id % 2 = 0")
+register(
+    "b46_boilerplate",
+    lambda s, d: _worded(s, d).select("doc_id", F.md5(X.drop_boilerplate(F.col("text"), ["equal opportunity employer", "cookie"])).alias("text_md5")),
+    "SELECT doc_id, md5(CASE WHEN doc_id % 3 = 0 THEN 'Real work.' WHEN doc_id % 3 = 1 THEN 'Real work.' || chr(10) || chr(10) || 'More.' ELSE 'Real work.' END) AS text_md5 FROM documents",
+)
+register(
+    "b47_boilerplate_report",
+    lambda s, d: A.boilerplate_report(
+        _worded(s, d).join(table(s, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit(True).alias("embedded")), "doc_id", "left"),
+        "lang", F.col("text"), X.drop_boilerplate(F.col("text"), ["equal opportunity employer", "cookie"]), F.coalesce("embedded", F.lit(False)),
+    ),
+    f"""WITH r AS (SELECT lang, doc_id % 3 AS k, doc_id IN (SELECT vec_id FROM embeddings) AS e FROM documents),
+t AS (SELECT lang, sum(CASE k WHEN 0 THEN 56 WHEN 1 THEN 32 ELSE 10 END)::BIGINT AS before, sum(CASE k WHEN 1 THEN 17 ELSE 10 END)::BIGINT AS after, count(*) AS n, count(*) FILTER (WHERE e) AS embedded FROM r GROUP BY 1)
+SELECT *, round_even((before - after) / before * 100, 0)::INT AS boilerplate_pct, round_even(embedded / n * 100, 0)::INT AS embedded_pct FROM t""",
+)
+
+
+def _worded(s, d):
+    """Short texts with lines of boilerplate, dealt over the documents."""
+    texts = ["Real work.\nWe are an Equal Opportunity Employer, always.", "Real work.\nAccept a cookie\nMore.", "Real work."]
+    return table(s, d, "documents").select("doc_id", "lang", dealt("doc_id", texts).alias("text"))
+
+
+register(
+    "c05_accessible",
+    lambda s, d: _reachable(s, d).where(L.accessible_from(F.col("locations"), "NATION_6", "NATION_8", "EUROPE")).groupBy("city").agg(F.count("*").alias("n")),
+    """SELECT city, count(*) AS n FROM postings WHERE city = 'NATION_6' OR working_arrangement = 'remote' AND id % 2 = 0 OR region = 'EUROPE' AND id % 3 = 0
+OR city = 'NATION_8' AND (id % 5 = 0 OR id % 7 = 0) GROUP BY 1""",
+)
+register(
+    "c06_target_match",
+    lambda s, d: _reachable(s, d).where(L.matches_targets(F.col("locations"), cities=["NATION_4"], countries=["NATION_6"])).select("id"),
+    "SELECT id FROM postings WHERE city = 'NATION_4' OR working_arrangement = 'remote' AND id % 2 = 0 OR city = 'NATION_6' AND (id % 5 = 0 OR id % 7 = 0)",
+)
+
+
+def _reachable(s, d):
+    """Postings with a city, and for some a remote location of all the world or of a country, a country or a region."""
+    here = L.location("city", F.col("region"), F.col("city"))
+    more = [
+        F.when((F.col("working_arrangement") == "remote") & (F.col("id") % 2 == 0), L.location("remote", scope="global")),
+        F.when(F.col("id") % 3 == 0, L.location("region", region=F.col("region"))),
+        F.when(F.col("id") % 5 == 0, L.location("remote", F.col("city"), scope="country")),
+        F.when(F.col("id") % 7 == 0, L.location("country", F.col("city"))),
+    ]
+    return postings(s, d).withColumn("locations", F.array_compact(F.array(here, *more)))
 register("c14_rows_of_scope", lambda s, d: C.rows_of_scope(_located(s, d), "global", ["src0", "src2"]).select("id"), "SELECT id FROM postings WHERE working_arrangement = 'remote' AND id % 2 = 0 AND source IN ('src0', 'src2')")
 register("b31_primary_label", lambda s, d: _located(s, d).groupBy(L.primary_label(F.col("locations")).alias("label")).agg(F.count("*").alias("n")), "SELECT city AS label, count(*) AS n FROM postings GROUP BY 1")
 
@@ -78,29 +105,11 @@ def _located(s, d):
     return postings(s, d).withColumn("locations", F.array_compact(F.array(here, more, wide)))
 
 
-def _rules():
-    cities = {"paris": ("FRANCE", ["france"]), "london": ("UNITED KINGDOM", ["united kingdom"])}
-    return L.LocationRules(cities=cities, countries={"CN": ["china"], "DE": ["germany"]}, remote=[("global", None, None, ["remote"])], country_names={"india": "IN"})
-
-
-register("d05_locations", lambda s, d: _parsed(s, d), """WITH r AS (SELECT id, CASE WHEN id % 4 = 0 THEN city || ' - Remote' ELSE city END AS raw, city, id % 4 = 0 AS remote FROM postings)
-SELECT raw, CASE WHEN remote AND city = 'INDIA' THEN 'remote:country:IN' WHEN city = 'FRANCE' AND remote THEN 'city::FRANCE,remote:country:FRANCE' WHEN city = 'UNITED KINGDOM' AND remote THEN 'city::UNITED KINGDOM,remote:country:UNITED KINGDOM'
-WHEN city = 'FRANCE' THEN 'city::FRANCE' WHEN city = 'UNITED KINGDOM' THEN 'city::UNITED KINGDOM' WHEN city = 'CHINA' THEN 'country::CN' || CASE WHEN remote THEN ',remote:global:' ELSE '' END WHEN city = 'GERMANY' THEN 'country::DE' || CASE WHEN remote THEN ',remote:global:' ELSE '' END
-WHEN remote THEN 'remote:global:' ELSE 'unknown::' END AS found, count(*) AS n FROM r GROUP BY ALL""")
-
-
-def _parsed(s, d):
-    rows = postings(s, d).withColumn("raw", F.when(F.col("id") % 4 == 0, F.concat("city", F.lit(" - Remote"))).otherwise(F.col("city")))
-    shown = F.array_join(F.transform("locations", lambda l: F.concat_ws(":", l["type"], F.coalesce(l["scope"], F.lit("")), F.coalesce(l["country_code"], F.lit("")))), ",")
-    return L.extract_locations(rows, "raw", _rules()).groupBy("raw", shown.alias("found")).agg(F.count("*").alias("n"))
-
-
 register("c20_due_enrichment", lambda s, d: C.due_for_enrichment(employers(s, d).withColumn("description", F.when(F.col("founding_year") % 5 > 0, "x")).withColumn("enrichment_date", F.make_date(F.lit(2001), F.col("founding_year") % 12 + 1, F.lit(1))), F.lit(AS_OF).cast("date")).select("canonical_name"), f"SELECT canonical_name FROM employers WHERE founding_year % 5 = 0 OR make_date(2001, founding_year % 12 + 1, 1) < DATE '{AS_OF}' - 180")
 register("c24_titles_differ", lambda s, d: C.titles_that_differ(postings(s, d).select("id", "title"), postings(s, d).select("id", F.when(F.col("id") % 6 == 0, F.upper("title")).otherwise(F.col("title")).alias("title")), "id", "title"), "SELECT id, title, upper(title) AS other_title FROM postings WHERE id % 6 = 0 AND title IS DISTINCT FROM upper(title)")
 register("c25_mismatched_rows", lambda s, d: C.mismatched_rows(documents(s, d), table(s, d, "labels").select("doc_id", F.lit("quality").alias("field"), (F.col("quality") == F.col("toxic")).alias("matched")), "doc_id", "quality").select("doc_id"), "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality <> toxic)")
-register("j09_url_rewrite", lambda s, d: table(s, d, "pages").select("page_id", F.when(~F.contains("url", F.lit("https://")), F.replace("url", F.lit("http://"), F.lit("https://"))).otherwise(F.col("url")).alias("url")), "SELECT page_id, CASE WHEN NOT contains(url, 'https://') THEN replace(url, 'http://', 'https://') ELSE url END AS url FROM pages")
+register("j09_url_rewrite", lambda s, d: table(s, d, "pages").select("page_id", X.https(F.col("url")).alias("url")), "SELECT page_id, CASE WHEN starts_with(url, 'http://') THEN 'https://' || url[8:] ELSE url END AS url FROM pages")
 register("j11_backfill_locations", lambda s, d: J.changed_only(_located(s, d), "locations", F.slice("locations", 1, 1)).groupBy("was_changed").agg(F.count("*").alias("n")), "SELECT coalesce(working_arrangement = 'remote', false) AND id % 2 = 0 OR id % 3 = 0 AS was_changed, count(*) AS n FROM postings GROUP BY 1")
-register("j15_backfill_names", lambda s, d: J.changed_only(employers(s, d), "display_name", F.initcap("display_name"), F.lower("display_name") == F.col("canonical_name")).groupBy("was_changed").agg(F.count("*").alias("n")))
 register("j16_missing_ids", lambda s, d: J.fill_from(postings(s, d).select("id", F.when(F.col("id") % 2 == 0, F.col("title")).alias("title")), postings(s, d), "id", "title"), "SELECT id, title FROM postings")
 register("a10_batched_lookup", lambda s, d: E.without_match(postings(s, d), postings(s, d).where("id % 7 <> 0"), "id").select("id"), "SELECT id FROM postings WHERE id % 7 = 0")
 register("a09_full_scan", lambda s, d: table(s, d, "orders").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")), "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders")
@@ -116,12 +125,12 @@ def _combined(s, d):
 
 register("d02_combine_flags", _combined, """WITH r AS (SELECT CASE id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS p, CASE WHEN id % 5 > 0 THEN is_agency END AS f FROM postings)
 SELECT CASE p WHEN 'high' THEN true WHEN 'medium' THEN coalesce(f, true) ELSE coalesce(f, false) END AS agency, CASE WHEN p = 'high' THEN 'high' WHEN p = 'medium' AND f THEN 'high' WHEN p = 'medium' AND NOT f THEN 'low' WHEN p = 'medium' THEN 'medium' WHEN f IS NOT NULL THEN 'medium' ELSE 'low' END AS sure, count(*) AS n FROM r GROUP BY ALL""")
-register("d13_legacy_codes", lambda s, d: _legacy(s, d), "SELECT id, CASE WHEN id % 2 = 0 THEN city WHEN city = 'CHINA' THEN 'beijing' ELSE 'unknown' END AS place FROM postings")
+register("d13_legacy_codes", lambda s, d: _legacy(s, d), "SELECT id, CASE WHEN id % 2 = 0 THEN city WHEN city = 'NATION_4' THEN 'beijing' ELSE 'unknown' END AS place FROM postings")
 
 
 def _legacy(s, d):
     parsed = F.when(F.col("id") % 2 == 0, F.array(L.location("city", F.col("region"), F.col("city")))).otherwise(F.array(L.location("unknown")))
-    found = L.from_legacy(F.col("city"), {"CHINA": L.location("city", "CN", "beijing")}, parsed)
+    found = L.from_legacy(F.col("city"), {"NATION_4": L.location("city", "CN", "beijing")}, parsed)
     return postings(s, d).select("id", L.primary_label(found).alias("place"))
 
 

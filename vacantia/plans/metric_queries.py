@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vacantia.operators import audits as A
+from vacantia.operators import locations as L
 from vacantia.operators import metrics as M
+from vacantia.operators import reports as R
 from vacantia.plans.postings import AS_OF, employers, postings, table
 from vacantia.registry import register
 
@@ -103,19 +106,52 @@ register(
 )
 
 
-def report_bundle(s, d):
-    """All distributions of the direct postings in one long frame; the base is read once."""
-    base = postings(s, d).where("NOT is_agency AND job_family = 'data'")
-    fields = ("seniority", "job_subfamily", "working_arrangement", "city")
-    rows = F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in fields)))
-    return M.distribution(base.select(rows.alias("r")).select("r.metric", "r.value"), "value", ["metric"])
+_SEGMENT = ("region = 'EUROPE'", "job_family = 'data'", "posted_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'")
+_ATS = ["src0", "src1", "src2", "src3"]
+_TRACK = "CASE seniority WHEN 'director_plus' THEN 'management' WHEN 'unknown' THEN NULL ELSE 'ic' END"
 
 
-register(
-    "f11_report_bundle",
-    report_bundle,
-    _distribution_sql("value", "metric", "(SELECT unnest(['seniority', 'job_subfamily', 'working_arrangement', 'city']) AS metric, unnest([seniority, job_subfamily, working_arrangement, city]) AS value FROM postings WHERE NOT is_agency AND job_family = 'data')"),
-)
+def report_bundle(s, d):
+    """The whole report of one market segment."""
+    jobs = postings(s, d).where(" AND ".join(_SEGMENT)).withColumn("track", F.expr(_TRACK))
+    return R.report_bundle(jobs, employers(s, d).where("founding_year % 4 > 0"), _ATS)
+
+
+def _bundle_sql() -> str:
+    """The report from its parts, each by itself."""
+    share = lambda c, source, known=None: f"""
+SELECT '{c}' AS section, {c} AS code, count(*) AS n, round_even(count(*) / sum(count(*)) OVER () * 100, 0)::DOUBLE AS value FROM {source} WHERE {c} NOT IN ('unknown', 'null') GROUP BY {c}
+UNION ALL SELECT 'coverage', '{c}', count(*) FILTER (WHERE {c} NOT IN ('unknown', 'null')), round_even(count(*) FILTER (WHERE {c} NOT IN ('unknown', 'null')) / count(*) * 100, 0)::DOUBLE FROM {source}"""
+    parts = [share(c, "direct") for c in ("seniority", "job_subfamily", "track")] + [share("working_arrangement", "ats")]
+    parts += [share(c, "known") for c in ("industry", "employer_size", "ownership_type")]
+    top = lambda name, code, source, k, whole: f"""
+SELECT 'top {name}', code, n, round_even(n / (SELECT count(*) FROM {whole}) * 100, 0)::DOUBLE FROM (SELECT {code} AS code, count(*) AS n FROM {source} GROUP BY 1 ORDER BY n DESC, code LIMIT {k})"""
+    parts += [top("employer", "employer_name", "direct", 15, "direct"), top("skill", "skill", "(SELECT unnest(skills_all) AS skill FROM skilled)", 15, "skilled")]
+    parts += [top("pair", "x || ' + ' || y", "(SELECT a.s AS x, b.s AS y FROM named a JOIN named b ON a.id = b.id AND a.s < b.s)", 10, "skilled")]
+    scalar = lambda section, code, n, value="NULL": f"SELECT '{section}', '{code}', ({n})::BIGINT, ({value})::DOUBLE"
+    held = lambda k: f"SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n, employer_name FROM direct GROUP BY employer_name ORDER BY n DESC, employer_name LIMIT {k})"
+    n = lambda source, where="TRUE": f"(SELECT count(*) FROM {source} WHERE {where})"
+    rate = lambda a, b: f"SELECT round_even(({a}) / ({b}) * 100, 0)"
+    senior, junior, entry = (n("direct", f"seniority IN {x}") for x in ("('senior', 'staff_principal', 'director_plus')", "('junior')", "('junior', 'mid')"))
+    parts += [
+        scalar("summary", "total_jobs", n("segment")), scalar("summary", "direct_jobs", n("direct")), scalar("summary", "agency_jobs", n("segment", "is_agency"), rate(n("segment", "is_agency"), n("segment"))),
+        scalar("summary", "unique_employers", "SELECT count(DISTINCT employer_name) FROM direct", "SELECT round_even(count(*) / count(DISTINCT employer_name), 2) FROM direct"),
+        scalar("summary", "top_5_concentration", held(5), rate(held(5), n("direct"))), scalar("summary", "top_15_concentration", held(15), rate(held(15), n("direct"))),
+        scalar("summary", "senior_to_junior", f"SELECT {senior}", f"SELECT CASE WHEN {junior} > 0 THEN round_even({senior} / {junior}, 1) END"),
+        scalar("summary", "entry_accessibility", f"SELECT {entry}", rate(entry, n("direct", "seniority <> 'unknown'"))),
+        scalar("coverage", "skills", n("skilled"), rate(n("skilled"), n("direct"))), scalar("coverage", "employers", n("known"), rate(n("known"), n("direct"))),
+    ]
+    for section, own, least in (("'pay'", "'all'", 20), ("'pay seniority ' || own", "seniority", 10), ("'pay job_subfamily ' || own", "job_subfamily", 10)):
+        ranked = f"(SELECT {own} AS own, salary_midpoint AS p, row_number() OVER (PARTITION BY {own} ORDER BY salary_midpoint) AS rn, count(*) OVER (PARTITION BY {own}) AS n FROM direct WHERE salary_midpoint IS NOT NULL)"
+        for code, q in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
+            parts.append(f"SELECT {section}, '{code}', n, p::DOUBLE FROM {ranked} WHERE n >= {least} AND rn = floor(n * {q})::BIGINT + 1")
+    return f"""WITH segment AS (SELECT *, {_TRACK} AS track FROM postings WHERE {" AND ".join(_SEGMENT)}), direct AS (SELECT * FROM segment WHERE NOT is_agency),
+ats AS (SELECT * FROM direct WHERE source IN ('src0', 'src1', 'src2', 'src3')), skilled AS (SELECT * FROM direct WHERE len(skills_all) > 0), named AS (SELECT id, unnest(skills) AS s FROM skilled),
+known AS (SELECT direct.*, industry, employer_size, ownership_type FROM direct JOIN employers ON canonical_name = employer_name WHERE founding_year % 4 > 0)
+""" + " UNION ALL ".join(parts)
+
+
+register("f11_report_bundle", report_bundle, _bundle_sql())
 
 
 def _fill_sql(by: str, least: int = 3) -> str:
@@ -162,11 +198,7 @@ register(
     lambda s, d: M.conditional_counts(postings(s, d), ["job_family", "source"], {"recent": F.col("posted_date") >= F.lit("2001-01-01").cast("date"), "classified": M.is_known("seniority")}),
     "SELECT job_family, source, count(*) AS n, count(*) FILTER (WHERE posted_date >= DATE '2001-01-01') AS recent, count(*) FILTER (WHERE seniority NOT IN ('unknown', 'null')) AS classified FROM postings GROUP BY ALL",
 )
-register(
-    "f18_status",
-    lambda s, d: postings(s, d).groupBy("source").agg(F.count("*").alias("rows"), F.count("url_checked_at").alias("checked"), F.max("posted_date").alias("latest")),
-    "SELECT source, count(*) AS rows, count(url_checked_at) AS checked, max(posted_date) AS latest FROM postings GROUP BY 1",
-)
+register("f18_status", lambda s, d: A.source_status(postings(s, d), "source", "url_checked_at", "posted_date"), "SELECT source, count(*) AS rows, count(url_checked_at) AS checked, max(posted_date) AS latest FROM postings GROUP BY 1")
 register(
     "f20_age_buckets",
     lambda s, d: M.age_buckets(table(s, d, "events").groupBy("user_id").agg(F.max("ts").alias("last"), F.max_by("event_type", F.struct("ts", "event_id")).alias("source")), "source", "last", F.lit("2024-01-31").cast("date")),
@@ -183,46 +215,98 @@ register("f29_mismatches", lambda s, d: M.mismatches(labelled(s, d), "quality",
 register("f30_thresholds", lambda s, d: M.accuracy(labelled(s, d), {"quality": ("quality", "toxic")}).select("field", F.when(F.col("field") == "quality", 50).otherwise(90).alias("threshold"), (F.col("right") * 100 >= F.when(F.col("field") == "quality", 50).otherwise(90) * F.col("n")).alias("passed")), f"""
 WITH r AS (SELECT count(*) FILTER (WHERE quality IS NOT DISTINCT FROM toxic) AS a, count(*) AS n FROM {_LABELLED})
 SELECT 'quality' AS field, 50 AS threshold, a * 100 >= 50 * n AS passed FROM r UNION ALL SELECT 'all_fields', 90, a * 100 >= 90 * n FROM r""")
-register("f31_set_agreement", lambda s, d: M.set_agreement(_two_sets(s, d), "skills", "other"), """
-WITH a AS (SELECT o_custkey AS k, posted_date, skills, id FROM postings JOIN orders ON o_orderkey = id),
-f AS (SELECT k, arg_min(skills, (posted_date, id)) AS skills, arg_max(skills, (posted_date, id)) AS other FROM a GROUP BY 1),
-j AS (SELECT CASE WHEN len(list_distinct(list_concat(skills, other))) = 0 THEN 1.0 ELSE len(list_intersect(skills, other)) / len(list_distinct(list_concat(skills, other))) END AS j FROM f)
-SELECT sum(round_even(j, 6)::DECIMAL(18,6)) AS jaccard_sum, count(*) AS n FROM j""")
-
-
-def _two_sets(s, d):
-    orders = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
-    rows = postings(s, d).join(orders, "id")
-    return rows.groupBy("o_custkey").agg(F.min_by("skills", F.struct("posted_date", "id")).alias("skills"), F.max_by("skills", F.struct("posted_date", "id")).alias("other"))
+_SAME = {"seniority": ("seniority", "other_seniority"), "job_subfamily": ("job_subfamily", "other_subfamily")}
+register(
+    "f31_set_agreement",
+    lambda s, d: A.run_agreement(_two_runs(s, d), _SAME, ("skills", "other"), ("tokens", "other_tokens"), {"job_subfamily": 90, "seniority": 15}),
+    """WITH a AS (SELECT o_custkey AS k, (posted_date, id) AS place, skills, seniority, job_subfamily, id % 90 + 20 AS tokens FROM postings JOIN orders ON o_orderkey = id),
+f AS (SELECT k, arg_min(skills, place) AS x, arg_max(skills, place) AS y, arg_min(seniority, place) = arg_max(seniority, place) AS same, arg_min(job_subfamily, place) = arg_max(job_subfamily, place) AS own, arg_min(tokens, place) AS t, arg_max(tokens, place) AS u FROM a GROUP BY 1),
+j AS (SELECT *, CASE WHEN len(list_distinct(list_concat(x, y))) = 0 THEN 1.0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) END AS j FROM f),
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE same) AS seniority, count(*) FILTER (WHERE own) AS job_subfamily, sum(round_even(j, 3)::DECIMAL(18,3)) AS jaccard_sum, sum(t)::BIGINT AS tokens_a, sum(u)::BIGINT AS tokens_b FROM j)
+SELECT *, tokens_a - tokens_b AS saved, tokens_a > tokens_b AND job_subfamily * 100 >= n * 90 AND seniority * 100 >= n * 15 AS safe FROM t""",
+)
 
 
 register("f32_p95", lambda s, d: M.nearest_rank(postings(s, d), "salary_midpoint", ["source"], points=(("p95", 0.95),)), """
 WITH r AS (SELECT source, salary_midpoint, row_number() OVER (PARTITION BY source ORDER BY salary_midpoint) AS rn, count(*) OVER (PARTITION BY source) AS n FROM postings WHERE salary_midpoint IS NOT NULL)
 SELECT source, n, max(salary_midpoint) FILTER (WHERE rn = floor(n * 0.95)::BIGINT + 1) AS p95 FROM r GROUP BY source, n""")
-register("f33_usage", lambda s, d: table(s, d, "documents").groupBy("source").agg(F.sum("n_chars").alias("total"), F.min("n_chars").alias("low"), F.max("n_chars").alias("high"), F.count("*").alias("n")), "SELECT source, sum(n_chars)::BIGINT AS total, min(n_chars) AS low, max(n_chars) AS high, count(*) AS n FROM documents GROUP BY 1")
+register("f33_usage", lambda s, d: A.usage(table(s, d, "documents"), "source", "n_chars"), "SELECT source, sum(n_chars)::BIGINT AS total, min(n_chars) AS low, max(n_chars) AS high, count(*) AS n FROM documents GROUP BY 1")
+def _two_runs(s, d):
+    """The first and the last posting of each employer, as if two runs had seen one posting."""
+    at = F.struct("posted_date", "id")
+    rows = postings(s, d).join(table(s, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey"), "id").withColumn("tokens", F.col("id") % 90 + 20)
+    first = (F.min_by(c, at).alias(c) for c in ("skills", "seniority", "job_subfamily", "tokens"))
+    last = (F.max_by(c, at).alias(n) for c, n in (("skills", "other"), ("seniority", "other_seniority"), ("job_subfamily", "other_subfamily"), ("tokens", "other_tokens")))
+    return rows.groupBy("o_custkey").agg(*first, *last)
+
+
+def _leaning(s, d):
+    """Postings of some cities are remote more often."""
+    more = F.col("city").isin("NATION_3", "NATION_8") & (F.col("id") % 2 == 0)
+    return postings(s, d).withColumn("working_arrangement", F.when(more, "remote").otherwise(F.col("working_arrangement")))
+
+
+_LEANING = "(SELECT * REPLACE (CASE WHEN city IN ('NATION_3', 'NATION_8') AND id % 2 = 0 THEN 'remote' ELSE working_arrangement END AS working_arrangement) FROM postings)"
+
+
+def _places(s, d):
+    here, more = L.location("city", None, F.col("city")), F.when(F.col("id") % 3 == 0, L.location("city", None, F.col("region")))
+    return postings(s, d).withColumn("locations", F.array_compact(F.array(here, here, more, L.location("remote", scope="global"))))
+
+
 _DOC_KEY = "md5(lower(trim(text)))"
-register("f34_merge_stats", lambda s, d: table(s, d, "documents").groupBy("source").agg(F.count("*").alias("rows"), F.countDistinct(F.md5(F.lower(F.trim("text")))).alias("distinct_rows")), f"SELECT source, count(*) AS rows, count(DISTINCT {_DOC_KEY}) AS distinct_rows FROM documents GROUP BY 1")
-register("f35_funnel", lambda s, d: postings(s, d).rollup("source", "city").agg(F.grouping_id().alias("level"), F.count("*").alias("n"), F.sum((~F.col("is_agency")).cast("long")).alias("kept")).select(F.coalesce("source", F.lit("All")).alias("source"), F.coalesce("city", F.lit("All")).alias("city"), "n", "kept"), "SELECT coalesce(source, 'All') AS source, coalesce(city, 'All') AS city, count(*) AS n, count(*) FILTER (WHERE NOT is_agency) AS kept FROM postings GROUP BY ROLLUP (source, city)")
+register("f34_merge_stats", lambda s, d: A.merge_stats(table(s, d, "documents"), "source", F.md5(F.lower(F.trim("text")))), f"SELECT source, count(*) AS rows, count(DISTINCT {_DOC_KEY}) AS distinct_rows FROM documents GROUP BY 1")
+register(
+    "f35_funnel",
+    lambda s, d: A.ingest_funnel(postings(s, d), "source", "city", F.col("is_agency")),
+    "SELECT coalesce(source, 'All') AS source, coalesce(city, 'All') AS city, count(*) AS n, count(*) FILTER (WHERE NOT is_agency) AS kept FROM postings GROUP BY ROLLUP (source, city)",
+)
 register("f36_label_stats", lambda s, d: M.grouping_sets_counts(postings(s, d), ["job_family", "source", "seniority"]), "SELECT dimension, value, count(*) AS n FROM (SELECT unnest(['total', 'job_family', 'source', 'seniority']) AS dimension, unnest(['all', job_family, source, seniority]) AS value FROM postings) GROUP BY ALL")
-register("f37_coverage", lambda s, d: labelled(s, d).groupBy("source").agg(F.count("quality").alias("labelled"), F.count("*").alias("n")), f"SELECT source, count(quality) AS labelled, count(*) AS n FROM {_LABELLED} GROUP BY 1")
+register("f37_coverage", lambda s, d: A.coverage(labelled(s, d), "source", "quality"), f"SELECT source, count(quality) AS filled, count(*) AS n FROM {_LABELLED} GROUP BY 1")
 register("f38_flag_audit", lambda s, d: M.conditional_counts(labelled(s, d), ["source"], {"missing": F.col("toxic").isNull(), "flagged": F.col("toxic") == 1, "clear": F.col("toxic") == 0}), f"SELECT source, count(*) AS n, count(*) FILTER (WHERE toxic IS NULL) AS missing, count(*) FILTER (WHERE toxic = 1) AS flagged, count(*) FILTER (WHERE toxic = 0) AS clear FROM {_LABELLED} GROUP BY 1")
-register("f39_corrections", lambda s, d: postings(s, d).where("seniority = 'staff_principal' AND title LIKE '%a%'").groupBy("job_family", "seniority").agg(F.count("*").alias("n")), "SELECT job_family, seniority, count(*) AS n FROM postings WHERE seniority = 'staff_principal' AND title LIKE '%a%' GROUP BY ALL")
-register("f40_row_coverage", lambda s, d: labelled(s, d).agg(F.count("*").alias("rows"), F.count("quality").alias("filled"), (F.count("*") - F.count("quality")).alias("empty")), f"SELECT count(*) AS rows, count(quality) AS filled, count(*) - count(quality) AS empty FROM {_LABELLED}")
+register(
+    "f39_corrections",
+    lambda s, d: A.correction_breakdown(postings(s, d), (F.col("seniority") == "staff_principal") & F.col("title").contains("a"), ["job_family", "seniority"]),
+    "SELECT job_family, seniority, count(*) AS n FROM postings WHERE seniority = 'staff_principal' AND title LIKE '%a%' GROUP BY ALL",
+)
+register("f40_row_coverage", lambda s, d: A.row_coverage(labelled(s, d), "quality"), f"SELECT count(*) AS rows, count(quality) AS filled, count(*) - count(quality) AS empty FROM {_LABELLED}")
 register("f41_running_totals", lambda s, d: M.running_totals(postings(s, d), "posted_date", "job_family"), "WITH c AS (SELECT job_family, posted_date AS day, count(*) AS n FROM postings GROUP BY ALL) SELECT *, sum(n) OVER (PARTITION BY job_family ORDER BY day)::BIGINT AS cumulative FROM c")
-register("f42_hourly", lambda s, d: table(s, d, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total")), "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, sum(value::DECIMAL(18,4)) AS total FROM events GROUP BY ALL")
+register("f42_hourly", lambda s, d: A.rolled_up(table(s, d, "events"), "hour", "ts", "event_type", "value"), "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, sum(value::DECIMAL(18,4)) AS total FROM events GROUP BY ALL")
 register("f43_remote_by_size", lambda s, d: M.conditional_counts(enriched(s, d), ["employer_size"], {"remote": F.col("working_arrangement") == "remote", "flexible": F.col("working_arrangement").isin("remote", "hybrid")}).withColumn("flexible_pct", M.percent(F.col("flexible"), F.col("n"))), f"SELECT *, {pct('flexible', 'n')} AS flexible_pct FROM (SELECT employer_size, count(*) AS n, count(*) FILTER (WHERE working_arrangement = 'remote') AS remote, count(*) FILTER (WHERE working_arrangement IN ('remote', 'hybrid')) AS flexible FROM {_ENRICHED} GROUP BY 1)")
-register("f44_compare_segments", lambda s, d: M.compare_segments(postings(s, d), "city", "working_arrangement"), f"WITH s AS (SELECT * FROM ({_distribution_sql('working_arrangement', 'city')}) WHERE total >= 10) SELECT a.code, a.city, b.city AS other, a.pct, b.pct AS other_pct FROM s a JOIN s b ON a.code = b.code AND a.city < b.city WHERE abs(a.pct - b.pct) > 20 OR greatest(a.pct, b.pct) > 2 * least(a.pct, b.pct)")
-register("f45_report_gate", lambda s, d: postings(s, d).groupBy("city", "job_family").agg(F.count("*").alias("n")).withColumn("enough", F.col("n") >= 30), "SELECT city, job_family, count(*) AS n, count(*) >= 30 AS enough FROM postings GROUP BY ALL")
+register(
+    "f44_compare_segments",
+    lambda s, d: M.compare_segments(_leaning(s, d), "city", "working_arrangement"),
+    f"""WITH s AS (SELECT * FROM ({_distribution_sql("working_arrangement", "city", _LEANING)}) WHERE total >= 10)
+SELECT a.code, a.city, b.city AS other, a.pct, b.pct AS other_pct FROM s a JOIN s b ON a.code = b.code AND a.city < b.city WHERE abs(a.pct - b.pct) > 20 OR greatest(a.pct, b.pct) > 2 * least(a.pct, b.pct)""",
+)
+register("f45_report_gate", lambda s, d: A.report_gate(postings(s, d), ["city", "job_family"]), "SELECT city, job_family, count(*) AS n, count(*) >= 30 AS enough FROM postings GROUP BY ALL")
 register("f46_headquarters", lambda s, d: enriched(s, d).groupBy("city", "employer_size").agg(F.count("*").alias("n"), F.sum((F.col("headquarters") != F.col("city")).cast("long")).alias("elsewhere"), F.percentile(2025 - F.col("founding_year"), 0.5).alias("median_age")), f"SELECT city, employer_size, count(*) AS n, count(*) FILTER (WHERE headquarters <> city) AS elsewhere, median(2025 - founding_year)::DOUBLE AS median_age FROM {_ENRICHED} GROUP BY ALL")
 register("f46_headquarters_ranking", lambda s, d: M.top_k(enriched(s, d), "headquarters", 10), f"WITH c AS (SELECT headquarters, count(*) AS n FROM {_ENRICHED} GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS total, row_number() OVER (ORDER BY n DESC, headquarters)::INT AS rank FROM c) SELECT headquarters, n, {pct('n', 'total')} AS pct, rank FROM r WHERE rank <= 10")
 register("f47_fill_rates", lambda s, d: M.fill_rates(employers(s, d), ["industry", "ownership_type", "headquarters"]), "SELECT unnest(['industry', 'ownership_type', 'headquarters']) AS field, unnest([count(industry), count(ownership_type), count(headquarters)]) AS filled, unnest([count(*), count(*), count(*)]) AS n FROM employers")
-register("f48_jobs_per_place", lambda s, d: postings(s, d).select(F.explode(F.array_distinct("skills")).alias("place")).groupBy("place").agg(F.count("*").alias("n")), "SELECT place, count(*) AS n FROM (SELECT unnest(skills) AS place FROM postings) GROUP BY 1")
-register("f49_duplicate_rate", lambda s, d: table(s, d, "documents").groupBy("source").agg(F.round((F.lit(100) * (F.count("*") - F.countDistinct(F.md5(F.lower(F.trim("text"))))) / F.count("*")).cast("decimal(18,8)"), 2).alias("duplicate_pct")), f"SELECT source, round((100 * (count(*) - count(DISTINCT {_DOC_KEY})) / count(*))::DECIMAL(18,8), 2) AS duplicate_pct FROM documents GROUP BY 1")
-register("f50_progress", lambda s, d: table(s, d, "events").where("ts >= TIMESTAMP '2024-01-15'").agg(F.countDistinct("user_id").alias("users"), F.count("*").alias("n"), F.max("ts").alias("last")), "SELECT count(DISTINCT user_id) AS users, count(*) AS n, max(ts) AS last FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
-register("f51_suspicious_employers", lambda s, d: postings(s, d).where("posted_date > DATE '2001-06-01'").groupBy("employer_name").agg(F.count("*").alias("n"), F.max(F.col("employer_name").like("%00%")).alias("keyword")).where("n >= 2").orderBy(F.desc("n"), "employer_name").limit(50), "SELECT employer_name, count(*) AS n, max(employer_name LIKE '%00%') AS keyword FROM postings WHERE posted_date > DATE '2001-06-01' GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, employer_name LIMIT 50")
+register(
+    "f48_jobs_per_place",
+    lambda s, d: A.jobs_per_place(_places(s, d)),
+    "SELECT place, count(*) AS n FROM (SELECT id, city AS place FROM postings UNION SELECT id, region FROM postings WHERE id % 3 = 0) GROUP BY 1",
+)
+register(
+    "f49_duplicate_rate",
+    lambda s, d: A.duplicate_rate(table(s, d, "documents"), "source", F.md5(F.lower(F.trim("text")))),
+    f"SELECT source, round((100 * (count(*) - count(DISTINCT {_DOC_KEY})) / count(*))::DECIMAL(18,8), 2) AS duplicate_pct FROM documents GROUP BY 1",
+)
+register("f50_progress", lambda s, d: A.progress(table(s, d, "events").where("ts >= TIMESTAMP '2024-01-15'"), "user_id", "ts"), "SELECT count(DISTINCT user_id) AS companies, count(*) AS n, max(ts) AS last FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
+register(
+    "f51_suspicious_employers",
+    lambda s, d: A.suspicious_employers(postings(s, d).where("posted_date > DATE '2001-06-01'"), "employer_name", ["11", "7"], 2, 50),
+    """SELECT employer_name, count(*) AS n, contains(employer_name, '11') OR contains(employer_name, '7') AS keyword FROM postings WHERE posted_date > DATE '2001-06-01'
+GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, employer_name LIMIT 50""",
+)
 register("f52_source_coverage", lambda s, d: M.conditional_counts(postings(s, d), ["source"], {"alive": F.col("url_status") == "active", "with_skills": F.size("skills") > 0, "with_pay": F.col("salary_midpoint").isNotNull()}).withColumn("passed", F.col("with_skills") * 100 >= F.col("n") * 95), "SELECT source, count(*) AS n, count(*) FILTER (WHERE url_status = 'active') AS alive, count(*) FILTER (WHERE len(skills) > 0) AS with_skills, count(salary_midpoint) AS with_pay, count(*) FILTER (WHERE len(skills) > 0) * 100 >= count(*) * 95 AS passed FROM postings GROUP BY 1")
 register("f53_share_within", lambda s, d: M.share_within(postings(s, d), "city", "job_family"), f"WITH c AS (SELECT city, job_family, count(*) AS n FROM postings GROUP BY ALL) SELECT *, {pct('n', 'sum(n) OVER (PARTITION BY city)')} AS pct FROM c")
-register("f54_drop_reasons", lambda s, d: postings(s, d).groupBy("source", F.when(F.col("is_agency"), "agency").when(F.col("job_family") == "out_of_scope", "out_of_scope").when(F.col("url_status") == "404", "gone").otherwise("kept").alias("reason")).agg(F.count("*").alias("n")), "SELECT source, CASE WHEN is_agency THEN 'agency' WHEN job_family = 'out_of_scope' THEN 'out_of_scope' WHEN url_status = '404' THEN 'gone' ELSE 'kept' END AS reason, count(*) AS n FROM postings GROUP BY ALL")
+register(
+    "f54_drop_reasons",
+    lambda s, d: A.drop_reasons(postings(s, d), "source", {"agency": F.col("is_agency"), "out_of_scope": F.col("job_family") == "out_of_scope", "gone": F.col("url_status") == "404"}),
+    """SELECT source, CASE WHEN is_agency THEN 'agency' WHEN job_family = 'out_of_scope' THEN 'out_of_scope' WHEN url_status = '404' THEN 'gone' ELSE 'kept' END AS reason, count(*) AS n FROM postings GROUP BY ALL""",
+)
 
 
 def months(s, d, low, high):

@@ -6,6 +6,9 @@ common table expressions, for oracles. Amounts are decimals, so sums don't depen
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,14 @@ STATUS = {"F": "404", "P": "soft_404", "O": "active"}
 ARRANGEMENT = {"A": "remote", "N": "hybrid", "R": "onsite"}
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share, under spark.checkpoint.dir."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or 'file://' + tempfile.gettempdir() + '/spark-shared').rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,16 +40,16 @@ def decode(column: str, values: dict[str, str], default: str | None = None):
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name"), "l_partkey")
-    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "p_brand", "l_returnflag", "p_name")))
-    per_order = lines.groupBy(F.col("l_orderkey").alias("id")).agg(ordered.alias("lines"), F.max("l_shipdate").cast("date").alias("url_checked_at"))
-    per_order = per_order.select(
-        "id",
-        "url_checked_at",
-        F.transform("lines", lambda x: x["p_brand"]).alias("skills_all"),
-        F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["p_brand"]))).alias("skills"),
-        F.col("lines")[0]["l_returnflag"].alias("flag"),
-        F.col("lines")[0]["p_name"].alias("title"),
+    # an outer join, which Spark drops where no part column is asked for; each column is an aggregate of its own, so that
+    # only those that are asked for are made
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name"), "l_partkey", "left")
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    per_order = lines.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.max("l_shipdate").cast("date").alias("url_checked_at"),
+        F.transform(F.array_sort(F.collect_list(F.struct(place.alias("place"), "p_brand"))), lambda x: x["p_brand"]).alias("skills_all"),
+        F.array_sort(F.collect_set("p_brand")).alias("skills"),
+        F.min_by("l_returnflag", place).alias("flag"),
+        F.min_by("p_name", place).alias("title"),
     )
     places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     people = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))

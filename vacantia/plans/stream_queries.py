@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
-from vacantia.plans.postings import table
+from vacantia.operators.merge import latest, merge
+from vacantia.plans.postings import shared_folder, table
 from vacantia.registry import register
 from vacantia.streaming import snapshots as S
 
 
-def _folder(spark) -> str:
-    """A new folder that all executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{base or 'file://' + tempfile.gettempdir() + '/spark-shared'}/{uuid.uuid4().hex}"
-
-
 def _landed(s, d, out: str):
     """The events as a landed stream of files."""
     rows = table(s, d, "events")
@@ -29,38 +19,38 @@ def _landed(s, d, out: str):
 
 
 def first_events(s, d):
-    out = _folder(s)
+    out = shared_folder(s)
     stream = S.unique_snapshots(_landed(s, d, out), ["user_id", "event_type"], late="3650 days").select("user_id", "event_type")
     S.run_available(stream, f"{out}/rows", f"{out}/state")
     return s.read.schema("user_id long, event_type string").parquet(f"{out}/rows")
 
 
-def upserted(s, d):
-    from vacantia.operators.merge import latest, merge
-
-    out = _folder(s)
+def _last_events(s, d, out: str):
+    """The last event of each user, merged batch by batch; the table that is left."""
     empty = s.createDataFrame([], "user_id long, last_event long, last_seen timestamp, newest long")
     # newest orders the rows of a user inside a batch: the smallest comes first
     stream = _landed(s, d, out).select("user_id", F.col("event_id").alias("last_event"), F.col("ts").alias("last_seen"), (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("newest"))
     policy = {"last_event": lambda old, new: F.greatest(old, new), "last_seen": latest}
     S.upsert_stream(stream, f"{out}/table", f"{out}/state", ["user_id"], ["newest", "last_event"], lambda a, b: merge(a, b, ["user_id"], policy), empty).awaitTermination()
-    tables = s.read.parquet(f"{out}/table")
-    return tables.where(F.col("v") == tables.agg(F.max("v")).first()[0]).select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))
+    return S.current(s, f"{out}/table", empty.schema)
+
+
+def upserted(s, d):
+    return _last_events(s, d, shared_folder(s)).select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))
 
 
 def seen(s, d):
-    out = _folder(s)
-    query = S.last_seen(_landed(s, d, out), "user_id").writeStream.outputMode("complete").option("checkpointLocation", f"{out}/state").trigger(availableNow=True)
-    query.foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/seen")).start().awaitTermination()
-    return S.stale(s.read.schema("user_id long, last_seen timestamp").parquet(f"{out}/seen"), F.lit("2024-01-31").cast("date"), 3).select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "is_stale")
+    rows = S.stale(_last_events(s, d, shared_folder(s)), F.lit("2024-01-31").cast("date"), 3)
+    return rows.select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "is_stale")
 
 
 def windows(s, d):
-    out = _folder(s)
-    counts = S.activity(_landed(s, d, out), "event_type", 24, late="3650 days").writeStream.outputMode("complete").option("checkpointLocation", f"{out}/state").trigger(availableNow=True)
-    counts.foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/rows")).start().awaitTermination()
-    rows = s.read.schema("start timestamp, event_type string, n long").parquet(f"{out}/rows")
-    return rows.withColumn("start", F.col("start").cast("timestamp_ntz"))
+    out = shared_folder(s)
+    empty = s.createDataFrame([], "start timestamp, event_type string, n long")
+    # update mode sends the windows that changed; state older than the watermark is dropped
+    counts = S.activity(_landed(s, d, out), "event_type", 24, late="2 days")
+    S.upsert_stream(counts, f"{out}/table", f"{out}/state", ["start", "event_type"], ["n"], lambda a, b: merge(a, b, ["start", "event_type"], {}), empty, mode="update").awaitTermination()
+    return S.current(s, f"{out}/table", empty.schema).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 register("k01_unique_snapshots", first_events, "SELECT DISTINCT user_id, event_type FROM events")

@@ -70,7 +70,7 @@ def lever_description(df_columns: None = None) -> Column:
     lists = F.transform(F.coalesce("lists", F.array().cast("array<struct<text:string,content:string>>")), lambda x: F.concat_ws("\n", _blank(x["text"]), _blank(strip_html(x["content"], False))))
     main = F.coalesce(_blank(F.col("descriptionPlain")), _blank(strip_html(F.col("description"), False)))
     more = F.coalesce(_blank(F.col("additionalPlain")), _blank(strip_html(F.col("additional"), False)))
-    return F.concat_ws("\n\n", main, F.array_join(F.filter(lists, lambda x: x != ""), "\n\n"), more)
+    return F.concat_ws("\n\n", main, _blank(F.array_join(F.filter(lists, lambda x: x != ""), "\n\n")), more)
 
 
 def lever(df: DataFrame) -> DataFrame:
@@ -84,15 +84,20 @@ def lever(df: DataFrame) -> DataFrame:
 
 
 def ashby_pay() -> tuple[Column, Column, Column]:
-    """Pay from a tier's range, else a tier's Salary component, else the summary's; a later place only without a minimum."""
+    """Pay from a tier's range, else the tier's Salary component, else the summary's.
+
+    A place's minimum and maximum are kept apart, 0 counts as absent, and later places are read only as long as
+    there is no minimum; what they have replaces what there was."""
     tier = F.get("compensation.compensationTiers", F.lit(0))
     salary = lambda xs: F.get(F.filter(xs, lambda c: c["compensationType"] == "Salary"), F.lit(0))
-    places = [
-        (tier["salaryRange"]["min"]["value"], tier["salaryRange"]["max"]["value"], tier["salaryRange"]["min"]["currency"]),
-        *((c["minValue"], c["maxValue"], c["currencyCode"]) for c in (salary(tier["components"]), salary(F.col("compensation.summaryComponents")))),
-    ]
-    first = lambda k: F.coalesce(*(F.when(p[0].isNotNull(), F.struct(p[k].alias("v"))) for p in places))["v"]
-    return first(0), first(1), first(2)
+    some = lambda c: F.floor(F.nullif(c, F.lit(0.0)))
+    low, high = some(tier["salaryRange"]["min"]["value"]), some(tier["salaryRange"]["max"]["value"])
+    own = F.when(low.isNotNull(), tier["salaryRange"]["min"]["currency"])
+    currency = F.when(high.isNotNull(), F.coalesce(tier["salaryRange"]["max"]["currency"], own)).otherwise(own)
+    for place in (salary(tier["components"]), salary(F.col("compensation.summaryComponents"))):
+        take = lambda new, old: F.when(low.isNull(), F.coalesce(new, old)).otherwise(old)  # noqa: B023, E731
+        low, high, currency = take(some(place["minValue"]), low), take(some(place["maxValue"]), high), take(F.nullif(place["currencyCode"], F.lit("")), currency)
+    return low, high, currency
 
 
 def ashby(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,11 +28,6 @@ def activity(stream: DataFrame, by: str, hours: int, ts: str = "ts", late: str =
     return stream.withWatermark(ts, late).groupBy(F.window(ts, f"{hours} hours"), by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), by, "n")
 
 
-def last_seen(stream: DataFrame, key: str, ts: str = "ts") -> DataFrame:
-    """The latest time of each key, in update mode."""
-    return stream.groupBy(key).agg(F.max(ts).alias("last_seen"))
-
-
 def stale(seen: DataFrame, as_of: Column, days: int) -> DataFrame:
     """Keys with whether they weren't seen for ``days``."""
     return seen.withColumn("is_stale", F.col("last_seen") < F.date_sub(as_of, days))
@@ -42,16 +38,35 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame) -> StreamingQuery:
-    """Merges each micro-batch into versioned tables ``target/v=<batch>``.
+def current(spark: SparkSession, target: str, schema: StructType, before: int | None = None, parts: list[int] | None = None) -> DataFrame:
+    """The table that upsert_stream keeps: of each part the newest version (older than ``before``)."""
+    names = ["v", "part"]
+    try:
+        found = spark.read.parquet(target).select(*names).distinct()
+    except AnalysisException:  # nothing was written yet
+        return spark.createDataFrame([], schema)
+    found = found.where(F.col("v") < before) if before is not None else found
+    found = found.where(F.col("part").isin(parts)) if parts is not None else found
+    newest = found.groupBy("part").agg(F.max("v").alias("v")).collect()  # as many rows as there are parts
+    if not newest:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{target}/v={r.v}/part={r.part}" for r in newest))
+
+
+def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame, parts: int = 64, mode: str = "append") -> StreamingQuery:
+    """Merges each micro-batch into a table dealt into ``parts`` by a hash of the keys.
 
-    A batch reads the version before it and writes its own, so a batch that runs again gives the same rows;
-    within a batch the last row of a key by ``order`` is merged."""
+    A batch reads and rewrites the parts that its keys lie in, as ``target/v=<batch>/part=<p>``, and leaves the others;
+    ``current`` reads the newest version of each. A batch that runs again reads what was there before it and
+    gives the same rows. Within a batch the last row of a key by ``order`` is merged."""
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.schema(empty.schema).parquet(f"{target}/v={batch_id - 1}") if batch_id else empty
         new = ranking.first_per_key(batch, keys, [F.col(o) for o in order])
-        merge(old, new).select(*empty.columns).write.mode("overwrite").parquet(f"{target}/v={batch_id}")
+        touched = [r.part for r in new.select(part.alias("part")).distinct().collect()]
+        if touched:
+            old = current(batch.sparkSession, target, empty.schema, batch_id, touched)
+            merged = merge(old, new).select(*empty.columns).withColumn("part", part)
+            merged.repartition("part").write.partitionBy("part").mode("overwrite").parquet(f"{target}/v={batch_id}")
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
