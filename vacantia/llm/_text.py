@@ -175,8 +175,13 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets local Python workers import this package wherever the driver was started."""
+    """Lets local Python workers import this package wherever the driver was started, and give large arrays back when they go."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
     if root not in known.split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+        env["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+    # workers are kept for later tasks: what the allocators hold on to adds up beside the executor's heap
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(4 << 20))
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", str(8 << 20))
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")

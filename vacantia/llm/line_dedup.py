@@ -43,7 +43,7 @@ NUM, DEN = 3, 4
 RARITY_BITS = 21
 BEST = 4
 #: Pairs that a task holds, and entries of a range beyond which it is cut into blocks of half as many.
-PAIRS = 1 << 21
+PAIRS = 1 << 20
 ENTRIES = 1 << 20
 _BINS = 4096
 #: Bits of the bitmap of lines to verify, and how many lines it serves.

@@ -31,7 +31,7 @@ from vacantia.llm import _text as T
 
 PASSAGE = 1500
 SAMPLE = 8000
-SAMPLE_PASSAGES = 60_000
+SAMPLE_PASSAGES = 30_000
 HIDDEN, GATE = 16, 8
 BUCKETS, CONTENT = 4096, 8
 BATCH, STEPS = 128, 500
@@ -225,7 +225,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     first = np.append(0, np.cumsum([len(w) - 1 for w in word]))
     size = np.concatenate([np.diff(w.astype(np.int64)) for w in word])
     n = np.maximum(size, 1).astype(float)
-    bags = Bags(np.concatenate(x).reshape(-1, FEATURES).astype(float), first, np.concatenate(bucket).astype(np.int64), np.repeat(1 / n, size), np.append(0, np.cumsum(size)))
+    bags = Bags(np.concatenate(x).reshape(-1, FEATURES).astype(float), first, np.concatenate(bucket).astype(np.int32), np.repeat((1 / n).astype(np.float32), size), np.append(0, np.cumsum(size)))
     model = Model(bags.x.mean(0), np.maximum(bags.x.std(0), 1e-3), float(y.mean()))
     model.fit(bags, y)
     return model
