@@ -45,8 +45,8 @@ register("e03_missing_enriched", lambda s, d: E.without_match(orders(s, d), line
 register("e04_unknown_hashes", lambda s, d: E.without_match(_hashed(s, d).where("doc_id % 2 = 1"), _hashed(s, d).where("doc_id % 2 = 0"), "hash").select("doc_id"), "WITH h AS (SELECT doc_id, md5(lower(trim(text))) AS hash FROM documents) SELECT doc_id FROM h WHERE doc_id % 2 = 1 AND hash NOT IN (SELECT hash FROM h WHERE doc_id % 2 = 0)")
 
 
-def _hashed(s, d):
-    return table(s, d, "documents").select("doc_id", "text", F.md5(F.lower(F.trim("text"))).alias("hash"))
+def _hashed(s, d, *more):
+    return table(s, d, "documents").select("doc_id", *more, F.md5(F.lower(F.trim("text"))).alias("hash"))
 
 
 register("e05_resume", lambda s, d: E.not_recent(table(s, d, "events").select("user_id").distinct(), table(s, d, "events"), "user_id", "ts", F.lit("2024-01-31").cast("timestamp"), 48), "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 48 HOUR)")
@@ -94,7 +94,7 @@ register(
 register("e12_gold_predictions", lambda s, d: A.gold_predictions(table(s, d, "documents"), table(s, d, "labels"), "doc_id", ["quality", "toxic"]), "SELECT quality, toxic, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY ALL")
 register(
     "e13_labelled_set",
-    lambda s, d: A.labelled_set(_hashed(s, d), _hashed(s, d).where("doc_id % 2 = 0"), "hash", "text", 200).select("doc_id"),
+    lambda s, d: A.labelled_set(_hashed(s, d, "text"), _hashed(s, d).where("doc_id % 2 = 0"), "hash", "text", 200).select("doc_id"),
     "WITH h AS (SELECT doc_id, text, md5(lower(trim(text))) AS hash FROM documents) SELECT doc_id FROM h WHERE length(text) > 200 AND hash IN (SELECT hash FROM h WHERE doc_id % 2 = 0)",
 )
 register("e15_with_enough", lambda s, d: E.with_enough(employers(s, d), postings(s, d), 5, "industry").select("canonical_name", "n_jobs"), "SELECT canonical_name, n_jobs FROM employers JOIN (SELECT employer_name, count(*) AS n_jobs FROM postings GROUP BY 1 HAVING count(*) >= 5) ON employer_name = canonical_name WHERE industry IS NULL")
