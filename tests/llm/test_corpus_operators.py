@@ -385,3 +385,29 @@ def test_pipeline(spark, tmp_path):
     want = {i: hashlib.sha256(np.array(tk.encode(t, add_special_tokens=False).ids, "<u4").tobytes()).hexdigest() for i, t in rows if i in clean}
     assert {i: r.ids_sha256 for i, r in got.items()} == want
     assert all(r.decoded_sha256 == hashlib.sha256(dict(rows)[i].encode()).hexdigest() for i, r in got.items())
+
+
+def test_pipeline_of_awkward_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    a, b, c, d, e = (words(k, n, 3000) for k, n in ((71, 90), (72, 80), (73, 30_000), (74, 120), (75, 70)))
+    cut = lambda w, k: "\n".join(" ".join(w[i : i + k]) for i in range(0, len(w), k))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 80").orderBy("item_id").first().text
+    rows = [
+        (1, None), (2, ""), (None, None), (4, " \n\t "), (3, " ".join(a)), (3, " ".join(a)), (5, " ".join(a)), (None, " ".join(a)),
+        (None, " ".join(b)), (9, " ".join(c)), (20, cut(d, 12)), (21, cut(d, 120)), (None, cut(d, 60)), (30, " ".join(e) + "\n" + item),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n long, label long, row long, doc long, line long, t long, h string, a int, b int, rules string"
+
+    def run(name: str, docs: list, benchmark: list) -> list:
+        folder = f"{tmp_path}/{name}"
+        full = [(i, x, "en", "s", len(x or ""), 1, 2, 3, 4, 5, 6, "h", 7, 8, "r") for i, x in docs]
+        spark.createDataFrame(full, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        return corpus_pipeline.run(spark, folder).collect()
+
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    found = sorted(((r.doc_id, r.decoded_sha256) for r in run("rows", rows, [(1, item), (None, None), (2, "")])), key=repr)
+    assert found == sorted([(3, digest(" ".join(a))), (None, digest(" ".join(b))), (9, digest(" ".join(c))), (20, digest(cut(d, 12)))], key=repr)
+    assert run("empty", [], [(1, item)]) == []
+    assert {r.doc_id for r in run("nothing to find", [r for r in rows if r[0] in (9, 30)], [])} == {9, 30}
