@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 #: Entities that postings use, in the order in which they are decoded (the ampersand last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&#160;", " "), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"), ("&hellip;", "…"), ("&amp;", "&")]
 #: Names that stay in capitals.
-ABBREVIATIONS = "sql aws gcp etl elt api apis rest sdk cli ai ml nlp llm gpu tpu ci cd ci/cd saas iaas paas http https json xml yaml csv html css js ts orm mvc mvp tdd bdd dns tcp udp ssh ssl tls cdn cms crm erp sap pmo raid itil iso soc gdpr hipaa pci owasp kpi okr sla roi b2b b2c sem seo ppc ux ui qa uat sdlc vpc iam rds hpe pmp dbt iot rpa bpm".split()
+ABBREVIATIONS = [
+    "sql", "aws", "gcp", "etl", "elt", "api", "apis", "rest", "sdk", "cli", "ai", "ml", "nlp", "llm", "gpu", "tpu",
+    "ci", "cd", "ci/cd", "saas", "iaas", "paas", "http", "https", "json", "xml", "yaml", "csv", "html", "css", "js",
+    "ts", "orm", "mvc", "mvp", "tdd", "bdd", "dns", "tcp", "udp", "ssh", "ssl", "tls", "cdn", "cms", "crm", "erp",
+    "sap", "pmo", "raid", "itil", "iso", "soc", "gdpr", "hipaa", "pci", "owasp", "kpi", "okr", "sla", "roi", "b2b",
+    "b2c", "sem", "seo", "ppc", "ux", "ui", "qa", "uat", "sdlc", "vpc", "iam", "rds", "hpe", "pmp", "dbt", "iot",
+    "rpa", "bpm",
+]
 #: British spellings.
 SPELLINGS = [("modelling", "modeling"), ("visualisation", "visualization"), ("organisation", "organization"), ("optimisation", "optimization"), ("cataloguing", "cataloging")]
 CURRENCIES = ["gbp", "usd", "eur", "sgd", "inr"]
