@@ -28,3 +28,10 @@ def open_input(uri: str):
     """A file for range reads."""
     system, path = _at(uri)
     return system.open_input_file(path)
+
+
+def remove(uri: str) -> None:
+    """Removes a file, if it is still there."""
+    system, path = _at(uri)
+    if system.get_file_info(path).type != fs.FileType.NotFound:
+        system.delete_file(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, chat_format, collocations, decontamination, line_dedup, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
+from vacantia.llm import bpe, chat_format, collocations, conversation_trie, decontamination, line_dedup, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_conversation_trie": conversation_trie.op11_conversation_trie,
     "op12_collocations": collocations.op12_collocations,
 }
 ORACLES = {
@@ -25,5 +26,6 @@ ORACLES = {
     "op8_ngram_join": ngram_join.ORACLE_SQL,
     "op9_chat_format": chat_format.ORACLE_SQL,
     "op10_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_conversation_trie": conversation_trie.ORACLE_SQL,
     "op12_collocations": collocations.ORACLE_SQL,
 }
