@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vacantia.llm import bpe, chat_format, collocations, conversation_trie, decontamination, line_dedup, ngram_join, quality_model, quality_rules, secret_scan, token_files, warc
+from vacantia.llm import bpe, chat_format, collocations, conversation_trie, decontamination, line_dedup, ngram_join, quality_model, quality_rules, secret_scan, source_mix, token_files, warc
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_conversation_trie": conversation_trie.op11_conversation_trie,
     "op12_collocations": collocations.op12_collocations,
+    "op13_source_mix": source_mix.op13_source_mix,
 }
 ORACLES = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
