@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +58,9 @@ LAST = 2**63 - 1
 SECOND = 3
 #: A signature that so many of a task's latest classes share is sent apart from its range.
 HOT = 32
+#: Entries of a bucket that are met at a time, and classes in one row of a signature.
+MET = 4_000_000
+ROW = 1 << 16
 
 
 def shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -211,17 +215,19 @@ def _digests(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return T.mix(_sums(T.mix(h), offsets) ^ np.diff(offsets).astype(T.U64)), _sums(T.mix(h ^ T.U64(99)), offsets)
 
 
-def _shared(docs: DataFrame, ranges: int) -> DataFrame:
-    """(gid, hot, members, n, d1, d2): sorted digests of the classes of each shared signature; a hot one has several rows."""
+def _packer(ranges: int):
+    """Packs the classes of each signature by bucket; a task that runs again gives the same rows."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        part, flushes = task.partitionId() if task else 0, 0
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
         met: set[bytes] = set()  # classes that this task has sent, of the latest many
 
         def flush() -> pa.RecordBatch:
             s, d = (np.concatenate(x) for x in zip(*kept))
-            order = np.argsort(s)
+            order = np.argsort(s, kind="stable")
             s, d = s[order], d[order]
             start = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
             count = np.diff(np.append(start, len(s)))
@@ -230,7 +236,9 @@ def _shared(docs: DataFrame, ranges: int) -> DataFrame:
             often = np.repeat(count >= HOT, count)
             stays = ~often
             stays[start] = True
-            hot = [(-1 - int(np.random.default_rng().integers(2**62)), gid[often].tobytes(), d[often].tobytes())] if often.any() else []
+            # entries of hot signatures go to a bucket of this flush alone, the same whenever the task runs
+            own = -1 - int(T.mix(np.array([part << 32 | flushes], np.uint64))[0] >> T.U64(2))
+            hot = [(own, gid[often].tobytes(), d[often].tobytes())] if often.any() else []
             bucket, low, d = bucket[stays], s[stays].astype(np.uint32), d[stays]
             cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             ends = np.append(cut[1:], len(bucket))
@@ -256,15 +264,23 @@ def _shared(docs: DataFrame, ranges: int) -> DataFrame:
                 n += len(s)
                 if n > 1_000_000:
                     yield flush()
-                    kept, n = [], 0
+                    kept, n, flushes = [], 0, flushes + 1
         if n:
             yield flush()
 
-    def meet(table: pa.Table) -> pa.Table:
-        bucket = int(table.column("bucket")[0].as_py())
-        hot = bucket < 0
-        s = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint64 if hot else np.uint32)
-        d = np.frombuffer(b"".join(table.column("d").to_pylist()), np.uint64)
+    return pack
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each signature from packed rows in order of their buckets, ``MET`` entries at a time.
+
+    A bucket with more entries gives rows for each portion, and a signature with more than ``ROW`` classes several rows:
+    those are marked as hot, single classes too, as others of their signature may be in another row."""
+
+    def out(bucket: int, kept: list[tuple[bytes, bytes]], portion: bool) -> pa.RecordBatch:
+        own = bucket < 0
+        s = np.frombuffer(b"".join(x for x, _ in kept), np.uint64 if own else np.uint32)
+        d = np.frombuffer(b"".join(x for _, x in kept), np.uint64)
         order = np.lexsort((d, s))
         s, d = s[order], d[order]
         new = np.ones(len(s), bool)
@@ -272,16 +288,42 @@ def _shared(docs: DataFrame, ranges: int) -> DataFrame:
         s, d = s[new], d[new]
         cut = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         size = np.diff(np.append(cut, len(s)))
-        many = np.flatnonzero(size > 1)
-        cut, size = cut[many], size[many]
-        gid = s[cut] if hot else np.uint64(bucket << 32) | s[cut].astype(np.uint64)
+        if not portion and not own:
+            many = np.flatnonzero(size > 1)
+            cut, size = cut[many], size[many]
+        rows = -(-size // ROW)
+        of = np.repeat(np.arange(len(cut)), rows)
+        step = (np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows)) * ROW
+        hot = np.full(len(of), portion or own) | (rows > 1)[of]
+        cut, size = cut[of] + step, np.minimum(size[of] - step, ROW)
+        gid = s[cut] if own else np.uint64(bucket << 32) | s[cut].astype(np.uint64)
         flat, ends = d[T.ranges(cut, size)], np.append(0, np.cumsum(size))
         d1, d2 = _sums(T.mix(flat), ends), _sums(T.mix(flat ^ T.U64(99)), ends)
         members = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
-        return pa.table({"gid": gid.view(np.int64), "hot": np.full(len(gid), hot), "members": members, "n": size, "d1": d1.view(np.int64), "d2": d2.view(np.int64)})
+        columns = {"gid": gid.view(np.int64), "hot": hot, "members": members, "n": size, "d1": d1.view(np.int64), "d2": d2.view(np.int64)}
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+    now, kept, n, portion = None, [], 0, False
+    for batch in batches:
+        for bucket, s, d in zip(*(batch.column(c).to_pylist() for c in ("bucket", "s", "d"))):
+            if bucket != now:
+                if kept:
+                    yield out(now, kept, portion)
+                now, kept, n, portion = bucket, [], 0, False
+            elif n + len(d) // 8 > MET:
+                yield out(now, kept, True)
+                kept, n, portion = [], 0, True
+            kept.append((s, d))
+            n += len(d) // 8
+    if kept:
+        yield out(now, kept, portion)
+
 
-    packed = docs.select("text").mapInArrow(pack, "bucket long, s binary, d binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "gid long, hot boolean, members array<long>, n long, d1 long, d2 long")
+def _shared(docs: DataFrame, ranges: int) -> DataFrame:
+    """(gid, hot, members, n, d1, d2): sorted digests of the classes of each shared signature; a hot one has several rows."""
+    packed = docs.select("text").mapInArrow(_packer(ranges), "bucket long, s binary, d binary")
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(_meeting, "gid long, hot boolean, members array<long>, n long, d1 long, d2 long")
 
 
 def _groups(shared: DataFrame) -> DataFrame:

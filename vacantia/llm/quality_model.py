@@ -8,12 +8,12 @@ logistic of the weighted sum of its passages' vectors. All weights, the embeddin
 from document labels, by Adam over batches of ``BATCH`` documents on the driver.
 
 The fit reads at most ``SAMPLE`` labelled documents, half of each label at most, those with the smallest hash of
-their id, and of those as many as have ``SAMPLE_PASSAGES`` passages together; a document is taken with all of its
-passages or not at all. Scoring takes every passage of every document in one pass without a shuffle.
+their id, and of those, in this order, each that still fits into ``SAMPLE_PASSAGES`` passages together; a document is taken with
+all of its passages or not at all. Scoring takes every passage of every document in one pass without a shuffle.
 
 Cases: a null or empty text is one empty passage; without labels of both kinds every score is the share
 of label 1 (0.5 without any); a document with several labels counts with each, repeated rows count once; null
-labels are left out; a label whose first document has too many passages has no examples; empty tables give empty results; other columns, whatever their names, are not read.
+labels are left out; a document with more passages than its label may have together is no example; empty tables give empty results; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -199,9 +199,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     for label in (0, 1):
         left = passages // 2
         for row in labelled.where(F.col("y") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "t").limit(sample // 2).collect():
-            left -= max(1, -(-(row.size or 0) // PASSAGE))
-            if left < 0:
-                break
+            # one that doesn't fit is passed over
+            size = max(1, -(-(row.size or 0) // PASSAGE))
+            if size > left:
+                continue
+            left -= size
             chosen.append((row.doc_id, row.t, label))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re._constants as C
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -30,12 +31,15 @@ CHUNK = 256
 
 @dataclass(frozen=True)
 class Rule:
-    """Matches of ``regex`` whose ``group`` has at least ``least`` characters, under the name ``kind``."""
+    """Matches of ``regex`` whose ``group`` has at least ``least`` characters, under the name ``kind``.
+
+    With ``inner`` the span is that of the group, with which the match must end."""
 
     kind: str
     regex: str
     group: int = 0
     least: int = 1
+    inner: bool = False
 
 
 #: Fixed patterns, without repeated groups, which the JVM's regex engine would recurse on. The three base kinds come first; a run of at least 16 hex digits is the same as a run
@@ -48,7 +52,8 @@ RULES = [
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    # a token begins where a run of its letters does, so that each run is read from its start only
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", 1, inner=True),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 ]
 BASE = 3
@@ -153,23 +158,31 @@ def spans_of(text: Column, rule: Rule, k: int) -> Column:
     """array<struct<start, k, end>> of the rule's matches that are long enough, leftmost first, in code points."""
     found = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
     own = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else found
-    gaps = F.split(text, rule.regex, -1)
     empty = F.array().cast("array<struct<start:bigint,k:int,end:bigint>>")
 
     def step(acc: Column, m: Column) -> Column:
         start = acc["at"] + F.length(m["gap"])
         end = start + F.length(m["found"])
-        span = F.struct(start.cast("long").alias("start"), F.lit(k).alias("k"), end.cast("long").alias("end"))
+        begin = end - F.length(m["own"]) if rule.inner else start
+        span = F.struct(begin.cast("long").alias("start"), F.lit(k).alias("k"), end.cast("long").alias("end"))
         return F.struct(end.cast("long").alias("at"), F.when(F.length(m["own"]) >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("found"), own.alias("own"))
-    # in chunks, as an array that grows is copied with each element
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda c: F.slice(zipped, c * CHUNK + 1, F.lit(CHUNK)))
     length = lambda chunk: F.aggregate(chunk, F.lit(0).cast("long"), lambda n, m: n + F.length(m["gap"]) + F.length(m["found"]))
-    begins = F.aggregate(chunks, F.array(F.lit(0).cast("long")), lambda at, chunk: F.concat(at, F.array(F.element_at(at, -1) + length(chunk))))
-    pieces = F.zip_with(chunks, F.slice(begins, F.lit(1), F.size(chunks)), lambda chunk, at: F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("out")), step)["out"])
-    spans = F.flatten(pieces)
-    return F.when(text.rlike(rule.regex), spans).otherwise(empty)
+
+    def spans(chunks: Column) -> Column:
+        begins = F.aggregate(chunks, F.array(F.lit(0).cast("long")), lambda at, chunk: F.concat(at, F.array(F.element_at(at, -1) + length(chunk))))
+        return F.flatten(F.zip_with(chunks, F.slice(begins, F.lit(1), F.size(chunks)), lambda chunk, at: F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("out")), step)["out"]))
+
+    # in chunks, as an array that grows is copied with each element
+    cut = lambda m: F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / CHUNK).cast("int")), lambda c: F.slice(m, c * CHUNK + 1, F.lit(CHUNK)))
+    zipped = lambda m: F.arrays_zip(F.slice(m["gaps"], F.lit(1), F.size(m["found"])).alias("gap"), m["found"].alias("found"), m["own"].alias("own"))
+    parts = F.struct(F.split(text, rule.regex, -1).alias("gaps"), found.alias("found"), own.alias("own"))
+    return F.when(text.rlike(rule.regex), _let(parts, lambda m: _let(zipped(m), lambda z: _let(cut(z), spans)))).otherwise(empty)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value made once: inside a function of an array's elements it would be made for each of them."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def find_secrets(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,6 +225,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     """The same rows in SQL: matches and the texts between them give the spans."""
     parts = []
+    inner = ", ".join(str(k) for k, r in enumerate(RULES) if r.inner)
     for k, r in enumerate(RULES):
         regex = r.regex.replace("'", "''")
         cut = f"string_split_regex(text, '{regex}')"
@@ -221,7 +235,8 @@ def _oracle() -> str:
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS ({" UNION ALL ".join(parts)}),
-s AS (SELECT doc_id, k, kind, ({before})::BIGINT AS start, length(found[i]) AS n FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m) WHERE length(own[i]) >= least),
+s AS (SELECT doc_id, k, kind, ({before} + CASE WHEN k IN ({inner}) THEN length(found[i]) - length(own[i]) ELSE 0 END)::BIGINT AS start,
+  CASE WHEN k IN ({inner}) THEN length(own[i]) ELSE length(found[i]) END AS n FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m) WHERE length(own[i]) >= least),
 g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
   string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, k) FILTER (WHERE k < {BASE}) AS base, string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, k) AS spans FROM s GROUP BY 1)
 SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
