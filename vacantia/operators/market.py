@@ -68,49 +68,3 @@ def skill_overlap(df: DataFrame) -> DataFrame:
     sets = df.select("job_subfamily", F.explode("skills").alias("skill")).distinct()
     other = sets.select(F.col("job_subfamily").alias("b"), "skill")
     return sets.withColumnRenamed("job_subfamily", "a").join(other, "skill").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
-
-
-def vector_search(vectors: DataFrame, queries: DataFrame, least: float, k: int, block: int = 4096) -> DataFrame:
-    """The k vectors most similar to each query by cosine, of at least ``least``.
-
-    The queries are a stated set, numbered into blocks of ``block``; each task holds one block at a time, as rows that
-    meet its vectors by a join on the block's number, compares whole batches in numpy, and keeps its own best k of each
-    query, so a task's output is bounded by queries and not by vectors. Nothing passes through the driver but the
-    number of queries."""
-    import numpy as np
-    import pyarrow as pa
-
-    q = queries.select("vec_id", "embedding").where("embedding IS NOT NULL")
-    blocks = max(1, -(-q.count() // block))
-    q = q.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    packed = q.groupBy("block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q"))
-    v = vectors.where("embedding IS NOT NULL").select("vec_id", "embedding")
-    # vectors in groups of some thousand, each group with each block of queries
-    parts = v.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(_groups_of(v)))).groupBy("part").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("v"))
-    pairs = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "block")
-
-    def unit(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
-        ids = rows.values.field("vec_id").to_numpy()
-        m = rows.values.field("embedding").flatten().to_numpy().astype(float).reshape(len(ids), -1)
-        return ids, m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30)
-
-    def best(batches):
-        for batch in batches:
-            for a, b in zip(batch.column("q"), batch.column("v")):
-                (ids, m), (own, w) = unit(a), unit(b)
-                similar = np.round(m @ w.T, 6)
-                i, j = np.nonzero((similar >= least) & (own[None, :] != ids[:, None]))
-                order = np.lexsort((own[j], -similar[i, j], i))
-                i, j = i[order], j[order]
-                start = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, int)
-                keep = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i)))) < k
-                i, j = i[keep], j[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(own[j]), pa.array(similar[i, j])], names=["query_id", "vec_id", "similarity"])
-
-    out = pairs.select("q", "v").mapInArrow(best, "query_id long, vec_id long, similarity double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-def _groups_of(vectors: DataFrame, size: int = 4096) -> int:
-    return max(1, -(-vectors.count() // size))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vacantia.operators import order_statistics
+
 UNKNOWN = ("unknown", "null")
 
 
@@ -40,9 +42,10 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Counts of every value of several columns, nulls too, with the number of distinct values and the mode."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in columns)))
     counts = df.select(pairs.alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("n"))
-    own = Window.partitionBy("dimension")
-    rank = F.row_number().over(own.orderBy(F.col("value").isNull(), F.desc("n"), "value"))
-    return counts.select("dimension", "value", "n", F.sum("n").over(own).alias("total"), F.count("value").over(own).alias("n_values"), (rank == 1).alias("is_mode"))
+    # one row for each dimension: the mode is the most frequent known value, the smallest of equals
+    first = F.min(F.struct(F.col("value").isNull(), -F.col("n"), "value").alias("m"))["value"]
+    whole = counts.groupBy("dimension").agg(F.sum("n").alias("total"), F.count("value").alias("n_values"), first.alias("mode"))
+    return counts.join(whole, "dimension").select("dimension", "value", "n", "total", "n_values", F.col("value").eqNullSafe(F.col("mode")).alias("is_mode"))
 
 
 def top_k(df: DataFrame, column: str, k: int, by: list[str] | None = None) -> DataFrame:
@@ -113,18 +116,10 @@ def skill_pairs(df: DataFrame, skills: str = "skills", k: int | None = 10, ancho
     return counts.orderBy(F.desc("n"), *by, "a", "b").limit(k) if k else counts
 
 
-def nearest_rank(df: DataFrame, value: str, by: list[str] | None = None, least: int = 1, points: tuple[tuple[str, float], ...] = (("p25", 0.25), ("median", 0.5), ("p75", 0.75))) -> DataFrame:
-    """Percentiles by floor nearest rank, the element at index int(n * p), for groups of ``least`` rows.
-
-    Equal values are counted first, so one group's rows are never sorted in one task: the window runs over
-    distinct values."""
+def nearest_rank(df: DataFrame, value: str, by: list[str] | None = None, least: int = 1, points: tuple[tuple[str, float], ...] = order_statistics.QUARTILES) -> DataFrame:
+    """Percentiles by floor nearest rank, the element at index int(n * p), for groups of ``least`` rows, by selection over ranges of distinct values."""
     by = by or []
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("c"))
-    own = Window.partitionBy(*by)
-    upto = F.sum("c").over(own.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("n", F.sum("c").over(own)).withColumn("upto", upto).where(F.col("n") >= least)
-    pick = lambda p: F.min(F.when(F.col("upto") > F.floor(F.col("n") * p), F.col(value)))
-    return ranked.groupBy(*by, "n").agg(*(pick(p).alias(name) for name, p in points))
+    return order_statistics.at_ranks(order_statistics.count_values(df, value, by), by, value, points, least=least)
 
 
 def compensation(df: DataFrame, value: str = "salary_midpoint", by: list[str] | None = None, least: int = 20) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vacantia.operators import order_statistics
+
 #: The order of seniority in reports.
 SENIORITY_ORDER = ["junior", "mid", "senior", "staff_principal", "director_plus"]
 
@@ -85,12 +87,11 @@ def recent_per_source(df: DataFrame, source: str, day: str, ident: str, n: int)
 
 
 def pay_rank(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """The share of rows of the group with lower pay, by distinct values."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("c"))
-    own = Window.partitionBy(*by)
-    below = F.coalesce(F.sum("c").over(own.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = counts.select(*by, value, below.alias("below"), F.sum("c").over(own).alias("n"))
-    return df.join(ranks.withColumn("percent_rank", F.when(F.col("n") > 1, F.col("below") / (F.col("n") - 1)).otherwise(0.0)).drop("below", "n"), [*by, value], "left")
+    """The share of rows of the group with lower pay, by running sums over ranges of distinct values."""
+    sums = order_statistics.running_sums(order_statistics.count_values(df, value, by), by, value)
+    below = F.col("upto") - F.col("c")
+    ranks = sums.select(*by, value, F.when(F.col("n") > 1, below / (F.col("n") - 1)).otherwise(0.0).alias("percent_rank"))
+    return df.join(ranks, [*by, value], "left")
 
 
 def open_roles(df: DataFrame, by: list[str]) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vacantia.operators import order_statistics
 from vacantia.operators.metrics import UNKNOWN, percent
+from vacantia.storage import written
 
 #: Metrics that are shares of known values, and what pay is grouped by.
 DISTRIBUTIONS = ("seniority", "job_subfamily", "track", "working_arrangement", "industry", "employer_size", "ownership_type")
@@ -49,8 +51,10 @@ def segment_counts(jobs: DataFrame, employers: DataFrame, ats_sources: list[str]
 
 def report_bundle(jobs: DataFrame, employers: DataFrame, ats_sources: list[str], top: int = 15, top_pairs: int = 10, least_pay: int = 20, least_group: int = 10) -> DataFrame:
     """(section, code, n, value) of a segment's postings: summary, employers, shares of known values, skills and their
-    pairs, pay. Agencies count in the summary only; the value of a share is a half-even percentage."""
-    counts = segment_counts(jobs, employers, ats_sources)
+    pairs, pay. Agencies count in the summary only; the value of a share is a half-even percentage.
+
+    The counts are written once: the postings are read by one job, and what follows reads one row for each metric and code."""
+    counts = written(segment_counts(jobs, employers, ats_sources))
     is_known = F.col("code").isNotNull() & ~F.col("code").isin(*UNKNOWN)
     totals = counts.groupBy("metric").agg(F.sum("n").alias("total"), F.sum(F.when(is_known, F.col("n")).otherwise(0)).alias("known"), F.count("code").alias("codes"))
     wide = lambda name, c: F.coalesce(F.max(F.when(F.col("metric") == name, F.col(c))), F.lit(0))
@@ -82,13 +86,10 @@ def report_bundle(jobs: DataFrame, employers: DataFrame, ats_sources: list[str],
         n("summary", "senior_to_junior", c("senior"), F.when(c("junior") > 0, F.bround(c("senior") / c("junior"), 1))), n("summary", "entry_accessibility", c("entry"), percent(c("entry"), c("seniority_known"))),
         n("coverage", "skills", c("with_skills"), percent(c("with_skills"), c("direct"))), n("coverage", "employers", c("matched"), percent(c("matched"), c("direct"))),
     )))
-    # pay by floor nearest rank, over distinct values
-    pay = counts.where(F.col("metric").startswith("pay")).withColumn("pay", F.col("code").cast("decimal(18,2)"))
-    own = Window.partitionBy("metric")
-    pay = pay.withColumn("total", F.sum("n").over(own)).withColumn("upto", F.sum("n").over(own.orderBy("pay").rowsBetween(Window.unboundedPreceding, 0)))
-    pay = pay.where(F.col("total") >= F.when(F.col("metric") == "pay", least_pay).otherwise(least_group))
-    at = lambda p: F.min(F.when(F.col("upto") > F.floor(F.col("total") * p), F.col("pay"))).cast("double")
-    points = pay.groupBy("metric", "total").agg(at(0.25).alias("p25"), at(0.5).alias("median"), at(0.75).alias("p75"))
+    # pay by floor nearest rank, by selection over ranges of the distinct values of all groups
+    pay = counts.where(F.col("metric").startswith("pay")).select("metric", F.col("code").cast("decimal(18,2)").alias("pay"), "n")
+    points = order_statistics.at_ranks(pay.withColumnRenamed("n", "c"), ["metric"], "pay", least=F.when(F.col("metric") == "pay", least_pay).otherwise(least_group))
+    points = points.select("metric", F.col("n").alias("total"), *(F.col(p).cast("double").alias(p) for p in ("p25", "median", "p75")))
     pay = points.select("metric", "total", F.explode(F.create_map(*[x for k in ("p25", "median", "p75") for x in (F.lit(k), F.col(k))])).alias("code", "value"))
     pay = pay.select(F.col("metric").alias("section"), "code", F.col("total").alias("n"), "value")
     return summary.unionByName(tops).unionByName(shares).unionByName(covered).unionByName(pay)

@@ -10,6 +10,7 @@ from vacantia.operators import classify as D
 from vacantia.operators import joins as E
 from vacantia.operators import market as Q
 from vacantia.operators import merge as J
+from vacantia.operators import vector_index as V
 from vacantia.operators import metrics as M
 from vacantia.operators import ranking as H
 from vacantia.plans.metric_queries import _fill_sql
@@ -254,6 +255,21 @@ register(
     lambda s, d: A.count_and_latest(postings(s, d), (F.col("job_family") == "data") & ~F.col("is_agency"), "posted_date"),
     "SELECT count(*) AS n, max(posted_date) AS latest FROM postings WHERE job_family = 'data' AND NOT is_agency",
 )
-register("q21_vector_search", lambda s, d: Q.vector_search(table(s, d, "embeddings"), table(s, d, "embeddings").where("vec_id % 100 = 0"), 0.3, 10), """WITH q AS (SELECT vec_id AS query_id, embedding AS qe FROM embeddings WHERE vec_id % 100 = 0),
-s AS (SELECT query_id, vec_id, round(list_cosine_similarity(qe::DOUBLE[], embedding::DOUBLE[]), 6) AS similarity FROM q, embeddings WHERE vec_id <> query_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id)::INT AS rank FROM s WHERE similarity >= 0.3)
-SELECT query_id, vec_id, similarity, rank FROM r WHERE rank <= 10""")
+
+
+def vector_search(s, d, where: str | None = None):
+    """Exact search of every hundredth vector."""
+    vectors = table(s, d, "embeddings")
+    return V.search(V.build_index(vectors), vectors.where("vec_id % 100 = 0"), 0.3, 10, where=where)
+
+
+def _vector_sql(where: str = "TRUE") -> str:
+    return f"""
+WITH q AS (SELECT vec_id AS query_id, embedding AS qe FROM embeddings WHERE vec_id % 100 = 0),
+s AS (SELECT query_id, vec_id, round(list_cosine_similarity(qe::DOUBLE[], embedding::DOUBLE[]), 6) AS similarity FROM q, embeddings WHERE vec_id <> query_id AND {where}),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id)::INT AS rank FROM s WHERE similarity >= 0.3)
+SELECT query_id, vec_id, similarity, rank FROM r WHERE rank <= 10"""
+
+
+register("q21_vector_search", vector_search, _vector_sql())
+register("q21_vector_search_filtered", lambda s, d: vector_search(s, d, "label % 2 = 1"), _vector_sql("label % 2 = 1"))

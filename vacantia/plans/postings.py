@@ -6,12 +6,11 @@ common table expressions, for oracles. Amounts are decimals, so sums don't depen
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vacantia.storage import shared_folder  # noqa: F401  for the queries
+
 #: The day that stands for today.
 AS_OF = "2001-08-02"
 
@@ -21,14 +20,6 @@ STATUS = {"F": "404", "P": "soft_404", "O": "active"}
 ARRANGEMENT = {"A": "remote", "N": "hybrid", "R": "onsite"}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors share, under spark.checkpoint.dir."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{(base or 'file://' + tempfile.gettempdir() + '/spark-shared').rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
