@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacantia.operators.merge import latest, merge
+from vacantia.operators.ranking import first_per_key
 from vacantia.plans.postings import shared_folder, table
 from vacantia.registry import register
+from vacantia.streaming import last_seen as L
 from vacantia.streaming import snapshots as S
 
 
@@ -40,8 +42,28 @@ def upserted(s, d):
 
 
 def seen(s, d):
-    rows = S.stale(_last_events(s, d, shared_folder(s)), F.lit("2024-01-31").cast("date"), 3)
-    return rows.select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "is_stale")
+    """Users with the time of their last event and whether that is over a day and a half before the last of all, from a stream in order of time."""
+    out = shared_folder(s)
+    rows = table(s, d, "events")
+    bounds = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    days = (bounds.high - bounds.low).days // 6 + 1
+    for k in range(6):  # the files of six spans of time land one after the other
+        span = F.floor(F.datediff(F.col("ts"), F.lit(bounds.low)) / days)
+        rows.where(span == k).write.mode("append").parquet(f"{out}/landed")
+    stream = S.read_landed(s, f"{out}/landed", rows.schema, files_per_trigger=2).withColumn("ts", F.col("ts").cast("timestamp"))
+    changes = L.last_seen_changes(stream, "user_id", "ts", 12 * 3_600_000, "1 day").withColumnRenamed("key", "user_id")
+    # of two changes of a user the one with the newer time holds, and of one time the one that is stale
+    changes = changes.withColumns({"newest": -F.col("ms"), "fresh": ~F.col("is_stale")})
+    empty = s.createDataFrame([], "user_id long, ms long, is_stale boolean, newest long, fresh boolean")
+    latest_of = lambda old, new: first_per_key(old.unionByName(new.select(*old.columns)), ["user_id"], [F.col("newest"), F.col("fresh")])
+    store = s.conf.get(L.STORE[0])
+    s.conf.set(*L.STORE)
+    try:
+        query = S.upsert_stream(changes, f"{out}/table", f"{out}/state", ["user_id"], ["newest", "fresh"], latest_of, empty, parts=8, mode="update")
+        query.awaitTermination()
+    finally:
+        s.conf.set(L.STORE[0], store)
+    return S.current(s, f"{out}/table", empty.schema).select("user_id", F.timestamp_millis("ms").cast("timestamp_ntz").alias("last_seen"), "is_stale")
 
 
 def windows(s, d):
@@ -56,4 +78,5 @@ def windows(s, d):
 register("k01_unique_snapshots", first_events, "SELECT DISTINCT user_id, event_type FROM events")
 register("k02_stream_upsert", upserted, "SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1")
 register("k03_activity_windows", windows, "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
-register("k04_last_seen", seen, "SELECT user_id, max(ts) AS last_seen, max(ts) < DATE '2024-01-31' - 3 AS is_stale FROM events GROUP BY 1")
+register("k04_last_seen", seen, """
+SELECT user_id, date_trunc('millisecond', max(ts))::TIMESTAMP AS last_seen, max(ts) + INTERVAL 36 HOUR < (SELECT max(ts) FROM events) AS is_stale FROM events GROUP BY 1""")

@@ -1,16 +1,16 @@
-"""Posting snapshots as streams: de-duplication, upserts by foreachBatch, activity windows, last seen."""
+"""Posting snapshots as streams: de-duplication, upserts by foreachBatch, activity windows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from vacantia.operators import ranking
+from vacantia.storage import written
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 100) -> DataFrame:
@@ -28,45 +28,68 @@ def activity(stream: DataFrame, by: str, hours: int, ts: str = "ts", late: str =
     return stream.withWatermark(ts, late).groupBy(F.window(ts, f"{hours} hours"), by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), by, "n")
 
 
-def stale(seen: DataFrame, as_of: Column, days: int) -> DataFrame:
-    """Keys with whether they weren't seen for ``days``."""
-    return seen.withColumn("is_stale", F.col("last_seen") < F.date_sub(as_of, days))
-
-
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Writes what has landed as Parquet and stops."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
 
 
-def current(spark: SparkSession, target: str, schema: StructType, before: int | None = None, parts: list[int] | None = None) -> DataFrame:
-    """The table that upsert_stream keeps: of each part the newest version (older than ``before``)."""
-    names = ["v", "part"]
-    try:
-        found = spark.read.parquet(target).select(*names).distinct()
-    except AnalysisException:  # nothing was written yet
-        return spark.createDataFrame([], schema)
-    found = found.where(F.col("v") < before) if before is not None else found
-    found = found.where(F.col("part").isin(parts)) if parts is not None else found
-    newest = found.groupBy("part").agg(F.max("v").alias("v")).collect()  # as many rows as there are parts
-    if not newest:
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whatever the store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _manifests(spark: SparkSession, target: str) -> list[int]:
+    """The batches that have a manifest, two at most unless a clean-up was cut short."""
+    at, store = _folder(spark, f"{target}/manifests")
+    return sorted(int(f.getPath().getName()) for f in store.listStatus(at)) if store.exists(at) else []
+
+
+def _manifest(spark: SparkSession, target: str, batch: int) -> dict[int, int]:
+    """The newest version of each part after a batch: as many rows as there are parts."""
+    return {r.part: r.v for r in spark.read.schema("part int, v long").parquet(f"{target}/manifests/{batch}").collect()}
+
+
+def _versions(spark: SparkSession, target: str, schema: StructType, versions: dict[int, int]) -> DataFrame:
+    if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{target}/v={r.v}/part={r.part}" for r in newest))
+    return spark.read.schema(schema).parquet(*(f"{target}/v={v}/part={p}" for p, v in sorted(versions.items())))
+
+
+def current(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """The table that upsert_stream keeps: of each part the version that the newest manifest names."""
+    batches = _manifests(spark, target)
+    return _versions(spark, target, schema, _manifest(spark, target, batches[-1]) if batches else {})
 
 
 def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame, parts: int = 64, mode: str = "append") -> StreamingQuery:
     """Merges each micro-batch into a table dealt into ``parts`` by a hash of the keys.
 
-    A batch reads and rewrites the parts that its keys lie in, as ``target/v=<batch>/part=<p>``, and leaves the others;
-    ``current`` reads the newest version of each. A batch that runs again reads what was there before it and
-    gives the same rows. Within a batch the last row of a key by ``order`` is merged."""
+    A batch reads and rewrites the parts that its keys lie in, as ``target/v=<batch>/part=<p>``, leaves the others, and then
+    writes a manifest of the newest version of each part, a row for each. It starts from the manifest of the batch before, so
+    one that runs again gives the same rows; versions that neither of the two manifests names are removed with the older manifests.
+    What a batch lists and reads doesn't grow with the number of batches. Within a batch the last row of a key by ``order`` is merged."""
     part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        new = ranking.first_per_key(batch, keys, [F.col(o) for o in order])
+        spark = batch.sparkSession
+        new = written(ranking.first_per_key(batch, keys, [F.col(o) for o in order]))
         touched = [r.part for r in new.select(part.alias("part")).distinct().collect()]
-        if touched:
-            old = current(batch.sparkSession, target, empty.schema, batch_id, touched)
-            merged = merge(old, new).select(*empty.columns).withColumn("part", part)
-            merged.repartition("part").write.partitionBy("part").mode("overwrite").parquet(f"{target}/v={batch_id}")
+        if not touched:
+            return
+        before = [b for b in _manifests(spark, target) if b < batch_id]
+        known = _manifest(spark, target, before[-1]) if before else {}
+        old = _versions(spark, target, empty.schema, {p: v for p, v in known.items() if p in touched})
+        merged = merge(old, new).select(*empty.columns).withColumn("part", part)
+        merged.repartition("part").write.partitionBy("part").mode("overwrite").parquet(f"{target}/v={batch_id}")
+        now = known | dict.fromkeys(touched, batch_id)
+        spark.createDataFrame(sorted(now.items()), "part int, v long").coalesce(1).write.mode("overwrite").parquet(f"{target}/manifests/{batch_id}")
+        for b in before[:-1]:
+            for p, v in _manifest(spark, target, b).items():
+                if v not in (known[p], now[p]):
+                    at, store = _folder(spark, f"{target}/v={v}/part={p}")
+                    store.delete(at, True)
+            at, store = _folder(spark, f"{target}/manifests/{b}")
+            store.delete(at, True)
 
     return stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
