@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from vacantia.storage import written
+from vacantia.storage import importable, written
 
 #: Vectors that the centroids are fitted on, and cells, at most.
 SAMPLE, CELLS = 32_768, 4_096
@@ -70,8 +70,9 @@ def fit_centroids(vectors: DataFrame, cells: int | None = None, sample: int = SA
 
 def build_index(vectors: DataFrame, cells: int | None = None, sample: int = SAMPLE) -> Index:
     """Every vector in its cell; other columns of the vectors stay, for filters."""
-    centroids = fit_centroids(vectors, cells, sample)
     spark = vectors.sparkSession
+    importable(spark)
+    centroids = fit_centroids(vectors, cells, sample)
     sent = spark.sparkContext.broadcast(centroids)  # at most CELLS vectors
     rows = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").withColumn("row", F.monotonically_increasing_id())
     names = rows.columns
@@ -129,6 +130,7 @@ def probes_for(index: Index, queries: DataFrame, least: float, k: int, recall: f
 def search(index: Index, queries: DataFrame, least: float, k: int, probes: int | None = None, where: Column | str | None = None) -> DataFrame:
     """query_id, vec_id, similarity, rank: for each query its k most similar vectors of at least ``least`` that satisfy ``where``."""
     spark = queries.sparkSession
+    importable(spark)
     out = "query_id long, vec_id long, similarity double"
     if not len(index.centroids):
         return spark.createDataFrame([], out + ", rank int")

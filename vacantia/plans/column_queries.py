@@ -12,8 +12,9 @@ from vacantia.operators import locations as L
 from vacantia.operators import merge as J
 from vacantia.operators import metrics as M
 from vacantia.plans.cases import dealt
-from vacantia.plans.postings import AS_OF, employers, postings, table
+from vacantia.plans.postings import AS_OF, employers, postings, shared_folder, table
 from vacantia.registry import register
+from vacantia.sources import pages
 
 part = lambda s, d: table(s, d, "part")
 documents = lambda s, d: table(s, d, "documents")
@@ -112,7 +113,25 @@ register("j09_url_rewrite", lambda s, d: table(s, d, "pages").select("page_id",
 register("j11_backfill_locations", lambda s, d: J.changed_only(_located(s, d), "locations", F.slice("locations", 1, 1)).groupBy("was_changed").agg(F.count("*").alias("n")), "SELECT coalesce(working_arrangement = 'remote', false) AND id % 2 = 0 OR id % 3 = 0 AS was_changed, count(*) AS n FROM postings GROUP BY 1")
 register("j16_missing_ids", lambda s, d: J.fill_from(postings(s, d).select("id", F.when(F.col("id") % 2 == 0, F.col("title")).alias("title")), postings(s, d), "id", "title"), "SELECT id, title FROM postings")
 register("a10_batched_lookup", lambda s, d: E.without_match(postings(s, d), postings(s, d).where("id % 7 <> 0"), "id").select("id"), "SELECT id FROM postings WHERE id % 7 = 0")
-register("a09_full_scan", lambda s, d: table(s, d, "orders").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")), "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders")
+
+
+def landed_orders(s, d, *conditions):
+    """The orders as a listing in pages of a thousand rows, scanned page by page."""
+    path = f"{shared_folder(s)}/pages"
+    pages.land_pages(table(s, d, "orders"), path, "o_orderkey")
+    return pages.scan_pages(s, path, *conditions)
+
+
+register(
+    "a09_full_scan",
+    lambda s, d: landed_orders(s, d).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")),
+    "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders",
+)
+register(
+    "a09_filtered_pages",
+    lambda s, d: landed_orders(s, d, "o_orderstatus = 'O'", "o_orderkey > 5000", "o_totalprice >= 100000").select("o_orderkey", "o_custkey", "o_totalprice"),
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_orderkey > 5000 AND o_totalprice >= 100000",
+)
 
 
 def _combined(s, d):

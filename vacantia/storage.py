@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -22,3 +23,11 @@ def written(df: DataFrame, by: str | None = None) -> DataFrame:
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets the Python workers of a local session import this package wherever the driver was started; a cluster ships it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from vacantia.storage import importable
+
 #: The state store that timers need.
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
@@ -52,6 +54,7 @@ class LastSeen(StatefulProcessor):
 
 def last_seen_changes(stream: DataFrame, key: str, ts: str, span_ms: int, late: str) -> DataFrame:
     """(key, ms, is_stale): the changes of keys of a stream, for a query started with the state store of ``STORE``."""
+    importable(stream.sparkSession)
     kind = stream.schema[key].dataType.simpleString()
     rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, late)
     rows = rows.select(F.col(key).alias("key"), F.unix_millis(ts).alias("ms"), ts)
