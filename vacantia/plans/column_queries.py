@@ -11,6 +11,7 @@ from vacantia.operators import joins as E
 from vacantia.operators import locations as L
 from vacantia.operators import merge as J
 from vacantia.operators import metrics as M
+from vacantia.operators import skipping as K
 from vacantia.plans.cases import dealt
 from vacantia.plans.postings import AS_OF, employers, postings, shared_folder, table
 from vacantia.registry import register
@@ -77,6 +78,23 @@ register(
     """SELECT city, count(*) AS n FROM postings WHERE city = 'NATION_6' OR working_arrangement = 'remote' AND id % 2 = 0 OR region = 'EUROPE' AND id % 3 = 0
 OR city = 'NATION_8' AND (id % 5 = 0 OR id % 7 = 0) GROUP BY 1""",
 )
+
+
+def open_to_city(s, d):
+    """Postings written near their places with a skipping index, and read again for one city."""
+    path = f"{shared_folder(s)}/located"
+    whole = F.exists("locations", lambda l: F.coalesce(l["scope"] == "global", F.lit(False)))
+    K.write_indexed(_reachable(s, d), path, near=[whole, F.col("region"), F.col("city"), F.col("id")], files=32)
+    place = ("NATION_6", "NATION_8", "EUROPE")
+    return K.read_containing(s, path, K.broad_tokens(*place), L.accessible_from(F.col("locations"), *place)).select("id", "city")
+
+
+register(
+    "c04_broad_location",
+    open_to_city,
+    """SELECT id, city FROM postings WHERE city = 'NATION_6' OR working_arrangement = 'remote' AND id % 2 = 0 OR region = 'EUROPE' AND id % 3 = 0
+OR city = 'NATION_8' AND (id % 5 = 0 OR id % 7 = 0)""",
+)
 register(
     "c06_target_match",
     lambda s, d: _reachable(s, d).where(L.matches_targets(F.col("locations"), cities=["NATION_4"], countries=["NATION_6"])).select("id"),
