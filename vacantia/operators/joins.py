@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia.functions.text import days_open, fill_time_ratio, report_key
+from vacantia.operators.automaton import match_patterns
 
 
 def with_context(jobs: DataFrame, employers: DataFrame, fill: DataFrame, as_of: Column) -> DataFrame:
@@ -57,16 +58,8 @@ def display_names(jobs: DataFrame, employers: DataFrame) -> DataFrame:
 
 
 def match_dictionary(df: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
-    """Each distinct text's first pattern (by ord) that it contains; patterns: pattern, ord, value.
-
-    The words of texts meet single-word patterns by an equi-join, so this is no product of both sides; patterns
-    of several words meet by their first word and are then compared."""
-    strings = df.select(text).where(F.col(text).isNotNull()).distinct()
-    words = strings.select(text, F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))).alias("__w"))
-    keyed = patterns.select("pattern", "ord", "value", F.get(F.split(F.lower("pattern"), r"[^\p{L}\p{N}]+"), F.lit(0)).alias("__w"))
-    hits = words.join(keyed, "__w").where(F.expr(f"concat(' ', regexp_replace(lower(`{text}`), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '), ' ') LIKE concat('% ', regexp_replace(lower(pattern), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '), ' %')"))
-    best = hits.groupBy(text).agg(F.min_by("value", F.struct("ord", "pattern")).alias("matched"))
-    return df.join(best, text, "left")
+    """Rows with the first pattern (by ord) whose words their text contains as whole words; patterns: pattern, ord, value."""
+    return match_patterns(df, text, patterns)
 
 
 def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
