@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vacantia.functions.text import any_of, company_slug, is_director
@@ -45,6 +45,17 @@ def funnel(df: DataFrame, drops: dict[str, Column]) -> DataFrame:
     return df.withColumn("drop_reason", rule)
 
 
+def observed_funnel(df: DataFrame, drops: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The rows that stay, and the funnel's counters: seen, kept and one for each reason.
+
+    The counters come from the pass that filters; they are there when an action on the rows has ended."""
+    seen = Observation()
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    reasons = [n(F.col("drop_reason") == r).alias(f"dropped_{r}") for r in drops]
+    marked = funnel(df, drops).observe(seen, F.count("*").alias("seen"), n(F.col("drop_reason").isNull()).alias("kept"), *reasons)
+    return marked.where("drop_reason IS NULL").drop("drop_reason"), seen
+
+
 def mined_slugs(df: DataFrame, url: str, host: str, ignore: list[str]) -> DataFrame:
     """Distinct company slugs of URLs on a host."""
     return df.select(company_slug(F.col(url), host).alias("slug")).where(F.col("slug").isNotNull() & ~F.col("slug").isin(ignore)).distinct()

@@ -65,6 +65,25 @@ register("b42_cost", lambda s, d: documents(s, d).select("doc_id", X.token_cost(
 register("c01_titles", lambda s, d: C.relevant_titles(postings(s, d), "title", ["green|blue", "^red", "(unclosed"]).select("id"), "SELECT id FROM postings WHERE regexp_matches(lower(title), 'green|blue') OR regexp_matches(lower(title), '^red')")
 register("c02_locations", lambda s, d: postings(s, d).where(C.in_target(F.col("city"), ["nation_1", "nation_23"])).select("id"), "SELECT id FROM postings WHERE contains(lower(city), 'nation_1') OR contains(lower(city), 'nation_23')")
 register("c03_funnel", lambda s, d: C.funnel(postings(s, d), {"title": ~F.lower("title").rlike("a"), "location": ~C.in_target(F.col("city"), ["an"])}).groupBy("source", "drop_reason").agg(F.count("*").alias("n")), "SELECT source, CASE WHEN NOT contains(lower(title), 'a') THEN 'title' WHEN NOT contains(lower(city), 'an') THEN 'location' END AS drop_reason, count(*) AS n FROM postings GROUP BY ALL")
+
+
+def observed_counters(s, d):
+    """The kept rows are written by one pass over the postings, and the counters are those of this pass."""
+    from vacantia.storage import written
+
+    kept, counters = C.observed_funnel(postings(s, d), {"title": ~F.lower("title").rlike("a"), "location": ~C.in_target(F.col("city"), ["an"])})
+    written(kept.select("id", "title", "city"))
+    return s.createDataFrame(sorted(counters.get.items()), "counter string, n long")
+
+
+register(
+    "c03_observed_funnel",
+    observed_counters,
+    """
+WITH r AS (SELECT CASE WHEN NOT contains(lower(title), 'a') THEN 'title' WHEN NOT contains(lower(city), 'an') THEN 'location' END AS reason FROM postings)
+SELECT 'seen' AS counter, count(*) AS n FROM r UNION ALL SELECT 'kept', count(*) FILTER (WHERE reason IS NULL) FROM r
+UNION ALL SELECT 'dropped_title', count(*) FILTER (WHERE reason = 'title') FROM r UNION ALL SELECT 'dropped_location', count(*) FILTER (WHERE reason = 'location') FROM r""",
+)
 register("c09_family_range", lambda s, d: C.family_range(postings(s, d), "data", "2000-01-01", "2000-12-31").groupBy("city").agg(F.count("*").alias("n")), "SELECT city, count(*) AS n FROM postings WHERE job_family = 'data' AND posted_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' GROUP BY 1")
 register("c10_long_enough", lambda s, d: C.long_enough(documents(s, d), "text", 500).groupBy("lang").agg(F.count("*").alias("n")), "SELECT lang, count(*) AS n FROM documents WHERE length(trim(text)) >= 500 GROUP BY 1")
 register("c11_due_checks", lambda s, d: C.due_for_check(postings(s, d), "url_status", "url_checked_at", day(), 3).select("id"), f"SELECT id FROM postings WHERE url_status NOT IN ('404', '410') AND (url_checked_at IS NULL OR url_checked_at < DATE '{AS_OF}' - 3)")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacantia.operators import audits as A
+from vacantia.operators import distinct_counts as B
 from vacantia.operators import locations as L
 from vacantia.operators import metrics as M
 from vacantia.operators import reports as R
 from vacantia.plans.postings import AS_OF, employers, postings, table
 from vacantia.registry import register
+from vacantia.storage import written
 
 
 def pct(a: str, b: str) -> str:
@@ -279,8 +281,31 @@ register(
     f"""WITH s AS (SELECT * FROM ({_distribution_sql("working_arrangement", "city", _LEANING)}) WHERE total >= 10)
 SELECT a.code, a.city, b.city AS other, a.pct, b.pct AS other_pct FROM s a JOIN s b ON a.code = b.code AND a.city < b.city WHERE abs(a.pct - b.pct) > 20 OR greatest(a.pct, b.pct) > 2 * least(a.pct, b.pct)""",
 )
-register("f45_report_gate", lambda s, d: A.report_gate(postings(s, d), ["city", "job_family"]), "SELECT city, job_family, count(*) AS n, count(*) >= 30 AS enough FROM postings GROUP BY ALL")
-register("f46_headquarters", lambda s, d: enriched(s, d).groupBy("city", "employer_size").agg(F.count("*").alias("n"), F.sum((F.col("headquarters") != F.col("city")).cast("long")).alias("elsewhere"), F.percentile(2025 - F.col("founding_year"), 0.5).alias("median_age")), f"SELECT city, employer_size, count(*) AS n, count(*) FILTER (WHERE headquarters <> city) AS elsewhere, median(2025 - founding_year)::DOUBLE AS median_age FROM {_ENRICHED} GROUP BY ALL")
+register(
+    "f45_report_gate",
+    lambda s, d: A.report_gate(postings(s, d).withColumn("month", F.date_trunc("month", "posted_date").cast("date")), ["city", "job_family", "month"], 5),
+    "SELECT city, job_family, date_trunc('month', posted_date)::DATE AS month, count(*) AS n, count(*) >= 5 AS enough FROM postings GROUP BY ALL",
+)
+
+
+def sited(s, d):
+    """Postings with their employers, and as place of work the nation of the supplier of the first line."""
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    first = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.min_by("l_suppkey", place).alias("s_suppkey"))
+    places = table(s, d, "supplier").join(table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("site"))
+    return enriched(s, d).drop("city").join(first.join(places, "s_suppkey").select("id", F.col("site").alias("city")), "id")
+
+
+register(
+    "f46_headquarters",
+    lambda s, d: sited(s, d).groupBy("city", "employer_size").agg(
+        F.count("*").alias("n"), F.sum((F.col("headquarters") != F.col("city")).cast("long")).alias("elsewhere"), F.percentile(2025 - F.col("founding_year"), 0.5).alias("median_age")
+    ),
+    f"""
+WITH first AS (SELECT l_orderkey AS id, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey)[1] AS s_suppkey FROM lineitem GROUP BY 1),
+sited AS (SELECT n_name AS site, e.* FROM {_ENRICHED} e JOIN first ON first.id = e.id JOIN supplier ON supplier.s_suppkey = first.s_suppkey JOIN nation ON n_nationkey = s_nationkey)
+SELECT site AS city, employer_size, count(*) AS n, count(*) FILTER (WHERE headquarters <> site) AS elsewhere, median(2025 - founding_year)::DOUBLE AS median_age FROM sited GROUP BY ALL""",
+)
 register("f46_headquarters_ranking", lambda s, d: M.top_k(enriched(s, d), "headquarters", 10), f"WITH c AS (SELECT headquarters, count(*) AS n FROM {_ENRICHED} GROUP BY 1), r AS (SELECT *, sum(n) OVER () AS total, row_number() OVER (ORDER BY n DESC, headquarters)::INT AS rank FROM c) SELECT headquarters, n, {pct('n', 'total')} AS pct, rank FROM r WHERE rank <= 10")
 register("f47_fill_rates", lambda s, d: M.fill_rates(employers(s, d), ["industry", "ownership_type", "headquarters"]), "SELECT unnest(['industry', 'ownership_type', 'headquarters']) AS field, unnest([count(industry), count(ownership_type), count(headquarters)]) AS filled, unnest([count(*), count(*), count(*)]) AS n FROM employers")
 register(
@@ -293,6 +318,25 @@ register(
     lambda s, d: A.duplicate_rate(table(s, d, "documents"), "source", F.md5(F.lower(F.trim("text")))),
     f"SELECT source, round((100 * (count(*) - count(DISTINCT {_DOC_KEY})) / count(*))::DECIMAL(18,8), 2) AS duplicate_pct FROM documents GROUP BY 1",
 )
+
+
+def weekly_users(s, d):
+    """Users by week and kind of event, and of all kinds, from bitmaps stored by kind and day; two halves of the month are merged."""
+    events = table(s, d, "events").withColumn("day", F.to_date("ts"))
+    half = F.col("day") < F.lit("2024-01-16").cast("date")
+    daily = written(B.merged(*(B.id_bitmaps(events.where(part), ["event_type", "day"], "user_id") for part in (half, ~half))))
+    weeks = daily.withColumn("week", F.date_trunc("week", "day").cast("date"))
+    both = B.distinct_ids(weeks, ["event_type", "week"]).unionByName(B.distinct_ids(weeks, ["week"]).withColumn("event_type", F.lit("all")))
+    return both.select("event_type", "week", "n")
+
+
+register(
+    "f50_distinct_rollup",
+    weekly_users,
+    """
+WITH e AS (SELECT event_type, user_id, date_trunc('week', ts)::DATE AS week FROM events)
+SELECT event_type, week, count(DISTINCT user_id) AS n FROM e GROUP BY ALL UNION ALL SELECT 'all', week, count(DISTINCT user_id) FROM e GROUP BY week""",
+)
 register("f50_progress", lambda s, d: A.progress(table(s, d, "events").where("ts >= TIMESTAMP '2024-01-15'"), "user_id", "ts"), "SELECT count(DISTINCT user_id) AS companies, count(*) AS n, max(ts) AS last FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
 register(
     "f51_suspicious_employers",
