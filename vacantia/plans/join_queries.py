@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vacantia.functions import text as X
 from vacantia.operators import audits as A
 from vacantia.operators import classify as D
+from vacantia.operators import digests as G
 from vacantia.operators import joins as E
 from vacantia.operators import market as Q
 from vacantia.operators import merge as J
@@ -52,6 +53,13 @@ def _hashed(s, d, *more):
 
 register("e05_resume", lambda s, d: E.not_recent(table(s, d, "events").select("user_id").distinct(), table(s, d, "events"), "user_id", "ts", F.lit("2024-01-31").cast("timestamp"), 48), "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 48 HOUR)")
 register("e06_listed", lambda s, d: E.listed(orders(s, d), lines(s, d).where(f"l_shipdate >= {_EARLY}").select(F.col("raw_job_id").alias("id")), ["id"]).select("id", "is_listed"), f"SELECT o_orderkey AS id, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate >= {_EARLY}) AS is_listed FROM orders")
+register(
+    "e06_listed_by_company",
+    lambda s, d: G.listed_by_digest(
+        table(s, d, "orders").select("o_custkey", "o_orderkey"), table(s, d, "orders").where("o_custkey % 10 > 0 OR o_orderkey % 3 > 0").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey"
+    ),
+    "SELECT o_custkey, o_orderkey, o_custkey % 10 > 0 OR o_orderkey % 3 > 0 AS is_listed FROM orders",
+)
 register("e07_by_report_key", lambda s, d: E.by_report_key(postings(s, d), employers(s, d)).agg(F.count("*").alias("n"), F.count("display_name").alias("matched")), "SELECT count(*) AS n, count(display_name) AS matched FROM postings LEFT JOIN employers ON canonical_name = translate(lower(trim(employer_name)), ' ,.''', '_')")
 register("e08_display_names", lambda s, d: E.display_names(postings(s, d), employers(s, d)).select("id", "shown_name"), "SELECT id, coalesce(display_name, employer_name) AS shown_name FROM postings LEFT JOIN employers ON canonical_name = employer_name")
 _DIM = [("spring", 1, "a"), ("tomato", 2, "b"), ("green", 3, "c"), ("blue", 4, "d"), ("red", 5, "e")]
