@@ -6,10 +6,13 @@ to the larger count and then the smaller key. Every operator takes frames and co
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia.operators import order_statistics
+from vacantia.storage import written
 
 UNKNOWN = ("unknown", "null")
 
@@ -116,6 +119,33 @@ def skill_pairs(df: DataFrame, skills: str = "skills", k: int | None = 10, ancho
     return counts.orderBy(F.desc("n"), *by, "a", "b").limit(k) if k else counts
 
 
+def frequent_pairs(df: DataFrame, skills: str = "skills", k: int = 10, tracked: int = 16_384) -> DataFrame:
+    """The k most frequent unordered pairs of distinct skills (a, b, n), exactly, when there are too many pairs to count them all.
+
+    Every task keeps a frequent-items sketch, and the merged one names at most ``tracked`` pairs; what it leaves out occurs at
+    most 2 * 3.5 / (its size) times as often as there are pairs together. A second pass counts the named pairs only. If the k-th of them isn't
+    above that bound, a sketch of eight times the size is tried, and past Spark's largest one all pairs are counted."""
+    spark = df.sparkSession
+    own = F.array_sort(F.array_distinct(skills))
+    rows = df.select(own.alias("s")).where(F.size("s") > 1).select(F.posexplode("s").alias("i", "a"), "s")
+    rows = rows.select(F.explode(F.transform(F.slice("s", F.col("i") + 2, F.greatest(F.size("s") - F.col("i") - 1, F.lit(0))), lambda b: F.to_json(F.array("a", b)))).alias("pair"))
+    while tracked <= 1_000_000:
+        row = rows.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(pair, {tracked}, {tracked})").alias("top")).first()
+        named = row.top or []
+        size = 2 ** math.ceil(math.log2(tracked / 0.75))
+        missed = max(7 * row.n / size, named[-1]["count"] if len(named) == tracked else 0)
+        # at most ``tracked`` names
+        names = F.broadcast(spark.createDataFrame([(r["item"],) for r in named], "pair string"))
+        counts = written(rows.join(names, "pair").groupBy("pair").agg(F.count("*").alias("n")))
+        pair = F.from_json("pair", "array<string>")
+        best = counts.select(pair[0].alias("a"), pair[1].alias("b"), "n").orderBy(F.desc("n"), "a", "b").limit(k)
+        first = [r.n for r in best.select("n").collect()]
+        if len(first) == k and first[-1] > missed or (counts.agg(F.sum("n")).first()[0] or 0) == row.n:  # or every pair was named
+            return best
+        tracked *= 8
+    return skill_pairs(df, skills, k)
+
+
 def nearest_rank(df: DataFrame, value: str, by: list[str] | None = None, least: int = 1, points: tuple[tuple[str, float], ...] = order_statistics.QUARTILES) -> DataFrame:
     """Percentiles by floor nearest rank, the element at index int(n * p), for groups of ``least`` rows, by selection over ranges of distinct values."""
     by = by or []

@@ -62,6 +62,7 @@ SELECT skill, n, {pct("n", "with_skills")} AS pct FROM (SELECT skill, count(*) A
 )
 _PAIRS = "p AS (SELECT id, unnest(skills) AS s FROM postings), q AS (SELECT x.s AS a, y.s AS b, count(*) AS n FROM p x JOIN p y ON x.id = y.id AND x.s < y.s GROUP BY ALL)"
 register("f06_skill_pairs", lambda s, d: M.skill_pairs(postings(s, d)), f"WITH {_PAIRS} SELECT * FROM q ORDER BY n DESC, a, b LIMIT 10")
+register("f06_frequent_pairs", lambda s, d: M.frequent_pairs(postings(s, d)), f"WITH {_PAIRS} SELECT * FROM q ORDER BY n DESC, a, b LIMIT 10")
 register("f06_skill_pairs_all", lambda s, d: M.skill_pairs(postings(s, d), k=None), f"WITH {_PAIRS} SELECT * FROM q")
 register("q09_skills_with", lambda s, d: M.skill_pairs(postings(s, d), k=None, anchor="Brand#12"), f"WITH {_PAIRS} SELECT * FROM q WHERE 'Brand#12' IN (a, b)")
 
