@@ -1,7 +1,8 @@
 """Report metrics: distributions, concentration, ratios, skills, pay, fill time, audits.
 
 Percentages are half-even of (count / known) * 100; unknown values are null, 'unknown' and 'null'; ties go
-to the larger count and then the smaller key. Every operator takes frames and column names and stays lazy.
+to the larger count and then the smaller key. Operators take frames and column names; those with ranks or sketches
+write their counts once and the others stay lazy.
 """
 
 from __future__ import annotations

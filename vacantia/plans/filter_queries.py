@@ -26,13 +26,18 @@ documents = lambda s, d: table(s, d, "documents")
 
 _HTML = "trim(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
 register("b01_strip_html", lambda s, d: pages(s, d).select("page_id", F.md5(X.strip_tags(F.col("html"))).alias("text_md5")), f"SELECT page_id, md5({_HTML}) AS text_md5 FROM pages")
+#: What the SQL decodes, stated apart from the library, in this order.
+_DECODED = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&#160;", " "), ("&ndash;", "–"), ("&mdash;", "—"),
+    ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"), ("&hellip;", "…"), ("&amp;", "&"),
+]
 _DECODE = "coalesce(html, '')"
-for _e, _v in X.ENTITIES:
+for _e, _v in _DECODED:
     _DECODE = f"replace({_DECODE}, '{_e}', '{_v.replace(chr(39), chr(39) * 2)}')"
 _CLEAN = f"trim(regexp_replace(regexp_replace({_DECODE}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
 register("b01_html_text", lambda s, d: pages(s, d).select("page_id", F.md5(X.strip_html(F.col("html"))).alias("text_md5")), f"SELECT page_id, md5({_CLEAN}) AS text_md5 FROM pages")
 _STRIPPED = "regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g')"
-for _e, _v in X.ENTITIES:
+for _e, _v in _DECODED:
     _STRIPPED = f"replace({_STRIPPED}, '{_e}', '{_v.replace(chr(39), chr(39) * 2)}')"
 register("b02_html_text_tags_first", lambda s, d: pages(s, d).select("page_id", F.md5(X.strip_html(F.col("html"), False)).alias("text_md5")), f"SELECT page_id, md5(trim(regexp_replace({_STRIPPED}, '\\s+', ' ', 'g'))) AS text_md5 FROM pages")
 register(
