@@ -244,7 +244,11 @@ def set_agreement(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 def running_totals(df: DataFrame, day: str, by: str) -> DataFrame:
     """Rows per day and group, and their running total."""
-    counts = df.groupBy(by, F.col(day).alias("day")).agg(F.count("*").alias("n"))
+    return cumulated(df.groupBy(by, F.col(day).alias("day")).agg(F.count("*").alias("n")), by)
+
+
+def cumulated(counts: DataFrame, by: str) -> DataFrame:
+    """Counts (by, day, n) with their running total: a row for each group and day."""
     return counts.withColumn("cumulative", F.sum("n").over(Window.partitionBy(by).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vacantia.operators import audits as A
 from vacantia.operators import distinct_counts as B
 from vacantia.operators import locations as L
+from vacantia.operators import maintained as N
 from vacantia.operators import metrics as M
 from vacantia.operators import reports as R
 from vacantia.plans.postings import AS_OF, employers, postings, table
@@ -274,6 +275,28 @@ register(
 )
 register("f40_row_coverage", lambda s, d: A.row_coverage(labelled(s, d), "quality"), f"SELECT count(*) AS rows, count(quality) AS filled, count(*) - count(quality) AS empty FROM {_LABELLED}")
 register("f41_running_totals", lambda s, d: M.running_totals(postings(s, d), "posted_date", "job_family"), "WITH c AS (SELECT job_family, posted_date AS day, count(*) AS n FROM postings GROUP BY ALL) SELECT *, sum(n) OVER (PARTITION BY job_family ORDER BY day)::BIGINT AS cumulative FROM c")
+
+
+def maintained_totals(s, d):
+    """Running totals from counts that took in three snapshots: a third of the postings with some families unknown yet, two thirds, all."""
+    by = ["job_family", "day"]
+    rows = written(postings(s, d).select("id", "job_family", F.col("posted_date").alias("day")))
+    early = F.when(F.col("id") % 5 == 0, F.lit("unknown")).otherwise(F.col("job_family"))
+    first = rows.where("id % 3 = 0").withColumn("job_family", early)
+    second = rows.where("id % 3 < 2 AND id % 7 > 0")
+    stored = written(N.counted(first, by))
+    for before, after in ((first, second), (second, rows)):
+        stored = written(N.taken_in(stored, N.counted(N.signed_changes(before, after, "id", by), by), by))
+    return M.cumulated(stored, "job_family")
+
+
+register(
+    "f41_maintained_totals",
+    maintained_totals,
+    """
+WITH c AS (SELECT job_family, posted_date AS day, count(*) AS n FROM postings GROUP BY ALL)
+SELECT *, sum(n) OVER (PARTITION BY job_family ORDER BY day)::BIGINT AS cumulative FROM c""",
+)
 register("f42_hourly", lambda s, d: A.rolled_up(table(s, d, "events"), "hour", "ts", "event_type", "value"), "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, sum(value::DECIMAL(18,4)) AS total FROM events GROUP BY ALL")
 register("f43_remote_by_size", lambda s, d: M.conditional_counts(enriched(s, d), ["employer_size"], {"remote": F.col("working_arrangement") == "remote", "flexible": F.col("working_arrangement").isin("remote", "hybrid")}).withColumn("flexible_pct", M.percent(F.col("flexible"), F.col("n"))), f"SELECT *, {pct('flexible', 'n')} AS flexible_pct FROM (SELECT employer_size, count(*) AS n, count(*) FILTER (WHERE working_arrangement = 'remote') AS remote, count(*) FILTER (WHERE working_arrangement IN ('remote', 'hybrid')) AS flexible FROM {_ENRICHED} GROUP BY 1)")
 register(
