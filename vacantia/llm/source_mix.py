@@ -94,7 +94,7 @@ def rates(cells: DataFrame, aims: DataFrame, cap: int = CAP, close: int = CLOSE)
     state = T.written(state, "dual")
     x, term = F.col("size") / F.col("unit"), F.exp(F.col("dual") * F.col("size") / F.col("unit"))
     words = F.col("m") * F.col("size").cast("double")
-    while not state.agg(F.bool_and("done")).first()[0]:
+    while state.where("NOT done").limit(1).count():
         sums = cells.join(state.where("NOT done").select("source", "unit", "dual"), "source").groupBy("source")
         sums = sums.agg(F.sum(_exact(words * F.least(term, F.lit(float(cap))))).cast("double").alias("f"), F.sum(_exact(F.when(term < cap, words * x * term).otherwise(0.0))).cast("double").alias("slope"))
         now = state.join(sums, "source", "left")
