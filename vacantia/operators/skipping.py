@@ -42,10 +42,16 @@ def _bit(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(BITS))
 
 
+def file_bits(spark: SparkSession, path: str, locations: str = "locations") -> DataFrame:
+    """(file, bit): a row for each bit of a file, however many rows the file has."""
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.explode(tokens_of(F.col(locations))).alias("token"))
+    return rows.select("file", _bit(F.col("token")).alias("bit")).distinct()
+
+
 def index_files(spark: SparkSession, path: str, locations: str = "locations") -> None:
     """Makes the index anew from the files that are there now."""
-    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.explode(tokens_of(F.col(locations))).alias("token"))
-    rows.groupBy("file").agg(F.bitmap_construct_agg(_bit(F.col("token"))).alias("bits")).write.mode("overwrite").parquet(f"{path}/{INDEX}")
+    # the bitmap's aggregate sorts what it gets, so it gets no row twice
+    file_bits(spark, path, locations).groupBy("file").agg(F.bitmap_construct_agg("bit").alias("bits")).write.mode("overwrite").parquet(f"{path}/{INDEX}")
 
 
 def write_indexed(df: DataFrame, path: str, locations: str = "locations", near: list[Column] | None = None, files: int | None = None) -> None:
