@@ -47,10 +47,11 @@ def seen(s, d):
     rows = table(s, d, "events")
     bounds = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     days = (bounds.high - bounds.low).days // 6 + 1
-    for k in range(6):  # the files of six spans of time land one after the other
-        span = F.floor(F.datediff(F.col("ts"), F.lit(bounds.low)) / days)
-        rows.where(span == k).write.mode("append").parquet(f"{out}/landed")
-    stream = S.read_landed(s, f"{out}/landed", rows.schema, files_per_trigger=2).withColumn("ts", F.col("ts").cast("timestamp"))
+    span = F.floor(F.datediff(F.col("ts"), F.lit(bounds.low)) / days)
+    # two of six spans of time land, in however many files, and are taken in before the next: a span that is split would be late
+    land = lambda k: rows.where(span.isin(k, k + 1)).write.mode("append").parquet(f"{out}/landed")
+    land(0)
+    stream = S.read_landed(s, f"{out}/landed", rows.schema, files_per_trigger=1_000_000).withColumn("ts", F.col("ts").cast("timestamp"))
     changes = L.last_seen_changes(stream, "user_id", "ts", 12 * 3_600_000, "1 day").withColumnRenamed("key", "user_id")
     # of two changes of a user the one with the newer time holds, and of one time the one that is stale
     changes = changes.withColumns({"newest": -F.col("ms"), "fresh": ~F.col("is_stale")})
@@ -59,8 +60,10 @@ def seen(s, d):
     store = s.conf.get(L.STORE[0])
     s.conf.set(*L.STORE)
     try:
-        query = S.upsert_stream(changes, f"{out}/table", f"{out}/state", ["user_id"], ["newest", "fresh"], latest_of, empty, parts=8, mode="update")
-        query.awaitTermination()
+        for k in (0, 2, 4):
+            if k:
+                land(k)
+            S.upsert_stream(changes, f"{out}/table", f"{out}/state", ["user_id"], ["newest", "fresh"], latest_of, empty, parts=8, mode="update").awaitTermination()
     finally:
         s.conf.set(L.STORE[0], store)
     return S.current(s, f"{out}/table", empty.schema).select("user_id", F.timestamp_millis("ms").cast("timestamp_ntz").alias("last_seen"), "is_stale")
